@@ -15,8 +15,11 @@ METRICS = {"Building_Damage_Pct": "bldgdmgpct", "Building_Loss_USD": "bldglossus
 
 
 def attach_block(pred: DataFrame, xwalk: DataFrame, key: str = "fltyid") -> DataFrame:
-    """Predictions with the block code of their building; no match leaves NULL."""
-    return pred.join(xwalk, key, "left")
+    """Predictions with the block code of their building; no match leaves NULL.
+
+    The crosswalk's columns replace columns of the same name.
+    """
+    return pred.drop(*[c for c in xwalk.columns if c != key]).join(xwalk, key, "left")
 
 
 def match_rate(df: DataFrame, col: str) -> DataFrame:
