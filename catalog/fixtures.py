@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from floodmark.functions import fixed_values as fv
 from floodmark.operators.damage import DEPTH_COLUMNS, Lookups, curves_long
-from floodmark.operators.joins import lookup
+from floodmark.operators.joins import Lookup, lookup
 from floodmark.operators.raster import Raster, wet_cells
 
 BASE = [
@@ -180,7 +180,7 @@ SQL = {
         where occ in ({",".join(f"'{o}'" for o in fv.INVENTORY_OCCUPANCIES)}) group by occ""",
     "prediction": f"""
         select fltyid, occ, cost, depth_grid, depth_grid - found_ht as depth_in_struc, bldgdmgpct,
-          bldgdmgpct * cost / 100 as bldglossusd, event, adv, flc, state, county_fips5, cbfips,
+          cast(floor(bldgdmgpct * cost / 100) as double) as bldglossusd, event, adv, flc, state, county_fips5, cbfips,
           pop2pmo65, pop2pmu65, pop2amo65, pop2amu65, o65disable, u65disable
         from (
           select 'B' || cast(l_orderkey as string) as fltyid, {pick(OCC, 'l_partkey % 33')} as occ,
@@ -321,6 +321,12 @@ def with_tables(*names: str, extra: str = "") -> str:
 _LOOKUPS: WeakKeyDictionary = WeakKeyDictionary()
 
 
+def kept(df: DataFrame) -> Lookup:
+    """A checked lookup; within the bound it is cached, as the queries share it."""
+    table = lookup(df)
+    return Lookup(df.persist(), True) if table.bounded else table
+
+
 class Tables:
     """Input frames of one scale-factor folder; lookups are size-checked once per session."""
 
@@ -346,14 +352,14 @@ class Tables:
 
     @property
     def wet(self):
-        return self._once("wet", lambda: lookup(wet_cells(self.cells(), GRIDS)))
+        return self._once("wet", lambda: kept(wet_cells(self.cells(), GRIDS)))
 
     @property
     def lookups(self) -> Lookups:
-        return self._once("lookups", lambda: Lookups.of(
-            curves=curves_long(self.curve_wide, ["curve_set", "curve_key"], ["ddf_id"]),
-            debris=self.debris_rate, restoration=self.restor_days, econ=self.econ,
-            library=self.library,
+        return self._once("lookups", lambda: Lookups(
+            curves=kept(curves_long(self.curve_wide, ["curve_set", "curve_key"], ["ddf_id"])),
+            debris=kept(self.debris_rate), restoration=kept(self.restor_days), econ=kept(self.econ),
+            library=kept(self.library),
         ))
 
     @property

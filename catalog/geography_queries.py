@@ -24,30 +24,25 @@ LOCATED_CTE = """located AS (select p.*, x.cbfips as blk from (
 
 
 def rollup_sql(width: int, source: str = "located", fips: str = "blk") -> str:
-    q = lambda c, p: f"round(quantile_cont({c}, {p}), 6)"
     cols = ["count(fltyid) as Total_Num_Building"]
     cols += [f"count(*) filter (where {CATEGORY_SQL} = '{c}') as Total_Num_Building_{c}" for c in LABELS]
     cols += [f"count(*) filter (where depth_grid = {h}) as Total_Num_Building_SurgeHeight_{h}" for h in fv.SURGE_HEIGHTS]
     cols += [f"count(*) filter (where bldgdmgpct > {10 * i} and bldgdmgpct <= {10 * i + 10}) as Total_Num_Building_Damage_{10 * i + 10}pct" for i in range(10)]
     for name, c in geo.METRICS.items():
-        cols += [f"round(min({c}), 6) as {name}_Min", f"round(max({c}), 6) as {name}_Max", f"round(avg({c}), 4) as {name}_Mean"]
-        cols += [f"{q(c, p)} as {name}_{s}" for s, p in geo.QUARTILES.items()]
+        cols += [f"min({c}) as {name}_Min", f"max({c}) as {name}_Max", f"avg({c}) as {name}_Mean"]
+        cols += [f"quantile_cont({c}, {p}) as {name}_{s}" for s, p in geo.QUARTILES.items()]
     return (f"select substr({fips}, 1, 2) as State_FIPS, substr({fips}, 1, 5) as County_FIPS, substr({fips}, 1, {width}) as FIPS, {', '.join(cols)} "
             f"from {source} where {fips} is not null group by all")
 
 
-def _tidy(df):
-    return df.select(*[F.round(c, 4 if c.endswith("_Mean") else 6).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
-
-
 @query("q_geo_rollup", rollup_sql(11), ("prediction", "xwalk"), LOCATED_CTE)
 def _(t):
-    return _tidy(geo.geo_rollup(located_predictions(t.prediction, t.xwalk, PARAMS), "census tract", LABELS))
+    return geo.geo_rollup(located_predictions(t.prediction, t.xwalk, PARAMS), "census tract", LABELS)
 
 
 @query("q_geo_rollup_county", rollup_sql(5, "prediction", "cbfips"), ("prediction",))
 def _(t):
-    return _tidy(geo.geo_rollup(t.prediction, "county", LABELS))
+    return geo.geo_rollup(t.prediction, "county", LABELS)
 
 
 @query("q_geography_table", f"""select coalesce(s.ST_ABBR, last_value(s.ST_ABBR ignore nulls) over b, first_value(s.ST_ABBR ignore nulls) over a) as ST_ABBR,
@@ -58,7 +53,7 @@ def _(t):
       a as (partition by r.State_FIPS, r.County_FIPS order by r.FIPS rows between current row and unbounded following)""",
        ("prediction", "xwalk", "vacancy", "svi"), f"{LOCATED_CTE}, rolled AS ({rollup_sql(11)})")
 def _(t):
-    return _tidy(geography_table(t.prediction, t.xwalk, demographics.parse_vacancy(t.vacancy_doc, "tract"), t.svi, PARAMS))
+    return geography_table(t.prediction, t.xwalk, demographics.parse_vacancy(t.vacancy_doc, "tract"), t.svi, PARAMS)
 
 
 @query("q_geoids", "select fltyid, cbfips, substr(cbfips, 1, 11) as tract_geoid, substr(cbfips, 1, 5) as county_geoid, substr(cbfips, 1, 2) as state_geoid from prediction", ("prediction",))

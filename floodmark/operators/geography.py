@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import fixed_values as fv, geodesy, hazard
+from ..session import cut_lineage
 from .quantiles import quantiles_of_counts
 
 QUARTILES = {"25th": 0.25, "50th": 0.50, "75th": 0.75}
@@ -68,11 +69,14 @@ def value_counts(df: DataFrame, geography: str, fips: str = "cbfips") -> DataFra
 def geo_rollup(df: DataFrame, geography: str, labels: Sequence[str], quantiles: bool = True) -> DataFrame:
     """One row per geography: building counts by category, height and damage bin, and statistics.
 
-    Every column comes from the frequency table of :func:`value_counts`; its shuffle is shared
-    by the counts and the exact quartiles.
+    Every column comes from the frequency table of :func:`value_counts`.  The exact quartiles
+    read it twice more, so with ``quantiles`` it is written to the checkpoint folder first and
+    the buildings are evaluated only once.
     """
     labels = hazard.check_labels(labels)
     counts = value_counts(df, geography)
+    if quantiles:
+        counts = cut_lineage(counts)
     metric, value, n = F.col("metric"), F.col("value"), F.col("n")
 
     def total(test: Column, of: Column = n) -> Column:
