@@ -12,7 +12,7 @@ from weakref import WeakKeyDictionary
 from pyspark.sql import DataFrame, SparkSession
 
 from floodmark.functions import fixed_values as fv
-from floodmark.operators.damage import DEPTH_COLUMNS, Lookups, curves_long
+from floodmark.operators.damage import DEPTH_COLUMNS, Lookups, curves_long, curves_packed
 from floodmark.operators.joins import Lookup, lookup
 from floodmark.operators.raster import Raster, wet_cells
 
@@ -50,18 +50,19 @@ def soid_sql(occ: str, stories: str, basement: str) -> str:
       || case when {basement} then 'B' else 'N' end)"""
 
 
-def _curve(set_name: str, factor: str, offset: int, where: str = "1 = 1") -> str:
-    points = ", ".join(
-        f"cast(least(100, {k + 4} * ({factor}) + {offset}) as double) as {c}" for k, c in DEPTH_COLUMNS.items()
+def _points(factor: str, offset: str) -> str:
+    """SQL: the 29 depth columns of a curve."""
+    return ", ".join(
+        f"cast(least(100, {k + 4} * {factor} + {offset}) as double) as {c}" for k, c in DEPTH_COLUMNS.items()
     )
-    return f"select '{set_name}' as curve_set, soid as curve_key, cast(n + {offset} as string) as ddf_id, {points} from {{curve_key}} where {where}"
 
 
-def _library(kind: str, factor: str) -> str:
-    points = ", ".join(
-        f"cast(least(100, {k + 4} * ({factor})) as double) as {c}" for k, c in DEPTH_COLUMNS.items()
-    )
-    return f"select '{kind}' as kind, cast(p_partkey as string) as fn_id, {pick(OCC, 'p_partkey % 33')} as occupancy, {points} from {{part}}"
+def _curve(set_name: str, factor: str, offset: int, where: str = "1 = 1") -> str:
+    return f"select '{set_name}' as curve_set, soid, n, {factor} as f, {offset} as o from {{curve_key}} where {where}"
+
+
+def _library(kind: str, steps: int) -> str:
+    return f"select '{kind}' as kind, p_partkey, 1 + p_size % {steps} as f from {{part}}"
 
 
 _CBFIPS = (
@@ -146,7 +147,8 @@ SQL = {
               cast(1 + p_size % 9 as double) + cast(case when p_partkey % 7 = 0 then 1 else 0 end as double) / 2 as stories
             from {{part}}) a) b
         group by soid, occ""",
-    "curve_wide": " union all ".join([
+    "curve_wide": f"select curve_set, soid as curve_key, cast(n + o as string) as ddf_id, {_points('f', 'o')} from ("
+    + " union all ".join([
         _curve("building_default", "1 + n", 0),
         _curve("building_coastal_a", "1 + n", 3, "substr(occ, 1, 3) = 'RES'"),
         _curve("building_coastal_v", "1 + n", 6, "substr(occ, 1, 3) = 'RES'"),
@@ -155,10 +157,9 @@ SQL = {
         _curve("content_coastal_v", "1 + (n + 1) % 5", 7, "substr(occ, 1, 3) = 'RES'"),
         _curve("inventory_default", "1 + (n + 2) % 5", 2,
                "occ in (" + ",".join(f"'{o}'" for o in fv.INVENTORY_OCCUPANCIES) + ")"),
-    ]),
-    "library_wide": " union all ".join([
-        _library("building", "1 + p_size % 6"), _library("content", "1 + p_size % 4"), _library("inventory", "1 + p_size % 3"),
-    ]),
+    ]) + ") a",
+    "library_wide": f"select kind, cast(p_partkey as string) as fn_id, {pick(OCC, 'p_partkey % 33')} as occupancy, {_points('f', '0')} from ("
+    + " union all ".join([_library("building", 6), _library("content", 4), _library("inventory", 3)]) + ") a",
     "debris_rate": f"""
         select occ || part_key as DebrisID, cast(max(p_size) as double) / 4 as Finishes,
           cast(min(p_size) as double) / 2 as Structure, cast(max(p_partkey) % 20 as double) as Foundation
@@ -364,7 +365,7 @@ class Tables:
 
     @property
     def library(self) -> DataFrame:
-        return curves_long(self.library_wide, ["kind", "fn_id"], ["occupancy"])
+        return curves_packed(self.library_wide, ["kind", "fn_id"], ["occupancy"])
 
     @property
     def extents(self) -> DataFrame:

@@ -26,7 +26,7 @@ class Lookups:
     debris       DebrisID, Finishes, Structure, Foundation
     restoration  RestFnID, Min_Restor_Days, Max_Restor_Days
     econ         Occupancy, AnnualSalesPerSqFt, BusinessInvPctofSales
-    library      kind (building, content, inventory), fn_id, Occupancy, k, lo, hi; optional
+    library      kind (building, content, inventory), fn_id, Occupancy, pct; optional
     """
 
     curves: Lookup
@@ -56,6 +56,12 @@ def curves_long(wide: DataFrame, keys: Sequence[str], extra: Sequence[str] = ())
     return long.withColumn("hi", F.coalesce(following, F.col("lo")))
 
 
+def curves_packed(wide: DataFrame, keys: Sequence[str], extra: Sequence[str] = ()) -> DataFrame:
+    """One row per key with its 29 points as the array ``pct``, for large curve libraries."""
+    points = F.array(*[F.col(c).cast("double") for c in DEPTH_COLUMNS.values()])
+    return wide.select(*keys, *extra, points.alias("pct"))
+
+
 def first_curve(wide: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     """First curve of each key in table order."""
     return first_per_key(wide, key, [F.col(c) for c in order])
@@ -149,19 +155,19 @@ def override_curve(df: DataFrame, library: Lookup | None, kind: str, user_id: st
     if library is None or user_id not in df.columns:
         return df.withColumn(f"_{kind}_user", F.lit(False))
     table = Lookup(
-        library.df.where(F.col("kind") == kind).select(
-            F.trim("fn_id").alias("_fn"), F.col("k").alias("_k"), F.col("lo").alias("_ulo"), F.col("hi").alias("_uhi"),
-        ),
+        library.df.where(F.col("kind") == kind).select(F.trim("fn_id").alias("_fn"), F.col("pct").alias("_upct")),
         library.bounded,
     )
-    keyed = df.withColumns({"_fn": F.col(user_id), "_k": k})
-    found = F.col("_ulo").isNotNull()
-    return table.join(keyed, ["_fn", "_k"]).withColumns({
+    point = k - fv.CURVE_MIN_FT
+    found = F.col("_upct").isNotNull() & k.isNotNull()
+    lo = F.get("_upct", point)
+    hi = F.get("_upct", F.least(point + 1, F.lit(len(DEPTHS) - 1)))
+    return table.join(df.withColumn("_fn", F.col(user_id)), ["_fn"]).withColumns({
         f"_{kind}_user": found,
-        f"_{kind}_lo": F.coalesce("_ulo", f"_{kind}_lo"),
-        f"_{kind}_hi": F.when(found, F.col("_uhi")).otherwise(F.col(f"_{kind}_hi")),
+        f"_{kind}_lo": F.when(found, lo).otherwise(F.col(f"_{kind}_lo")),
+        f"_{kind}_hi": F.when(found, hi).otherwise(F.col(f"_{kind}_hi")),
         f"_{kind}_id": F.when(found, F.col("_fn")).otherwise(F.col(f"_{kind}_id")),
-    }).drop("_fn", "_k", "_ulo", "_uhi")
+    }).drop("_fn", "_upct")
 
 
 def interp_damage(lo, hi, depth) -> Column:
@@ -228,7 +234,7 @@ def inventory_value(df: DataFrame, econ: Lookup, occ: str, area: str, supplied:
 def curve_qc(df: DataFrame, library: Lookup, kind: str, user_id: str, occ: str, key: str) -> DataFrame:
     """Rows whose user curve is unknown or belongs to another occupancy."""
     known = Lookup(
-        library.df.where((F.col("kind") == kind) & (F.col("k") == 0))
+        library.df.where(F.col("kind") == kind)
         .select(F.trim("fn_id").alias("_fn"), F.col("Occupancy").alias("_locc")),
         library.bounded,
     )

@@ -29,11 +29,12 @@ def parse_features(lines: DataFrame, on_bad: str = "fail", on_nonfeature: str =
         f"struct<type:string,properties:struct<{fields}>,"
         "geometry:struct<type:string,coordinates:array<double>>,_bad:string>"
     )
-    text = F.trim(F.regexp_replace(line, "[\\r\\n\\t]", " "))
+    text = F.trim(F.col(line), F.lit(" \t\r\n"))
     rows = lines.select(*keep, text.alias("_line")).where(F.col("_line") != "")
     parsed = F.from_json("_line", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
     is_object = F.col("_line").startswith("{")
-    rows = rows.withColumn("_f", F.when(is_object, parsed)).withColumn(
+    # A one-element explode keeps the filters below from repeating the parse of every line.
+    rows = rows.withColumn("_f", F.explode(F.array(F.when(is_object, parsed)))).withColumn(
         "_malformed",
         F.when(is_object, F.col("_f").isNull() | F.col("_f._bad").isNotNull())
         .otherwise(F.try_parse_json("_line").isNull()),

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators.damage import DEPTH_COLUMNS, curves_long, first_curve
+from ..operators.damage import DEPTH_COLUMNS, curves_long, curves_packed, first_curve
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -36,14 +36,14 @@ def load_curves(spark: SparkSession, path: str, curve_set: str, key: str = "Spec
     return curves_long(conform_curves(raw, curve_set, key, order=order), ["curve_set", "curve_key"], ["ddf_id"])
 
 
-def library_long(raw: DataFrame, kind: str, id_col: str, occ: str = "Occupancy") -> DataFrame:
-    """A full curve library as long rows keyed by trimmed text id."""
+def library_packed(raw: DataFrame, kind: str, id_col: str, occ: str = "Occupancy") -> DataFrame:
+    """A full curve library, one row per trimmed text id with its points as an array."""
     wide = raw.select(
         F.lit(kind).alias("kind"), F.trim(F.col(id_col).cast("string")).alias("fn_id"), F.trim(occ).alias("Occupancy"),
         *[F.col(c) for c in DEPTH_COLUMNS.values()],
     )
-    return curves_long(wide, ["kind", "fn_id"], ["Occupancy"])
+    return curves_packed(wide, ["kind", "fn_id"], ["Occupancy"])
 
 
 def load_library(spark: SparkSession, path: str, kind: str, id_col: str) -> DataFrame:
-    return library_long(read_table(spark, path), kind, id_col)
+    return library_packed(read_table(spark, path), kind, id_col)
