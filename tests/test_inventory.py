@@ -93,3 +93,13 @@ def test_summary_manifest_and_params(spark):
         run_params().labels
     with pytest.raises(ValueError, match="unknown"):
         run_params({"nope": 1})
+
+
+def test_merged_scan_matches_columns_by_name(spark, tmp_path):
+    spark.createDataFrame([("a", 1.0)], "bid string, sqft double").write.parquet(str(tmp_path / "x"))
+    spark.createDataFrame([(2.0, "b", "z")], "sqft double, bid string, cbfips string").write.parquet(str(tmp_path / "y"))
+    paths = [str(tmp_path / p) for p in ("x", "y", "x")]
+    got = src.read_inventory(spark, paths).select("bid", "sqft", "cbfips").orderBy("bid").collect()
+    assert [tuple(r) for r in got] == [("a", 1.0, None), ("b", 2.0, "z")]
+    with pytest.raises(ValueError, match="at least one"):
+        src.read_inventory(spark, [])
