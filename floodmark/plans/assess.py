@@ -49,7 +49,9 @@ def assess(buildings: DataFrame, cells: DataFrame | Lookup, rasters: Sequence[Ra
         rows, lookups.econ, "_OCC", "_Area", "_InvCost" if mapping["InvCost"] else None, blank_means_default
     ).withColumn("InventoryCostUSD", F.when(ok, F.col("InventoryCostUSD")))
 
-    rows = rows.withColumn("_d", F.when(exposed, hazard.clamp("Depth_in_Struc")))
+    # One-element explodes start a new generated method; without them the whole assessment
+    # becomes one method that the JIT does not compile.
+    rows = rows.withColumn("_d", F.explode(F.array(F.when(exposed, hazard.clamp("Depth_in_Struc")))))
     d = F.col("_d")
     k = F.floor(d).cast("int")
     code = F.lit(str(text_flood_class(flood_class)))
@@ -64,10 +66,9 @@ def assess(buildings: DataFrame, cells: DataFrame | Lookup, rasters: Sequence[Ra
         rows = damage.override_curve(rows, lookups.library if mapping[field] else None, kind, f"_{field}", k)
 
     matched = exposed & F.col("_building_lo").isNotNull()
-    rows = rows.withColumns({
-        "status": F.when(exposed & ~matched, "UNMATCHED").otherwise(F.col("status")),
-        "_m": F.when(matched, d),
-    })
+    rows = rows.withColumn("_m", F.explode(F.array(F.when(matched, d)))).withColumn(
+        "status", F.when(exposed & F.col("_m").isNull(), "UNMATCHED").otherwise(F.col("status"))
+    )
     m = F.col("_m")
     rows = damage.debris(rows, lookups.debris, "_OCC", "_FoundationType", "_Area", m)
     rows = damage.restoration(rows, lookups.restoration, "_OCC", m)
