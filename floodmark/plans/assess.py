@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions import fixed_values as fv, hazard, text
+from ..functions import fixed_values as fv, hazard
 from ..operators import damage
 from ..operators.damage import Lookups
 from ..operators.joins import Lookup
