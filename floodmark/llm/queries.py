@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from floodmark.llm import quality
+from floodmark.llm import near_dedup, quality
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLE: dict[str, str] = {}
@@ -26,6 +26,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_WORDS = r"""list_filter(string_split_regex(coalesce({text}, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"""
+
+_OP1_SQL = f"""
+with recursive w as (
+  select doc_id, {_WORDS.format(text="translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} as w
+  from documents),
+s as (
+  select doc_id, case when len(w) = 0 then []::varchar[] when len(w) < 5 then [array_to_string(w, ' ')]
+    else list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) end as s
+  from w),
+e as (select doc_id, len(s) as n, unnest(s) as x from s),
+l as (
+  select a.doc_id as a, b.doc_id as b from e a join e b on a.x = b.x and a.doc_id <> b.doc_id
+  group by a.doc_id, b.doc_id, a.n, b.n having 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+r as (select a, b from l union select r.a, l.b from r join l on r.b = l.a),
+c as (select a, min(b) as low from r group by a)
+select doc_id, len(s)::bigint as n_shingles, least(coalesce(low, doc_id), doc_id) as component_id,
+  coalesce(low, doc_id) >= doc_id as kept
+from s left join c on c.a = s.doc_id
+"""
+
+
+@_query("op1_minhash_near_dedup", _OP1_SQL)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @_query("op10_quality_rules")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"))
