@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from floodmark.llm import decontaminate, near_dedup, quality
+from floodmark.llm import decontaminate, near_dedup, personal, quality
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLE: dict[str, str] = {}
@@ -53,6 +53,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@_query("op7_pii")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.digest(personal.find_personal_data(table(spark, sf_dir, "documents")))
+
+
 @_query("op9_benchmark_decontamination")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

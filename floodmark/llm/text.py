@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: ASCII white space between words.
@@ -20,21 +20,46 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), GAP), "")
 
 
-def matches(text: Column, pattern: str) -> Column:
-    """Leftmost non-overlapping matches in order: array<struct<start, end, found>>, code points, end exclusive.
+SPANS = "array<struct<start:int,end:int,kind:string,found:string>>"
 
-    The gaps between matches and the matches themselves come from two passes of the same pattern; offsets are running
-    sums of their lengths. The pattern must not match the empty string.
-    """
-    gaps = F.transform(F.split(text, pattern, -1), F.char_length)
-    found = F.regexp_extract_all(text, F.lit(pattern), 0)
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,found:string>>").alias("out"))
+
+def _placed(text: str, pattern: str, kind: str) -> Column:
+    """Spans of the matches of one kind, from the column of what was found."""
+    name = f"_found_{kind}"
+    gaps = F.transform(F.split(text, pattern, -1), lambda x: F.char_length(x))
+    pairs = F.arrays_zip(F.slice(gaps, 1, F.size(name)).alias("gap"), F.col(name).alias("found"))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("out"))
 
     def step(acc, x):
         begin = acc["at"] + x["gap"]
         end = begin + F.char_length(x["found"])
-        span = F.struct(begin.alias("start"), end.alias("end"), x["found"].alias("found"))
+        span = F.struct(begin.alias("start"), end.alias("end"), F.lit(kind).alias("kind"), x["found"].alias("found"))
         return F.struct(end.alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
 
-    pairs = F.arrays_zip(F.slice(gaps, 1, F.size(found)).alias("gap"), found.alias("found"))
-    return F.aggregate(pairs, start, step, lambda acc: acc["out"])
+    walked = F.aggregate(pairs, start, step, lambda acc: acc["out"])
+    return F.when(F.size(name) > 0, walked).otherwise(F.array().cast(SPANS))
+
+
+def with_matches(df: DataFrame, text: str, patterns: dict[str, tuple[str, Column]]) -> DataFrame:
+    """`df` with a column of spans for each kind of `patterns` (pattern, condition on the text that a match needs).
+
+    Leftmost non-overlapping matches in order as array<struct<start, end, kind, found>>; code points, end exclusive. The
+    matches come from one pass of the pattern; only texts that have some are split by it too, for the gaps between, and
+    offsets are running sums of both. A pattern must not match the empty string.
+    """
+    none = F.array().cast("array<string>")
+    found = df.select("*", *[
+        F.when(when, F.regexp_extract_all(text, F.lit(pattern), 0)).otherwise(none).alias(f"_found_{kind}")
+        for kind, (pattern, when) in patterns.items()
+    ])
+    spans = [_placed(text, pattern, kind).alias(kind) for kind, (pattern, _) in patterns.items()]
+    return found.select(*[column(c) for c in df.columns], *spans)
+
+
+def joined(spans: Column, order: list[str]) -> Column:
+    """kind:start:end of spans, by start, then kind in that order, comma-joined."""
+    kinds = F.array(*map(F.lit, order))
+    placed = F.sort_array(F.transform(spans, lambda s: F.struct(
+        s["start"].alias("start"), F.array_position(kinds, s["kind"]).alias("rank"), s["end"].alias("end"))))
+    return F.array_join(F.transform(placed, lambda s: F.concat_ws(
+        ":", F.element_at(kinds, s["rank"].cast("int")), s["start"].cast("string"), s["end"].cast("string"))), ",")
