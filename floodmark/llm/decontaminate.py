@@ -146,7 +146,7 @@ def _searching(texts: list[str], percent: int):
                 names, bodies = (c.to_pylist() for c in batch.slice(at, 128).columns)
                 rows += [(names[d], texts[i], *match) for d, i, *match in block.search(bodies)]
             columns = list(zip(*rows)) or [()] * 5
-            kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
+            kinds = [batch.schema.field(0).type, pa.string(), pa.int64(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(columns, kinds)], ["id", "text", "distance", "start_word", "end_word"]
             )
@@ -186,3 +186,12 @@ def contamination(
     return found.join(items, "text").select(
         F.col("id").alias(id_col), F.col("item").alias(item_col), "distance", "start_word", "end_word"
     )
+
+
+def clean_documents(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of `docs` in which no benchmark item is found, unchanged; rows are told apart by id and text."""
+    key = F.struct(column(id_col).alias("i"), F.xxhash64(column(text_col)).alias("h"))
+    found = contamination(docs.select(key.alias("key"), column(text_col).alias("text")), benchmark, "key", "text")
+    found = found.select("key.i", "key.h").distinct()
+    same = column(id_col).eqNullSafe(F.col("f.i")) & (F.xxhash64(column(text_col)) == F.col("f.h"))
+    return docs.join(found.alias("f"), same, "left_anti")

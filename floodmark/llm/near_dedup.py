@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from floodmark.llm.components import components
@@ -42,8 +42,8 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             prints.append(_print(found))
             bands.append(band_keys(signature(found, BANDS * ROWS)[None, :], ROWS)[0] if len(found) else none)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), _lists(bands)],
-            ["id", "n", "print", "bands"],
+            [batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), _lists(bands)],
+            ["id", "hash", "n", "print", "bands"],
         )
 
 
@@ -104,24 +104,12 @@ def _prefix_pairs(rest: DataFrame, sets: DataFrame, percent: int, scratch: Scrat
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT
-) -> DataFrame:
-    """One row per row of `docs`: id, n_shingles, component_id, kept.
-
-    A document's set is its distinct five-word shingles (A-Z lower-cased, ASCII white space). Documents are linked if
-    100 * intersection >= percent * union; component_id is the smallest id reachable, kept tells whether that is the
-    row's own. Null or blank text has no shingle and links with nothing. A null id cannot be named: the row keeps a null
-    component and stays. Rows that share an id are each judged by their own text. Other columns are not looked at. An empty table gives none.
-
-    Documents with equal sets are one class, found by grouping on a 128-bit hash. One row per class goes into the bands
-    (25 of 5 circulant coordinates; at similarity 0.85 a pair is missed with probability 4e-7). In each bucket all are
-    held against one pivot; where a bucket then still spans components, an exact prefix join finds every other pair.
-    All pairs are checked on full sets. No bucket is held in one task, and no pairs within a bucket are listed.
-    """
+def _classified(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
+    """near_duplicates as (id, hash of the text, n, low, kept)."""
     scratch = Scratch(docs.sparkSession)
-    narrow = docs.select(column(id_col).cast("long").alias("id"), column(text_col).alias("text"))
-    features = scratch.keep(narrow.mapInArrow(_features, "id long, n long, print binary, bands array<long>"))
+    text = column(text_col)
+    narrow = docs.select(column(id_col).cast("long").alias("id"), text.alias("text"), F.xxhash64(text).alias("hash"))
+    features = scratch.keep(narrow.mapInArrow(_features, "id long, hash long, n long, print binary, bands array<long>"))
 
     named = features.filter("n > 0 and id is not null")
     classes = scratch.keep(named.groupBy("print").agg(F.min("id").alias("first")))
@@ -146,9 +134,40 @@ def near_duplicates(
     whole = (
         features.join(classes, "print", "left")
         .join(label.withColumnRenamed("node", "first"), "first", "left")
-        .select("id", "n", F.when(F.col("id").isNotNull(), F.least("component", "first", "id")).alias("low"))
+        .select("id", "hash", "n", F.when(F.col("id").isNotNull(), F.least("component", "first", "id")).alias("low"))
     )
-    return whole.select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("low").alias("component_id"),
-        F.coalesce(F.col("low") == F.col("id"), F.lit(True)).alias("kept"),
+    return whole.withColumn("kept", F.coalesce(F.col("low") == F.col("id"), F.lit(True)))
+
+
+def near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT
+) -> DataFrame:
+    """One row per row of `docs`: id, n_shingles, component_id, kept.
+
+    A document's set is its distinct five-word shingles (A-Z lower-cased, ASCII white space). Documents are linked if
+    100 * intersection >= percent * union; component_id is the smallest id reachable, kept tells whether that is the
+    row's own. Null or blank text has no shingle and links with nothing. A null id cannot be named: the row keeps a null
+    component and stays. Rows that share an id are each judged by their own text. Other columns are not looked at. An empty table gives none.
+
+    Documents with equal sets are one class, found by grouping on a 128-bit hash. One row per class goes into the bands
+    (25 of 5 circulant coordinates; at similarity 0.85 a pair is missed with probability 4e-7). In each bucket all are
+    held against one pivot; where a bucket then still spans components, an exact prefix join finds every other pair.
+    All pairs are checked on full sets. No bucket is held in one task, and no pairs within a bucket are listed.
+    """
+    return _classified(docs, id_col, text_col, percent).select(
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("low").alias("component_id"), "kept"
     )
+
+
+def distinct_documents(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT
+) -> DataFrame:
+    """The rows of `docs` that near_duplicates keeps, unchanged; of rows equal in id and text one stays, the first by
+    the other columns. Rows with a null id all stay."""
+    kept = _classified(docs, id_col, text_col, percent).filter("kept and id is not null").select("id", "hash").distinct()
+    hashed = docs.select(F.struct("*").alias("row"), column(id_col).alias("id"), F.xxhash64(column(text_col)).alias("hash"))
+    others = [F.col("row")[c] for c in docs.columns if c != text_col]
+    first = F.row_number().over(Window.partitionBy("id", "hash").orderBy(*others))
+    single = hashed.filter("id is not null").withColumn("_n", first).filter("_n = 1").drop("_n")
+    rows = single.join(kept, ["id", "hash"], "left_semi").unionByName(hashed.filter("id is null"))
+    return rows.select("row.*")

@@ -86,6 +86,19 @@ def host_rates(measured: DataFrame, host: Column) -> DataFrame:
     )
 
 
+def _judged(docs: DataFrame, id_col: str, text_col: str, host_col: str, max_host_rate: float) -> DataFrame:
+    """quality_rules with the row's key (_id, _hash of the text, _host)."""
+    narrow = docs.select(
+        column(id_col).alias("_id"), F.xxhash64(column(text_col)).alias("_hash"), column(text_col).alias("_text"),
+        column(host_col).cast("string").alias("_host"),
+    )
+    measured = Scratch(docs.sparkSession).keep(measures(narrow, "_text").drop("_text"))
+    rates = host_rates(measured, F.col("_host"))
+    by_host = rates.select("host", F.col("rate").alias("host_rate"))
+    joined = measured.join(by_host, measured["_host"].eqNullSafe(by_host["host"]), "left")
+    return joined.withColumn("kept", ~F.col("base_failed") & (F.col("host_rate") <= max_host_rate))
+
+
 def quality_rules(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
     max_host_rate: float = MAX_HOST_RATE,
@@ -98,14 +111,20 @@ def quality_rules(
     nothing: each row gives one row. An empty table gives none. Text is read once and not shuffled: rows are measured
     into a narrow table first, and hosts are summed before they move.
     """
-    narrow = docs.select(
-        column(id_col).alias("_id"), column(text_col).alias("_text"), column(host_col).cast("string").alias("_host")
-    )
-    measured = Scratch(docs.sparkSession).keep(measures(narrow, "_text").drop("_text"))
-    rates = host_rates(measured, F.col("_host"))
-    by_host = rates.select("host", F.col("rate").alias("host_rate"))
-    joined = measured.join(by_host, measured["_host"].eqNullSafe(by_host["host"]), "left")
-    return joined.select(
+    return _judged(docs, id_col, text_col, host_col, max_host_rate).select(
         F.col("_id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        "base_failed", "host_rate", (~F.col("base_failed") & (F.col("host_rate") <= max_host_rate)).alias("kept"),
+        "base_failed", "host_rate", "kept",
+    )
+
+
+def good_documents(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
+    max_host_rate: float = MAX_HOST_RATE,
+) -> DataFrame:
+    """The rows of `docs` that quality_rules keeps, unchanged; rows are told apart by id, text and host."""
+    kept = _judged(docs, id_col, text_col, host_col, max_host_rate).filter("kept").select("_id", "_hash", "_host").distinct()
+    same = (
+        column(id_col).eqNullSafe(F.col("k._id")) & (F.xxhash64(column(text_col)) == F.col("k._hash"))
+        & column(host_col).cast("string").eqNullSafe(F.col("k._host"))
     )
+    return docs.join(kept.alias("k"), same, "left_semi")

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from floodmark.llm import decontaminate, near_dedup, personal, quality
+from floodmark.llm import bpe, decontaminate, near_dedup, personal, quality
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLE: dict[str, str] = {}
@@ -58,6 +59,14 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal.digest(personal.find_personal_data(table(spark, sf_dir, "documents")))
 
 
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+@_query("op8_byte_level_bpe")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN, arrays=False)
+
+
 @_query("op9_benchmark_decontamination")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
