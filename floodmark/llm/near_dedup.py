@@ -82,7 +82,7 @@ def _prefix_pairs(rest: DataFrame, sets: DataFrame, percent: int, scratch: Scrat
     """Pairs of different components in `rest` (id, part) that can be linked.
 
     Two sets of similarity t share an item among the first n - ceil(t n) + 1 of each, in any common order of items;
-    here rare items come first. An item's pairs are formed between documents outside its most frequent component and
+    here rare items come first, and the places of the first shared item bound the intersection. An item's pairs are formed between documents outside its most frequent component and
     all others, so a large group that is linked already costs nothing.
     """
     held = rest.join(sets, "id").select("id", "part", F.explode("items").alias("item"), F.size("items").alias("n"))
@@ -90,16 +90,22 @@ def _prefix_pairs(rest: DataFrame, sets: DataFrame, percent: int, scratch: Scrat
     # Items of one document sort first and link nothing, so only their number matters.
     common = held.join(shared, "item").groupBy("id", "part", "n").agg(F.collect_list(F.struct("df", "item")).alias("items"))
     length = F.col("n") - F.floor((percent * F.col("n") + 99) / 100) + 1
-    room = (length - (F.col("n") - F.size("items"))).cast("int")
-    prefix = scratch.keep(
-        common.filter(room > 0).select("id", "part", "n", F.explode(F.slice(F.sort_array("items"), 1, room)["item"]).alias("item"))
-    )
+    single = F.col("n") - F.size("items")
+    room = (length - single).cast("int")
+    first_items = F.slice(F.sort_array("items"), 1, room)["item"]
+    placed = common.filter(room > 0).select("id", "part", "n", single.alias("single"), F.posexplode(first_items).alias("at", "item"))
+    prefix = scratch.keep(placed.select("id", "part", "n", (F.col("single") + F.col("at")).alias("at"), "item"))
     counts = prefix.groupBy("item", "part").agg(F.count(F.lit(1)).alias("c"))
     main = counts.groupBy("item").agg(F.max(F.struct("c", "part"))["part"].alias("main"), F.count(F.lit(1)).alias("parts"))
     open_items = prefix.join(main.filter("parts > 1").select("item", "main"), "item")
-    outside = open_items.filter("part <> main").select("item", F.col("id").alias("a"), F.col("part").alias("pa"), F.col("n").alias("na"))
-    anyone = open_items.select("item", F.col("id").alias("b"), F.col("part").alias("pb"), F.col("n").alias("nb"), (F.col("part") == F.col("main")).alias("inside"))
-    can = (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & (F.col("pa") != F.col("pb"))
+    outside = open_items.filter("part <> main").select("item", F.col("id").alias("a"), F.col("part").alias("pa"), F.col("n").alias("na"), F.col("at").alias("ia"))
+    anyone = open_items.select(
+        "item", F.col("id").alias("b"), F.col("part").alias("pb"), F.col("n").alias("nb"), F.col("at").alias("ib"),
+        (F.col("part") == F.col("main")).alias("inside"),
+    )
+    # At the first item that two sets share, what follows bounds the whole intersection.
+    most = F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib"))
+    can = ((100 + percent) * most >= percent * (F.col("na") + F.col("nb"))) & (F.col("pa") != F.col("pb"))
     met = outside.join(anyone, "item").filter(can & (F.col("inside") | (F.col("a") < F.col("b"))))
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
