@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from floodmark.llm import bpe, decontaminate, near_dedup, personal, quality
+from floodmark.llm import bpe, decontaminate, near_dedup, personal, quality, secrets, shards
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLE: dict[str, str] = {}
@@ -54,6 +54,36 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+_OP3_SQL = """
+with h as (
+  select doc_id, coalesce(strlen(text), 0)::bigint as n_bytes,
+    ('0x' || substr(md5(coalesce(doc_id::varchar, '') || ':' || md5(coalesce(text, ''))), 1, 15))::bigint as h
+  from documents),
+u as (select h, sum(n_bytes)::bigint as bytes from h group by h),
+t as (select h, bytes, d, h >> (60 - d) as p from u, range(0, 61) r(d)),
+s as (select d, p, sum(bytes)::bigint as shard_bytes, count(*) as n from t group by d, p),
+f as (
+  select t.h, min(t.d) as d from t join s using (d, p)
+  where shard_bytes <= 1000000 or n = 1 or t.d = 60 group by t.h),
+r as (select *, row_number() over (partition by doc_id, h) - 1 as i from h)
+select doc_id, n_bytes, case when f.d = 0 then '' else lpad(bin(r.h >> (60 - f.d)), f.d::int, '0') end as shard,
+  f.d::int as depth,
+  case when shard_bytes > 1000000 then i // greatest(1, 1000000 // greatest(n_bytes, 1)) else 0 end::bigint as part,
+  shard_bytes
+from r join f on f.h = r.h join s on s.d = f.d and s.p = r.h >> (60 - f.d)
+"""
+
+
+@_query("op2_secret_scan")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.find_secrets(table(spark, sf_dir, "documents")))
+
+
+@_query("op3_extendible_sharding", _OP3_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.assign_shards(table(spark, sf_dir, "documents"))
+
+
 @_query("op7_pii")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal.digest(personal.find_personal_data(table(spark, sf_dir, "documents")))
