@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from floodmark.llm import bpe, decontaminate, near_dedup, personal, quality, secrets, shards
+from floodmark.llm import bpe, decontaminate, language, near_dedup, personal, quality, secrets, shards, urls
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLE: dict[str, str] = {}
@@ -84,6 +84,16 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.assign_shards(table(spark, sf_dir, "documents"))
 
 
+@_query("op5_language_id")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
+@_query("op6_url_filter")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge_urls(table(spark, sf_dir, "pages"))
+
+
 @_query("op7_pii")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal.digest(personal.find_personal_data(table(spark, sf_dir, "documents")))
