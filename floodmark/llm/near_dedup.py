@@ -69,13 +69,13 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.filter(100 * F.col("same") >= percent * (F.col("sizes") - F.col("same"))).select("a", "b")
 
 
-def _pivot_pairs(members: DataFrame) -> DataFrame:
+def _pivot_pairs(members: DataFrame, likely: int) -> DataFrame:
     """Pairs of a member and its bucket's pivot, the member with the most bucket mates over all bands."""
     score = members.groupBy("id").agg(F.sum("size").alias("score"))
     scored = members.join(score, "id").select("key", "id", F.struct("score", (-F.col("id")).alias("low")).alias("rank"))
     pivots = scored.groupBy("key").agg(F.max("rank").alias("top")).select("key", (-F.col("top.low")).alias("pivot"))
     shared = scored.join(pivots, "key").filter("id <> pivot").groupBy("id", "pivot").agg(F.count(F.lit(1)).alias("bands"))
-    return shared.filter(F.col("bands") >= LIKELY_BANDS).select(F.col("id").alias("a"), F.col("pivot").alias("b"))
+    return shared.filter(F.col("bands") >= likely).select(F.col("id").alias("a"), F.col("pivot").alias("b"))
 
 
 def _prefix_pairs(rest: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
@@ -110,6 +110,23 @@ def _prefix_pairs(rest: DataFrame, sets: DataFrame, percent: int, scratch: Scrat
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def linked_components(members: DataFrame, sets: DataFrame, percent: int, likely: int, scratch: Scratch) -> DataFrame:
+    """(node, component) of all links among `members` (key, id, size of the bucket), with `sets` (id, items).
+
+    First each member is held against the pivots with which it shares `likely` buckets. Where a bucket then still spans
+    components, the prefix join finds every other pair. All pairs are checked on full sets.
+    """
+    near = scratch.keep(_linked(_pivot_pairs(members, likely), sets, percent))
+    parts = components(near, scratch)
+    part = members.join(parts.withColumnRenamed("node", "id"), "id", "left").withColumn("part", F.coalesce("component", "id"))
+    part = scratch.keep(part.select("key", "id", "part"))
+    mixed = part.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).filter("lo <> hi").select("key")
+    rest = scratch.keep(part.join(mixed, "key", "left_semi").select("id", "part").distinct())
+    more = _linked(_prefix_pairs(rest, sets, percent, scratch), sets, percent)
+
+    return components(near.unionByName(more), scratch)
+
+
 def _classified(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
     """near_duplicates as (id, hash of the text, n, low, kept)."""
     scratch = Scratch(docs.sparkSession)
@@ -128,15 +145,7 @@ def _classified(docs: DataFrame, id_col: str, text_col: str, percent: int) -> Da
     texts = narrow.filter("id is not null").join(wanted, "id").select("id", "text", "print")
     sets = scratch.keep(texts.mapInArrow(_sets, "id long, items array<long>"))
 
-    near = scratch.keep(_linked(_pivot_pairs(members), sets, percent))
-    parts = components(near, scratch)
-    part = members.join(parts.withColumnRenamed("node", "id"), "id", "left").withColumn("part", F.coalesce("component", "id"))
-    part = scratch.keep(part.select("key", "id", "part"))
-    mixed = part.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).filter("lo <> hi").select("key")
-    rest = scratch.keep(part.join(mixed, "key", "left_semi").select("id", "part").distinct())
-    more = _linked(_prefix_pairs(rest, sets, percent, scratch), sets, percent)
-
-    label = components(near.unionByName(more), scratch)
+    label = linked_components(members, sets, percent, LIKELY_BANDS, scratch)
     whole = (
         features.join(classes, "print", "left")
         .join(label.withColumnRenamed("node", "first"), "first", "left")

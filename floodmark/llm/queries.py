@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from floodmark.llm import bpe, decontaminate, language, near_dedup, personal, quality, secrets, shards, urls
+from floodmark.llm import bpe, decontaminate, language, near_dedup, paragraphs, personal, quality, secrets, shards, urls
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLE: dict[str, str] = {}
@@ -84,6 +84,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.assign_shards(table(spark, sf_dir, "documents"))
 
 
+@_query("op4_substring_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraphs.repeated_paragraphs(table(spark, sf_dir, "documents"))
+
+
 @_query("op5_language_id")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
