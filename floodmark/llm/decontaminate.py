@@ -192,6 +192,6 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id
     """The rows of `docs` in which no benchmark item is found, unchanged; rows are told apart by id and text."""
     key = F.struct(column(id_col).alias("i"), F.xxhash64(column(text_col)).alias("h"))
     found = contamination(docs.select(key.alias("key"), column(text_col).alias("text")), benchmark, "key", "text")
-    found = found.select("key.i", "key.h").distinct()
-    same = column(id_col).eqNullSafe(F.col("f.i")) & (F.xxhash64(column(text_col)) == F.col("f.h"))
-    return docs.join(found.alias("f"), same, "left_anti")
+    found = found.select(F.col("key.i").alias("_found_id"), F.col("key.h").alias("_found_hash")).distinct()
+    same = column(id_col).eqNullSafe(F.col("_found_id")) & (F.xxhash64(column(text_col)) == F.col("_found_hash"))
+    return docs.join(found, same, "left_anti")

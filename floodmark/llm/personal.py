@@ -172,12 +172,12 @@ def _masked(text: Column, spans: Column) -> Column:
 def mask_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """`docs` with each personal span in the text replaced by <kind>. Rows without one, null text too, stay as they are."""
     spans = find_personal_data(docs, id_col, text_col).filter(F.size("spans") > 0).dropDuplicates(["_id", "_hash"])
-    text = column(text_col)
     held = docs.select(F.struct("*").alias("row"), *_named(docs, id_col, text_col)[:2])
     same = held["_id"].eqNullSafe(spans["_id"]) & (held["_hash"] == spans["_hash"])
-    both = held.join(spans.select("_id", "_hash", "spans"), same, "left").select("row.*", "spans")
+    both = held.join(spans.select("_id", "_hash", "spans"), same, "left").select("row", "spans")
+    text = F.col("row")[text_col]
     new = F.when(F.col("spans").isNull(), text).otherwise(_masked(text, F.col("spans")))
-    return both.select(*[new.alias(c) if c == text_col else column(c) for c in docs.columns])
+    return both.select(*[(new if c == text_col else F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -122,9 +122,10 @@ def good_documents(
     max_host_rate: float = MAX_HOST_RATE,
 ) -> DataFrame:
     """The rows of `docs` that quality_rules keeps, unchanged; rows are told apart by id, text and host."""
-    kept = _judged(docs, id_col, text_col, host_col, max_host_rate).filter("kept").select("_id", "_hash", "_host").distinct()
+    kept = _judged(docs, id_col, text_col, host_col, max_host_rate).filter("kept").select(
+        F.col("_id").alias("_kept_id"), F.col("_hash").alias("_kept_hash"), F.col("_host").alias("_kept_host")).distinct()
     same = (
-        column(id_col).eqNullSafe(F.col("k._id")) & (F.xxhash64(column(text_col)) == F.col("k._hash"))
-        & column(host_col).cast("string").eqNullSafe(F.col("k._host"))
+        column(id_col).eqNullSafe(F.col("_kept_id")) & (F.xxhash64(column(text_col)) == F.col("_kept_hash"))
+        & column(host_col).cast("string").eqNullSafe(F.col("_kept_host"))
     )
-    return docs.join(kept.alias("k"), same, "left_semi")
+    return docs.join(kept, same, "left_semi")
