@@ -287,31 +287,37 @@ def _(t):
     return damage.curve_qc(rotated, t.lookups.library, "building", "BDDF_ID", "Occ", "FltyId")
 
 
-@query("q_sample_depth", "select bid, Depth_Grid from sampled where GridName = 'G1'", ("inventory", "depth_cell"), ",".join([GRID_CTE, sampled_cte("inventory", "latitude", "longitude")]))
+@query("q_sample_depth", "select bid, GridName, Depth_Grid from sampled", ("inventory", "depth_cell"), ",".join([GRID_CTE, sampled_cte("inventory", "latitude", "longitude")]))
 def _(t):
     points = t.inventory.select("bid", "latitude", "longitude")
-    return raster.sample_depth(points, t.wet, GRIDS[:1], "latitude", "longitude").select("bid", "Depth_Grid")
+    return raster.sample_depth(points, t.wet, GRIDS, "latitude", "longitude").select("bid", "GridName", "Depth_Grid")
 
 
 @query("q_multi_raster", "select GridName, Depth_Grid, count(*) as n from sampled group by all", ("inventory", "depth_cell"), ",".join([GRID_CTE, sampled_cte("inventory", "latitude", "longitude")]))
 def _(t):
     points = t.inventory.select("latitude", "longitude")
-    grids = raster.rasters_from(t.raster_meta)
-    return raster.sample_depth(points, t.wet, grids, "latitude", "longitude").groupBy("GridName", "Depth_Grid").agg(F.count("*").alias("n"))
+    return raster.sample_depth(points, t.wet, t.raster_meta, "latitude", "longitude").groupBy("GridName", "Depth_Grid").agg(F.count("*").alias("n"))
 
 
-@query("q_cell_index", """select bid, cast(floor((30.0::double - latitude) / 0.05::double) as bigint) as row, cast(floor((longitude + 85.0::double) / 0.05::double) as bigint) as col,
-    floor((30.0::double - latitude) / 0.05::double) between 0 and 99 and floor((longitude + 85.0::double) / 0.05::double) between 0 and 79 as inside, cast(trunc((30.0::double - latitude) / 0.05::double) as bigint) as row_truncated from inventory""", ("inventory",))
+@query("q_cell_index", """select bid, raster_id, cast(floor((30.0::double - latitude) / 0.05::double) as bigint) as row, cast(floor((longitude + 85.0::double) / 0.05::double) as bigint) as col,
+    floor((30.0::double - latitude) / 0.05::double) between 0 and 99 and floor((longitude + 85.0::double) / 0.05::double) between 0 and 79 as inside, cast(trunc((30.0::double - latitude) / 0.05::double) as bigint) as row_truncated
+    from inventory, (values ('G1'), ('G2')) g(raster_id)""", ("inventory",))
 def _(t):
     points = t.inventory.select("bid", "latitude", "longitude")
     cut = geodesy.cell_number("latitude", 30.0, 0.05, flip=True, truncate=True)
-    return raster.cell_index(points, GRIDS[:1], "latitude", "longitude").select("bid", "row", "col", "inside", cut.alias("row_truncated"))
+    return raster.cell_index(points, GRIDS, "latitude", "longitude").select("bid", "raster_id", "row", "col", "inside", cut.alias("row_truncated"))
 
 
-@query("q_remap_codes", """select rr as row, cc as col, case value when 1 then 1.0::double when 2 then 1.0::double when 3 then 3.0::double when 4 then 6.0::double when 5 then 9.0::double else -9999.0::double end as feet
-    from cell where raster_id = 'G1'""", ("cell",))
+@query("q_cell_hits", """select bid, raster_id, cast(floor((30.0::double - latitude) / 0.05::double) as bigint) as row, cast(floor((longitude + 85.0::double) / 0.05::double) as bigint) as col
+    from inventory, (values ('G1'), ('G2')) g(raster_id) where floor((30.0::double - latitude) / 0.05::double) between 0 and 99 and floor((longitude + 85.0::double) / 0.05::double) between 0 and 79""", ("inventory",))
 def _(t):
-    return raster.remap_codes(t.cells("cell").where("raster_id = 'G1'")).select("row", "col", F.col("value").alias("feet"))
+    return raster.cell_hits(t.inventory.select("bid", "latitude", "longitude"), t.raster_meta, "latitude", "longitude").select("bid", "raster_id", "row", "col")
+
+
+@query("q_remap_codes", """select raster_id, rr as row, cc as col, case value when 1 then 1.0::double when 2 then 1.0::double when 3 then 3.0::double when 4 then 6.0::double when 5 then 9.0::double else -9999.0::double end as feet
+    from cell""", ("cell",))
+def _(t):
+    return raster.remap_codes(t.cells("cell")).select("raster_id", "row", "col", F.col("value").alias("feet"))
 
 
 @query("q_raster_bounds", "select raster_id, -85.0::double as \"left\", 30 - ph * height as bottom, -85 + pw * width as \"right\", 30.0::double as top from raster_meta", ("raster_meta",))
@@ -319,13 +325,12 @@ def _(t):
     return raster.raster_bounds(t.raster_meta)
 
 
-@query("q_wet_tiles", """select bid, cost from (select distinct bid, val_struct as cost, floor(floor((30.0::double - latitude) / 0.05::double) / 4) as tr, floor(floor((longitude + 85.0::double) / 0.05::double) / 4) as tc, latitude, longitude from inventory
+@query("q_wet_tiles", """select bid, cost, raster_id from (select distinct bid, val_struct as cost, floor(floor((30.0::double - latitude) / 0.05::double) / 4) as tr, floor(floor((longitude + 85.0::double) / 0.05::double) / 4) as tc, latitude, longitude from inventory
       where floor((30.0::double - latitude) / 0.05::double) between 0 and 99 and floor((longitude + 85.0::double) / 0.05::double) between 0 and 79) p
-    where (tr, tc) in (select floor(rr / 4), floor(cc / 4) from depth_cell where raster_id = 'G2' and value > 25 and not isnan(value))""", ("inventory", "depth_cell"))
+    join (select distinct raster_id, floor(rr / 4) as tr, floor(cc / 4) as tc from depth_cell where value > 0 and not isnan(value) and value <> -9999) w using (tr, tc)""", ("inventory", "depth_cell"))
 def _(t):
     points = t.inventory.select("bid", F.col("val_struct").alias("cost"), "latitude", "longitude").distinct()
-    deep = t.cells().where("raster_id = 'G2' and value > 25")
-    return raster.wet_tiles(points, deep, GRIDS[1:], tile=4).select("bid", "cost")
+    return raster.wet_tiles(points, t.cells(), GRIDS, tile=4).select("bid", "cost", "raster_id")
 
 
 @query("q_selectivity", """select GridName as raster_id, count(*) as buildings, count(*) filter (where latitude between 25 and 30 and longitude < -81) as in_extent, count(*) filter (where Depth_Grid > 0) as on_wet_cell,
@@ -351,6 +356,10 @@ def _(t):
                     F.round(F.col("u.northing") * 100).cast("bigint").alias("northing_cm"))
 
 
-@query("q_json_records")
+@query("q_json_records", """select FltyId, round(case when dry then 0.0::double when hit then fb * 100 end, 6) as BldgDmgPct, round(case when dry then 0.0::double when hit then fb * trunc(cost) end, 6) as BldgLossUSD, cbfips
+    from assessed""", _ASSESS_TABLES, BUILDING_ASSESS)
 def _(t):
-    return exports.to_json_records(assessed(t, wet_only=True).select("FltyId", "BldgDmgPct", "BldgLossUSD", "cbfips"))
+    """The JSON texts are read back, so that their fields can be compared."""
+    records = exports.to_json_records(assessed(t).select("FltyId", "BldgDmgPct", "BldgLossUSD", "cbfips"))
+    parsed = F.from_json("record", "FltyId string, BldgDmgPct double, BldgLossUSD double, cbfips string")
+    return records.select(parsed.alias("r")).select("r.*")

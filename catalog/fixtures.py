@@ -279,19 +279,20 @@ SQL = {
         select s_suppkey, cast(-85 as double) + cast(s_suppkey % 20 as double) / 4 as x0,
           cast(25 as double) + cast(cast(floor(cast(s_suppkey as double) / 20) as bigint) % 20 as double) / 4 as y0 from {supplier}""",
     "edge": " union all ".join(_edges(_CONCAVE, "s_suppkey % 3 <> 0") + _edges(_SLANTED, "s_suppkey % 3 = 0")),
+    # Around the first polygons: some boxes lie inside, some cross a border, some miss, every seventh is far away.
     "extent": """
-        select 'E' || cast(c_nationkey as string) as raster_id, min(x0) as "left", min(y0) as bottom, min(x0) + 0.3e0 as "right", min(y0) + 0.3e0 as top
-        from (select c_nationkey, cast(-86 as double) + cast(c_custkey % 97 as double) / 14 as x0, cast(24 as double) + cast(c_custkey % 89 as double) / 15 as y0
-          from {customer}) a
-        group by c_nationkey""",
+        select 'E' || cast(n_nationkey as string) as raster_id, left_x, bottom, left_x + 0.05e0 + cast(n_nationkey % 4 as double) / 10 as right_x,
+          bottom + 0.05e0 + cast(n_nationkey % 3 as double) / 10 as top
+        from (select n_nationkey, case when n_nationkey % 7 = 0 then cast(-60 as double) else cast(-85 as double) end + cast(n_nationkey % 20 as double) / 4
+            + cast(n_nationkey % 5 - 2 as double) * 0.06e0 as left_x, cast(25 as double) + cast(n_nationkey % 3 - 1 as double) / 10 as bottom
+          from {nation}) a""",
     "failed_unit": """
-        select 'P' || cast(s_suppkey as string) as poly_id from {supplier} where s_suppkey % 4 = 1""",
+        select 'P' || cast(s_suppkey as string) as poly_id from {supplier} where s_suppkey % 3 = 1""",
     "boundary": f"""
         select st || co as GEOID, 'Boundary ' || co as NAME from (
           select {pick(STATE_CODES, 's_suppkey % 5')} as st, {pad('s_suppkey % 9 + 1', 3)} as co from {{supplier}}) a
         group by st, co""",
 }
-SQL["extent"] = SQL["extent"].replace('"left"', "left_x").replace('"right"', "right_x")
 
 GRIDS = [Raster(name, -85.0, 30.0, 0.05, 0.05, 80, 100) for name in ("G1", "G2")]
 

@@ -147,9 +147,9 @@ def _(t):
     return spatial.polygons_in_extent(t.edge, t.extents)
 
 
-@query("q_completeness_gate", "select poly_id, poly_id in (select poly_id from touch where raster_id in ('E1', 'E2', 'E3')) as intersects from failed_unit", ("failed_unit", "edge", "extent"), TOUCH_CTE)
+@query("q_completeness_gate", "select poly_id, poly_id in (select poly_id from touch) as intersects from failed_unit", ("failed_unit", "edge", "extent"), TOUCH_CTE)
 def _(t):
-    return spatial.completeness_report(t.failed_unit, t.edge, t.extents.where("raster_id in ('E1', 'E2', 'E3')"))
+    return spatial.completeness_report(t.failed_unit, t.edge, t.extents)
 
 
 @query("q_event_states", """select state, count(*) as n from (select *, 'P' || cast(case state when 'Florida' then 3 when 'Georgia' then 5 when 'Louisiana' then 8 when 'Texas' then 12 else 14 end as varchar) as unit from inventory) i

@@ -99,7 +99,7 @@ _STATE_KEY_SQL = """case when regexp_full_match(trim(token), '[0-9]{2}') then tr
     from keyed join states s on key in (s.fips, s.abbr, lower(s.name)) group by all""", ("state_token",),
     extra=f"states(name, abbr, fips) AS (values {_STATE_VALUES}), keyed AS (select pos, {_STATE_KEY_SQL} as key from state_token)")
 def _(t):
-    return inv.resolve_states(t.state_token, "token", "pos")
+    return inv.resolve_states(t.state_token, "token", "pos", on_unknown="warn")
 
 
 @query("q_unresolved_states", """select distinct token from keyed where not exists (select 1 from states s where key in (s.fips, s.abbr, lower(s.name)))""",
@@ -184,16 +184,14 @@ def _(t):
 @query("q_scan_merge", """select l_returnflag as flag, count(*) as n, count(extra) as n_extra, round(sum(l_quantity), 4) as qty
     from (select l_returnflag, l_quantity, null as extra from lineitem union all select o_orderstatus, null, o_orderkey from orders) a group by all""")
 def _(t):
-    lines = t.lineitem.select("l_returnflag", "l_quantity")
-    orders = t.orders.select(F.col("o_orderstatus").alias("l_returnflag"), F.col("o_orderkey").alias("extra"))
-    both = inv.union_states([lines, orders])
-    return both.groupBy(F.col("l_returnflag").alias("flag")).agg(
-        F.count("*").alias("n"), F.count("extra").alias("n_extra"), F.round(F.sum("l_quantity"), 4).alias("qty"))
+    both = src.read_inventory(t.spark, [f"{t.dir}/lineitem.parquet", f"{t.dir}/orders.parquet"], merge=True)
+    return both.groupBy(F.coalesce("l_returnflag", "o_orderstatus").alias("flag")).agg(
+        F.count("*").alias("n"), F.count("o_orderkey").alias("n_extra"), F.round(F.sum("l_quantity"), 4).alias("qty"))
 
 
 @query("q_state_scan", "select state, count(*) as n from inventory where lower(state) in ('florida', 'north_carolina') group by state", ("inventory",))
 def _(t):
-    return src.scan_states(t.inventory, ["FLORIDA", "North Carolina", "Ohio"], strict=False).groupBy("state").agg(F.count("*").alias("n"))
+    return src.scan_states(t.inventory, ["FLORIDA", "North Carolina", "Ohio"], on_missing="warn").groupBy("state").agg(F.count("*").alias("n"))
 
 
 @query("q_unmatched_states", """select w.state from (values ('florida'), ('ohio'), ('new_york')) w(state)

@@ -29,7 +29,7 @@ def specific_occupancy(occ, stories, foundation) -> Column:
     occ, stories, foundation = _col(occ), _col(stories), _col(foundation)
     size = F.length(occ)
     tail = (
-        F.when(size > 3, F.substring(occ, 4, 100))
+        F.when(size > 3, F.substr(occ, F.lit(4)))
         .when(size == 3, occ)
         .when(size == 2, F.substring(occ, 2, 1))
         .otherwise(F.lit(""))
@@ -127,16 +127,17 @@ def damage_state(damage_pct) -> Column:
 
 
 def intensity(depth, damage_pct, low: float | Column = 4.0, medium: float | Column = 9.0,
-              high: float | Column = 12.0) -> Column:
+              high: float | Column = 12.0, damage_low: float | Column = 0.0, damage_medium: float | Column = 15.0,
+              damage_high: float | Column = 35.0) -> Column:
     """Intensity zone of a building: by surge depth first, else by damage percentage."""
     depth, damage = _col(depth), _col(damage_pct)
     return (
         F.when(depth > high, "HIGH")
         .when(depth >= medium, "MEDIUM")
         .when(depth >= low, "LOW")
-        .when(damage > 35, "HIGH")
-        .when(damage > 15, "MEDIUM")
-        .when(damage > 0, "LOW")
+        .when(damage > damage_high, "HIGH")
+        .when(damage > damage_medium, "MEDIUM")
+        .when(damage > damage_low, "LOW")
         .otherwise("NONE")
     )
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions import fixed_values as fv, hazard, text
 from .inventory import first_per_key
-from .joins import Lookup, as_lookup
+from .joins import Lookup, lookup, one_per_key
 
 DEPTHS = list(range(fv.CURVE_MIN_FT, fv.CURVE_MAX_FT + 1))
 DEPTH_COLUMNS = {k: (f"m{-k}" if k < 0 else f"p{k}") for k in DEPTHS}
@@ -38,8 +38,20 @@ class Lookups:
     @classmethod
     def of(cls, curves: DataFrame, debris: DataFrame, restoration: DataFrame, econ: DataFrame,
            library: DataFrame | None = None) -> Lookups:
-        return cls(*(as_lookup(t) for t in (curves, debris, restoration, econ)),
-                   library=None if library is None else as_lookup(library))
+        """One row per key of each table, the first by its other columns, so that no building is repeated."""
+        return cls(
+            lookup(one_per_key(curves, ["curve_set", "curve_key", "k"], ["ddf_id"])),
+            lookup(one_per_key(debris, ["DebrisID"])), lookup(one_per_key(restoration, ["RestFnID"])),
+            lookup(one_per_key(econ, ["Occupancy"])),
+            library=None if library is None else user_library(library),
+        )
+
+
+def user_library(library: DataFrame) -> Lookup:
+    """User curves with trimmed ids, one per kind and id: the first by occupancy."""
+    trimmed = library.withColumn("fn_id", F.trim("fn_id"))
+    occupancy = next(c for c in trimmed.columns if c.lower() == "occupancy")
+    return lookup(one_per_key(trimmed, ["kind", "fn_id"], [occupancy]))
 
 
 def curves_long(wide: DataFrame, keys: Sequence[str], extra: Sequence[str] = ()) -> DataFrame:

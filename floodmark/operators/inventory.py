@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
@@ -126,8 +127,20 @@ def _state_keys(spark: SparkSession) -> DataFrame:
     return state_dimension(spark).withColumn("state_key", F.explode(keys))
 
 
-def resolve_states(df: DataFrame, col: str, pos: str) -> DataFrame:
-    """States named by ``col`` (code, abbreviation or name), once each, in first-seen order."""
+def resolve_states(df: DataFrame, col: str, pos: str, on_unknown: str = "fail") -> DataFrame:
+    """States named by ``col`` (code, abbreviation or name), once each, in first-seen order.
+
+    An identifier that names no state stops the run, or with ``on_unknown="warn"`` is left out with a warning;
+    :func:`unresolved_states` lists them.
+    """
+    if on_unknown not in ("fail", "warn"):
+        raise ValueError("on_unknown must be 'fail' or 'warn'")
+    unknown = unresolved_states(df, col).agg(F.count("*"), F.min(col)).first()
+    if unknown[0]:
+        message = f"{unknown[0]} identifiers name no state, first {unknown[1]!r}"
+        if on_unknown == "fail":
+            raise ValueError(message)
+        warnings.warn(message, stacklevel=2)
     keyed = df.withColumn("state_key", text.state_key(col))
     return (
         keyed.join(F.broadcast(_state_keys(df.sparkSession)), "state_key")

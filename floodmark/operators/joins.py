@@ -5,37 +5,47 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 BROADCAST_ROWS = 1_000_000
-SALTS = 16
+BROADCAST_BYTES = 256_000_000
 
 
 @dataclass(frozen=True)
 class Lookup:
-    """A lookup table and whether its row count was found to be within the broadcast bound."""
+    """A lookup table and whether its rows and bytes were found to be within the broadcast bounds."""
 
     df: DataFrame
     bounded: bool
 
     def join(self, rows: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
-        """Join ``rows`` to the table: broadcast within the bound, salted shuffle join beyond it.
+        """Join ``rows`` to the table: broadcast within the bounds, a shuffle join beyond them.
 
-        The salt is a hash of the row, so a recomputed task sends each row where it went
-        before.  One hot key is spread over ``SALTS`` shuffle keys; adaptive execution splits
-        what is still skewed.
+        The table has one row per key (see :func:`one_per_key`), so a hot key is hot in ``rows`` only and
+        adaptive execution splits its partition, equal rows too, and reads the key's row once per split.
         """
-        on = list(on)
-        if self.bounded:
-            return rows.join(F.broadcast(self.df), on, how)
-        salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int"))
-        copies = self.df.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        return salted.join(copies, [*on, "_salt"], how).drop("_salt")
+        table = F.broadcast(self.df) if self.bounded else self.df
+        return rows.join(table, list(on), how)
 
 
-def lookup(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> Lookup:
-    """Check the row count of ``df`` (at most ``max_rows + 1`` rows are read) and wrap it."""
-    return Lookup(df, df.limit(max_rows + 1).count() <= max_rows)
+def measured(df: DataFrame) -> tuple[int, int]:
+    """Rows of a table and their bytes as JSON text, summed in every task before anything moves."""
+    size = F.octet_length(F.to_json(F.struct("*")))
+    row = df.agg(F.count("*"), F.coalesce(F.sum(size.cast("bigint")), F.lit(0))).first()
+    return row[0], row[1]
+
+
+def lookup(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> Lookup:
+    """Count the rows and bytes of ``df`` and wrap it."""
+    rows, size = measured(df)
+    return Lookup(df, rows <= max_rows and size <= max_bytes)
+
+
+def one_per_key(df: DataFrame, keys: Sequence[str], first: Sequence[str] = ()) -> DataFrame:
+    """One row per key: the first by ``first``, then by the remaining columns; nulls last."""
+    rest = [*first, *[c for c in df.columns if c not in (*keys, *first)]]
+    window = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in rest])
+    return df.withColumn("_rn", F.row_number().over(window)).where("_rn = 1").drop("_rn")
 
 
 def as_lookup(table: DataFrame | Lookup) -> Lookup:

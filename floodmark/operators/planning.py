@@ -10,12 +10,26 @@ from ..functions import fixed_values as fv, geodesy, hazard
 from .inventory import first_per_key
 
 
+RUN = ("event", "adv", "flc")
+
+
+def per_run(pred: DataFrame, key: Sequence[str] = ("fltyid", "state"), run: Sequence[str] = RUN) -> DataFrame:
+    """One row per building and run, the worst of its grids: planning counts each building once per run."""
+    order = [F.col(c).desc_nulls_last() for c in ("bldgdmgpct", "depth_grid")]
+    rest = [F.col(c).asc_nulls_last() for c in pred.columns if c not in (*key, *run, "bldgdmgpct", "depth_grid")]
+    return first_per_key(pred, [*run, *key], [*order, *rest])
+
+
 def affected_impacted(df: DataFrame, by: Sequence[str] = ("event", "county_fips5"),
-                      zone: Column | None = None) -> DataFrame:
-    """Long table per zone: residential buildings and people affected (depth > 0) and impacted (damage > 0)."""
+                      zone: Column | None = None, min_damage: float = 0.0) -> DataFrame:
+    """Long table per zone: residential buildings and people affected (depth > 0) and impacted (damage > min_damage).
+
+    ``df`` holds a building once for each group of ``by``; a store of several advisories or flood classes goes
+    through :func:`per_run` first, with the run's columns in ``by``.
+    """
     zone = zone if zone is not None else hazard.intensity("depth_grid", "bldgdmgpct")
     affected = F.count_if(F.col("depth_grid") > 0)
-    impacted = F.count_if(F.col("bldgdmgpct") > 0)
+    impacted = F.count_if(F.col("bldgdmgpct") > min_damage)
     return (
         df.where(F.col("occ").startswith("RES")).withColumn("zone", zone).where(F.col("zone") != "NONE")
         .groupBy(*by, "zone").agg(affected.alias("bldg_affected"), impacted.alias("bldg_impacted"))

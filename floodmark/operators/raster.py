@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import fixed_values as fv, geodesy
-from .joins import Lookup, as_lookup
+from .joins import Lookup, as_lookup, lookup, one_per_key
 
-MAX_RASTERS = 1000
+TILE_DEGREES, TILE_METRES, OWN_ZONE = 1.0, 100_000.0, 61
+HEADER = ("raster_id string, x0 double, y0 double, pw double, ph double, width int, height int, nodata double, "
+          "is_projected_metre boolean, zone int")
 OUTSIDE_KEYS = 1 << 20
 
 
@@ -36,13 +37,24 @@ class Raster:
         return (self.x0, self.y0 - self.ph * self.height, self.x0 + self.pw * self.width, self.y0)
 
 
-def rasters_from(meta: DataFrame) -> list[Raster]:
-    """Grid headers of a metadata table; the run's grid list is limited to ``MAX_RASTERS``."""
-    rows = meta.limit(MAX_RASTERS + 1).collect()
-    if len(rows) > MAX_RASTERS:
-        raise ValueError(f"more than {MAX_RASTERS} grids in one run")
-    names = [f for f in Raster.__dataclass_fields__ if f in meta.columns]
-    return [Raster(**{n: r[n] for n in names if r[n] is not None}) for r in rows]
+def headers(spark: SparkSession, rasters: Sequence[Raster] | DataFrame) -> DataFrame:
+    """Grid headers as a table, one row per grid id: of a list, or of a metadata table with defaults filled in."""
+    names = list(Raster.__dataclass_fields__)
+    if isinstance(rasters, DataFrame):
+        table = rasters
+    else:
+        if not rasters:
+            raise ValueError("at least one grid is needed")
+        table = spark.createDataFrame([tuple(getattr(r, n) for n in names) for r in rasters], HEADER)
+    given = {f.name for f in table.schema}
+    kinds = dict(f.split() for f in HEADER.split(", "))
+    defaults = {"nodata": fv.SURGE_NODATA, "is_projected_metre": False, "zone": None}
+    cols = {
+        n: F.coalesce(F.col(n).cast(kinds[n]), F.lit(defaults.get(n)).cast(kinds[n])) if n in given
+        else F.lit(defaults[n]).cast(kinds[n])
+        for n in names
+    }
+    return one_per_key(table.select(*[c.alias(n) for n, c in cols.items()]), ["raster_id"])
 
 
 def raster_bounds(meta: DataFrame) -> DataFrame:
@@ -66,72 +78,100 @@ def remap_codes(cells: DataFrame, mapping: dict[int, float] | None = None,
     return cells.withColumn("value", F.coalesce(F.when(whole, feet), F.lit(float(nodata))))
 
 
-def per_raster(rasters: Sequence[Raster], pick) -> Column:
-    """A literal chosen by the ``raster_id`` column."""
-    return reduce(
-        lambda chain, r: chain.when(F.col("raster_id") == r.raster_id, F.lit(pick(r))),
-        rasters[1:],
-        F.when(F.col("raster_id") == rasters[0].raster_id, F.lit(pick(rasters[0]))),
-    )
-
-
-def wet_cells(cells: DataFrame, rasters: Sequence[Raster]) -> DataFrame:
-    """Cells that carry a depth: grids of this run, without nodata, NaN and zero."""
+def wet_cells(cells: DataFrame, rasters: Sequence[Raster] | DataFrame) -> DataFrame:
+    """Cells that carry a depth: grids of this run, without nodata, NaN and zero; of a repeated cell the deepest."""
     value = F.col("value")
+    own = lookup(headers(cells.sparkSession, rasters).select("raster_id", "nodata"))
     return (
-        cells.where(F.col("raster_id").isin([r.raster_id for r in rasters]))
-        .where(value.isNotNull() & ~F.isnan(value) & (value != 0) & (value != per_raster(rasters, lambda r: float(r.nodata))))
-        .select("raster_id", F.col("row").cast("bigint").alias("row"), F.col("col").cast("bigint").alias("col"), value)
+        own.join(cells, ["raster_id"], "inner")
+        .where(value.isNotNull() & ~F.isnan(value) & (value != 0) & (value != F.col("nodata")))
+        .groupBy("raster_id", F.col("row").cast("bigint").alias("row"), F.col("col").cast("bigint").alias("col"))
+        .agg(F.max(value).alias("value"))
     )
 
 
-def cell_index(points: DataFrame, rasters: Sequence[Raster], lat: str = "Latitude", lon: str = "Longitude",
-               truncate: bool = False) -> DataFrame:
-    """Every point once per grid, with ``raster_id``, ``row``, ``col`` and ``inside``."""
-    if not 0 < len(rasters) <= MAX_RASTERS:
-        raise ValueError(f"between 1 and {MAX_RASTERS} grids are needed")
-    columns = points.columns
-    headers = F.array(*[
-        F.struct(
-            F.lit(r.raster_id).alias("raster_id"), F.lit(float(r.x0)).alias("x0"), F.lit(float(r.y0)).alias("y0"),
-            F.lit(float(r.pw)).alias("pw"), F.lit(float(r.ph)).alias("ph"),
-            F.lit(int(r.width)).alias("w"), F.lit(int(r.height)).alias("h"),
-            F.lit(bool(r.is_projected_metre)).alias("metre"), F.lit(r.zone).cast("int").alias("zone"),
-        )
-        for r in rasters
-    ])
-    out = points.withColumn("_g", F.explode(headers))
-    x, y = F.col(lon), F.col(lat)
-    if any(r.is_projected_metre for r in rasters):
-        out = out.withColumn("_m", F.when(F.col("_g.metre"), geodesy.to_utm(lat, lon, F.col("_g.zone"))))
-        x, y = F.coalesce("_m.easting", x), F.coalesce("_m.northing", y)
-    out = out.select(
+def _numbered(rows: DataFrame, columns: Sequence[str], x: Column, y: Column, truncate: bool) -> DataFrame:
+    """Cell numbers of positions in the grid ``_g`` beside them."""
+    out = rows.select(
         *columns,
         F.col("_g.raster_id").alias("raster_id"),
         geodesy.cell_number(y, F.col("_g.y0"), F.col("_g.ph"), flip=True, truncate=truncate).alias("row"),
         geodesy.cell_number(x, F.col("_g.x0"), F.col("_g.pw"), truncate=truncate).alias("col"),
-        F.col("_g.w").alias("_w"), F.col("_g.h").alias("_h"),
+        F.col("_g.width").alias("_w"), F.col("_g.height").alias("_h"),
     )
     inside = F.col("row").between(0, F.col("_h") - 1) & F.col("col").between(0, F.col("_w") - 1)
     return out.withColumn("inside", F.coalesce(inside, F.lit(False))).drop("_w", "_h")
 
 
-def sample_depth(points: DataFrame, cells: DataFrame | Lookup, rasters: Sequence[Raster],
+def cell_index(points: DataFrame, rasters: Sequence[Raster] | DataFrame, lat: str = "Latitude", lon: str = "Longitude",
+               truncate: bool = False) -> DataFrame:
+    """Every point once per grid, with ``raster_id``, ``row``, ``col`` and ``inside``: for reports that name every pair.
+
+    :func:`cell_hits` forms only the pairs where the point is inside.
+    """
+    table = headers(points.sparkSession, rasters)
+    grids = table.agg(F.array_sort(F.collect_list(F.struct("*")))).scalar()
+    out = points.withColumn("_g", F.explode(grids))
+    utm = F.when(F.col("_g.is_projected_metre"), geodesy.to_utm(lat, lon, F.col("_g.zone")))
+    out = out.withColumn("_m", utm)
+    return _numbered(out, points.columns, F.coalesce("_m.easting", lon), F.coalesce("_m.northing", lat), truncate)
+
+
+def cell_hits(points: DataFrame, rasters: Sequence[Raster] | DataFrame, lat: str = "Latitude", lon: str = "Longitude",
+              truncate: bool = False) -> DataFrame:
+    """Points with each grid they lie in: ``raster_id``, ``row`` and ``col``.
+
+    Points and grids meet by an equality join on coarse tiles (a degree, or 100 km of a UTM zone), so a point forms no
+    pair with a distant grid.  Positions are worked out once per reference frame, of which there are 62 at most:
+    degrees, each zone, and each point's own zone.
+    """
+    table = headers(points.sparkSession, rasters)
+    metre = F.col("is_projected_metre")
+    frame = F.when(metre, F.coalesce("zone", F.lit(OWN_ZONE))).otherwise(0)
+    size = F.when(metre, TILE_METRES).otherwise(TILE_DEGREES)
+    left, right = F.col("x0") - F.col("pw"), F.col("x0") + F.col("pw") * (F.col("width") + 1)
+    low, high = F.col("y0") - F.col("ph") * (F.col("height") + 1), F.col("y0") + F.col("ph")
+    tiles = lookup(
+        table.select(F.struct("*").alias("_g"), frame.alias("_frame"), F.explode(_tiles(left, right, size)).alias("_tx"),
+                     _tiles(low, high, size).alias("_ys"))
+        .select("_g", "_frame", "_tx", F.explode("_ys").alias("_ty"))
+    )
+    frames = sorted(r[0] for r in table.select(frame.alias("f")).distinct().collect())
+    out = points.withColumn("_frame", F.explode(F.array(*map(F.lit, frames))) if len(frames) > 1 else F.lit(frames[0] if frames else 0))
+    if frames and frames != [0]:
+        zone = F.when(F.col("_frame") != OWN_ZONE, F.col("_frame"))
+        out = out.withColumn("_m", F.when(F.col("_frame") != 0, geodesy.to_utm(lat, lon, zone)))
+        x, y = F.coalesce("_m.easting", lon), F.coalesce("_m.northing", lat)
+    else:
+        x, y = F.col(lon), F.col(lat)
+    unit = F.when(F.col("_frame") == 0, TILE_DEGREES).otherwise(TILE_METRES)
+    out = out.withColumns({"_x": x.cast("double"), "_y": y.cast("double")}).withColumns(
+        {"_tx": F.floor(F.col("_x") / unit), "_ty": F.floor(F.col("_y") / unit)})
+    met = tiles.join(out, ["_frame", "_tx", "_ty"], "inner")
+    return _numbered(met, points.columns, F.col("_x"), F.col("_y"), truncate).where("inside").drop("inside")
+
+
+def _tiles(low: Column, high: Column, size: Column) -> Column:
+    return F.sequence(F.floor(low / size), F.floor(high / size))
+
+
+def sample_depth(points: DataFrame, cells: DataFrame | Lookup, rasters: Sequence[Raster] | DataFrame,
                  lat: str = "Latitude", lon: str = "Longitude", wet_only: bool = False,
                  truncate: bool = False) -> DataFrame:
     """Grid depth at every point, once per grid; outside the extent or on nodata it is 0.
 
     ``cells`` holds wet cells (see :func:`wet_cells`); a table is filtered here, a
-    :class:`Lookup` is used as given.  ``wet_only`` keeps only points on a wet cell.
+    :class:`Lookup` is used as given.  ``wet_only`` keeps only points on a wet cell, and then forms
+    pairs only with the grids that hold the point; without it the result itself is every pair.
     Points outside the extent get a spread-out key that matches no cell, so they do not
     gather in one shuffle partition.
     """
     wet = cells if isinstance(cells, Lookup) else as_lookup(wet_cells(cells, rasters))
-    indexed = cell_index(points, rasters, lat, lon, truncate)
     if wet_only:
-        indexed = indexed.where("inside")
+        indexed = cell_hits(points, rasters, lat, lon, truncate)
     else:
         spread = -1 - F.pmod(F.xxhash64(lat, lon), F.lit(OUTSIDE_KEYS))
+        indexed = cell_index(points, rasters, lat, lon, truncate)
         indexed = indexed.withColumn("row", F.when(F.col("inside"), F.col("row")).otherwise(spread))
     joined = wet.join(indexed, ["raster_id", "row", "col"], "inner" if wet_only else "left")
     return joined.select(
@@ -141,35 +181,29 @@ def sample_depth(points: DataFrame, cells: DataFrame | Lookup, rasters: Sequence
     )
 
 
-def wet_tiles(points: DataFrame, cells: DataFrame, rasters: Sequence[Raster], tile: int = 8,
+def wet_tiles(points: DataFrame, cells: DataFrame, rasters: Sequence[Raster] | DataFrame, tile: int = 8,
               lat: str = "latitude", lon: str = "longitude") -> DataFrame:
-    """Points whose grid tile holds at least one wet cell of any grid: a cheap footprint prefilter."""
+    """Points, with each grid in which their tile holds a wet cell: a cheap footprint prefilter."""
     tiles = (
         wet_cells(cells, rasters).where("value > 0")
         .select("raster_id", F.floor(F.col("row") / tile).alias("trow"), F.floor(F.col("col") / tile).alias("tcol"))
         .distinct()
     )
-    bounded = as_lookup(tiles)
-    out = points
-    hit = cell_index(points, rasters, lat, lon).where("inside").withColumns(
+    hit = cell_hits(points, rasters, lat, lon).withColumns(
         {"trow": F.floor(F.col("row") / tile), "tcol": F.floor(F.col("col") / tile)}
     )
-    kept = bounded.join(hit, ["raster_id", "trow", "tcol"], "left_semi")
-    if len(rasters) == 1:
-        return kept.select(*out.columns)
-    return kept.select(*out.columns, "raster_id")
+    return as_lookup(tiles).join(hit, ["raster_id", "trow", "tcol"], "left_semi").select(*points.columns, "raster_id")
 
 
-def selectivity(points: DataFrame, cells: DataFrame | Lookup, rasters: Sequence[Raster],
+def selectivity(points: DataFrame, cells: DataFrame | Lookup, rasters: Sequence[Raster] | DataFrame,
                 lat: str = "latitude", lon: str = "longitude") -> DataFrame:
     """Per grid: buildings in total, inside the extent and on a wet cell, with percentages."""
     wet = cells if isinstance(cells, Lookup) else as_lookup(wet_cells(cells, rasters))
-    indexed = cell_index(points.select(lat, lon), rasters, lat, lon)
-    joined = wet.join(indexed, ["raster_id", "row", "col"])
-    total = F.count("*")
-    inside = F.count_if("inside")
-    on_wet = F.count_if(F.col("inside") & (F.col("value") > 0))
-    return joined.groupBy("raster_id").agg(
-        total.alias("buildings"), inside.alias("in_extent"), on_wet.alias("on_wet_cell"),
-        (inside * 100 / total).alias("in_extent_pct"), (on_wet * 100 / total).alias("on_wet_pct"),
-    )
+    hits = cell_hits(points.select(lat, lon), rasters, lat, lon)
+    inside = wet.join(hits, ["raster_id", "row", "col"]).groupBy("raster_id").agg(
+        F.count("*").alias("in_extent"), F.count_if(F.col("value") > 0).alias("on_wet_cell"))
+    total = points.agg(F.count("*").alias("n")).scalar()
+    grids = headers(points.sparkSession, rasters).select("raster_id", total.alias("buildings"))
+    out = grids.where("buildings > 0").join(inside, "raster_id", "left").na.fill(0, ["in_extent", "on_wet_cell"])
+    return out.select("*", (F.col("in_extent") * 100 / F.col("buildings")).alias("in_extent_pct"),
+                      (F.col("on_wet_cell") * 100 / F.col("buildings")).alias("on_wet_pct"))

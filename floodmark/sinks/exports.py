@@ -34,12 +34,12 @@ def sort_by_depth(df: DataFrame, depth: str = "Depth_in_Struc", key: str = "Flty
 
 
 def write_predictions(df: DataFrame, root: str, event: str, adv: int, raster_name: str, run_id: str, flc: str) -> None:
-    """Add provenance and replace only the partitions that this run writes."""
+    """Add provenance and replace what this run (event, advisory, flood class, raster) wrote before; all else stays."""
     out = df.withColumns({
         "event": F.lit(event), "adv": F.lit(int(adv)), "raster_name": F.lit(raster_name),
         "run_id": F.lit(run_id), "flc": F.lit(flc),
     })
-    out.write.partitionBy("event", "adv").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(root)
+    out.write.partitionBy("event", "adv", "flc", "raster_name").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(root)
 
 
 def publish(df: DataFrame, params: RunParams, folder: str, mode: str = "errorifexists") -> str:

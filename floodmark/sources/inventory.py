@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -10,16 +11,17 @@ from ..functions import text
 from ..schema import GEOMETRY_COLUMNS, INVENTORY
 
 
-def read_inventory(spark: SparkSession, paths: str | Sequence[str], merge: bool = True,
-                   schema: T.StructType | None = None) -> DataFrame:
+def read_inventory(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType = INVENTORY,
+                   merge: bool = False) -> DataFrame:
     """Parquet inventory files as one table, columns matched by name, absent ones NULL.
 
-    A given ``schema`` replaces the merge of all file footers, which pays off on many files.
+    The columns are those of ``schema``, and no footer is read for them.  ``merge`` takes the union of the columns of
+    all files instead, which reads every footer first.
     """
     paths = [paths] if isinstance(paths, str) else list(dict.fromkeys(paths))
     if not paths:
         raise ValueError("at least one path is needed")
-    reader = spark.read.schema(schema) if schema is not None else spark.read.option("mergeSchema", merge)
+    reader = spark.read.option("mergeSchema", True) if merge else spark.read.schema(schema)
     return reader.parquet(*paths)
 
 
@@ -28,17 +30,24 @@ def state_partitions(states: Sequence[str]) -> list[str]:
     return list(dict.fromkeys("_".join(s.replace("-", " ").replace("_", " ").split()).lower() for s in states))
 
 
-def scan_states(df: DataFrame, states: Sequence[str], strict: bool = True) -> DataFrame:
+def scan_states(df: DataFrame, states: Sequence[str], on_missing: str = "fail") -> DataFrame:
     """Rows of the named states.  The filter is on the partition column only, so other files are not read.
 
-    ``strict`` raises when no state matches.
+    A named state without a partition stops the scan; with ``on_missing="warn"`` it is named in a warning, and only
+    a scan that finds no state at all stops.
     """
+    if on_missing not in ("fail", "warn"):
+        raise ValueError("on_missing must be 'fail' or 'warn'")
     wanted = state_partitions(states)
     if not wanted:
         raise ValueError("no states given")
     kept = df.where(F.lower("state").isin(wanted))
-    if strict and kept.select(F.lit(1)).limit(1).count() == 0:
-        raise FileNotFoundError(f"no partition matches any of {list(states)}")
+    have = {r[0] for r in kept.select(F.lower("state")).distinct().collect()}
+    absent = [s for s in wanted if s not in have]
+    if absent and (on_missing == "fail" or not have):
+        raise FileNotFoundError(f"no partition for {absent}")
+    if absent:
+        warnings.warn(f"no partition for {absent}", stacklevel=2)
     return kept
 
 

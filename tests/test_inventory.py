@@ -48,8 +48,13 @@ def test_state_scan_reports(spark, tmp_path):
         src.write_inventory(rows, path)
     df = src.read_inventory(spark, path)
     assert [r.bid for r in src.scan_states(df, ["new_york"]).collect()] == ["x"]
+    for states in (["Utah"], ["Ohio", "Utah"]):
+        with pytest.raises(FileNotFoundError, match="utah"):
+            src.scan_states(df, states)
+    with pytest.warns(UserWarning, match="utah"):
+        assert [r.bid for r in src.scan_states(df, ["Ohio", "Utah"], on_missing="warn").collect()] == ["y"]
     with pytest.raises(FileNotFoundError):
-        src.scan_states(df, ["Utah"])
+        src.scan_states(df, ["Utah"], on_missing="warn")
     assert [r.state for r in src.unmatched_states(df, ["Utah", "Ohio"]).collect()] == ["utah"]
 
 
@@ -66,7 +71,10 @@ def test_conform_types_and_absent_columns(spark):
 
 def test_states_resolve_in_first_seen_order(spark):
     df = spark.createDataFrame([(0, "North_Carolina"), (1, "12"), (2, "fl"), (3, "north carolina"), (4, "Nowhere")], "pos int, s string")
-    got = inv.resolve_states(df, "s", "pos").collect()
+    with pytest.raises(ValueError, match="Nowhere"):
+        inv.resolve_states(df, "s", "pos")
+    with pytest.warns(UserWarning, match="1 identifiers"):
+        got = inv.resolve_states(df, "s", "pos", on_unknown="warn").collect()
     assert [(r.abbr, r.pos) for r in got] == [("NC", 0), ("FL", 1)]
     assert [r.s for r in inv.unresolved_states(df, "s").collect()] == ["Nowhere"]
 
@@ -101,5 +109,7 @@ def test_merged_scan_matches_columns_by_name(spark, tmp_path):
     paths = [str(tmp_path / p) for p in ("x", "y", "x")]
     got = src.read_inventory(spark, paths).select("bid", "sqft", "cbfips").orderBy("bid").collect()
     assert [tuple(r) for r in got] == [("a", 1.0, None), ("b", 2.0, "z")]
+    merged = src.read_inventory(spark, paths, merge=True)
+    assert sorted(merged.columns) == ["bid", "cbfips", "sqft"] and merged.count() == 2
     with pytest.raises(ValueError, match="at least one"):
         src.read_inventory(spark, [])

@@ -54,6 +54,16 @@ def test_store_replaces_only_its_partitions(spark, tmp_path):
     assert got == {(9, "1"): 1, (10, "2"): 2}
 
 
+def test_store_keeps_flood_classes_and_rasters_apart(spark, tmp_path):
+    root = str(tmp_path / "store")
+    df = spark.createDataFrame([("a", 1.0)], "fltyid string, v double")
+    for flc, raster in (("CAE", "r1"), ("V", "r1"), ("CAE", "r2")):
+        exports.write_predictions(df, root, "BERYL_2024", 29, raster, "1", flc)
+    exports.write_predictions(df.union(df), root, "BERYL_2024", 29, "r1", "2", "V")
+    stored = predictions.read_prediction_store(spark, root).groupBy("flc", "raster_name", "run_id").count().collect()
+    assert {(r.flc, r.raster_name, r.run_id): r["count"] for r in stored} == {("CAE", "r1", "1"): 1, ("V", "r1", "2"): 2, ("CAE", "r2", "1"): 1}
+
+
 def test_publish_and_json(spark, tmp_path):
     df = spark.createDataFrame([("12057", 1.23456789, None)], "FIPS string, v double, n string")
     path = exports.publish(df, run_params({"storm_id": "x", "storm_name": "y"}), str(tmp_path))
