@@ -154,6 +154,32 @@ def _(t):
     return rounded(planning.threshold_sensitivity(t.prediction))
 
 
+_DAMAGE_SQL = " union all ".join(
+    f"select '{v}' as variant, *, case when depth_grid > 12 then 'HIGH' when depth_grid >= 9 then 'MEDIUM' when depth_grid >= 4 then 'LOW' when bldgdmgpct > {hi} then 'HIGH' when bldgdmgpct > {md} then 'MEDIUM' when bldgdmgpct > {lo} then 'LOW' else 'NONE' end as zone from prediction where occ like 'RES%'"
+    for v, lo, md, hi in (("default", 0, 15, 35), ("minus_5_pct", 0, 10, 30), ("plus_5_pct", 5, 20, 40))
+)
+
+
+@query("q_damage_sensitivity", f"select variant, event, zone, count(*) filter (where depth_grid > 0) as bldg_affected, count(*) filter (where bldgdmgpct > 0) as bldg_impacted from ({_DAMAGE_SQL}) a where zone <> 'NONE' group by 1, 2, 3", ("prediction",))
+def _(t):
+    return planning.threshold_sensitivity(t.prediction, variants=fv.DAMAGE_VARIANTS).select("variant", "event", "zone", "bldg_affected", "bldg_impacted")
+
+
+_RUN_SQL = """select event, adv, flc, county_fips5, zone, count(*) filter (where depth_grid > 0) as bldg_affected, count(*) filter (where bldgdmgpct > 10) as bldg_impacted from (
+    select *, case when depth_grid > 12 then 'HIGH' when depth_grid >= 9 then 'MEDIUM' when depth_grid >= 4 then 'LOW' when bldgdmgpct > 35 then 'HIGH' when bldgdmgpct > 15 then 'MEDIUM' when bldgdmgpct > 0 then 'LOW' else 'NONE' end as zone,
+      row_number() over (partition by event, adv, flc, fltyid, state order by bldgdmgpct desc nulls last, depth_grid desc nulls last, county_fips5 nulls last, occ nulls last) as rn
+    from prediction) a where rn = 1 and zone <> 'NONE' and occ like 'RES%' group by 1, 2, 3, 4, 5"""
+
+
+@query("q_run_affected", _RUN_SQL, ("prediction",))
+def _(t):
+    """Each building once per event, advisory and flood class; impacted from 10 % damage."""
+    columns = [*planning.RUN, "fltyid", "state", "county_fips5", "occ", "depth_grid", "bldgdmgpct"]
+    runs = planning.per_run(t.prediction.select(*columns))
+    by = [*planning.RUN, "county_fips5"]
+    return planning.affected_impacted(runs, by, min_damage=10.0).select(*by, "zone", "bldg_affected", "bldg_impacted")
+
+
 @query("q_sanity", """select 'impacted_le_affected_low' as "check", count(*) filter (where pop_impacted_low > pop_affected_low) as violations from checked
     union all select 'impacted_le_affected_medium', count(*) filter (where pop_impacted_medium > pop_affected_medium) from checked
     union all select 'impacted_le_affected_high', count(*) filter (where pop_impacted_high > pop_affected_high) from checked

@@ -118,6 +118,12 @@ THRESHOLD_VARIANTS = {
     "loose": (5.0, 10.0, 13.0),
     "very_low": (2.0, 6.0, 10.0),
 }
+DAMAGE_THRESHOLDS = (0.0, 15.0, 35.0)
+DAMAGE_VARIANTS = {
+    "default": (4.0, 9.0, 12.0, 0.0, 15.0, 35.0),
+    "minus_5_pct": (4.0, 9.0, 12.0, 0.0, 10.0, 30.0),
+    "plus_5_pct": (4.0, 9.0, 12.0, 5.0, 20.0, 40.0),
+}
 
 # States (name, postal abbreviation, two-digit code).
 STATES = [

@@ -113,15 +113,22 @@ def habitability(fractions: DataFrame, usability: dict[str, dict[str, float]],
 
 
 def threshold_sensitivity(df: DataFrame, by: Sequence[str] = ("event",),
-                          variants: dict[str, tuple[float, float, float]] | None = None) -> DataFrame:
-    """Buildings and people per zone under every surge threshold set."""
+                          variants: dict[str, tuple[float, ...]] | None = None) -> DataFrame:
+    """Buildings and people per zone under every threshold set.
+
+    A set has the surge depths of the low, medium and high zone, and after them, if they vary too, the damage
+    percentages.
+    """
     variants = variants or fv.THRESHOLD_VARIANTS
+    names = ("low", "medium", "high", "damage_low", "damage_medium", "damage_high")
     sets = F.array(*[
-        F.struct(F.lit(v).alias("variant"), F.lit(lo).alias("low"), F.lit(md).alias("medium"), F.lit(hi).alias("high"))
-        for v, (lo, md, hi) in variants.items()
+        F.struct(F.lit(v).alias("variant"), *[
+            F.lit(float(x)).alias(n) for n, x in zip(names, (*given, *fv.DAMAGE_THRESHOLDS[len(given) - 3:]))
+        ])
+        for v, given in variants.items()
     ])
     rows = df.withColumn("_v", F.explode(sets)).withColumn("variant", F.col("_v.variant"))
-    zone = hazard.intensity("depth_grid", "bldgdmgpct", F.col("_v.low"), F.col("_v.medium"), F.col("_v.high"))
+    zone = hazard.intensity("depth_grid", "bldgdmgpct", *[F.col(f"_v.{n}") for n in names])
     return affected_impacted(rows, ["variant", *by], zone)
 
 

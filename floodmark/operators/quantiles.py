@@ -12,6 +12,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from .joins import as_lookup
+
 # A bucket spans about 0.01 % of the value: a key has at most some 10^5 buckets, and a bucket
 # about that share of a large key's values, so both windows below stay small.
 BUCKETS_PER_E_FOLD = 8192
@@ -51,8 +53,9 @@ def quantiles_of_counts(counts: DataFrame, keys: Sequence[str], probs: dict[str,
     hit = buckets.where(wanted).select(*keys, "_b", "_start", "_total")
 
     in_bucket = Window.partitionBy(*keys, "_b").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    # A key has two ranks for each probability at most, so this table is small beside the values.
     ranked = (
-        rows.join(hit, [*keys, "_b"])
+        as_lookup(hit).join(rows, [*keys, "_b"], "inner")
         .withColumn("_last", F.col("_start") + F.sum(n).over(in_bucket) - 1)
         .withColumn("_first", F.col("_last") - F.col(n) + 1)
     )

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from floodmark import Lookup, Lookups, Raster, assess
 from floodmark.operators import damage
-from floodmark.operators.raster import cell_index, sample_depth, wet_tiles
+from floodmark.operators.raster import cell_hits, cell_index, sample_depth, wet_tiles
 from floodmark.sources import lookups as src
 
 BUILDINGS = "FltyId string, Occ string, Cost string, Area string, NumStories string, FoundationType string, FirstFloorHt string, ContentCost string, Latitude double, Longitude double"
@@ -143,3 +143,46 @@ def test_field_map_is_checked(spark, buildings):
         damage.apply_field_map(buildings, {"OCC": "Occ"})
     with pytest.raises(ValueError, match="required"):
         damage.flag_incomplete(buildings, damage.field_map(OCC="Occ"))
+
+
+def test_repeated_lookup_keys_do_not_repeat_buildings(spark, buildings, lookups):
+    twice = Lookups.of(*[
+        getattr(lookups, f).df.unionByName(getattr(lookups, f).df) for f in ("curves", "debris", "restoration", "econ", "library")
+    ])
+    doubled = cells(spark).unionByName(cells(spark, 2.0))
+    a = assess(buildings, cells(spark), [GRID], lookups)
+    b = assess(buildings, doubled, [GRID], twice)
+    assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+    other = lookups.debris.df.withColumn("Finishes", F.lit(9.0))
+    first = Lookups.of(lookups.curves.df, other.unionByName(lookups.debris.df), lookups.restoration.df, lookups.econ.df)
+    assert {r.DebrisID: r.Finishes for r in first.debris.df.collect()} == {"RES1NBSG1": 4.0, "COM1NBSG1": 2.0}
+
+
+def test_hits_equal_the_pairs_inside(spark):
+    grids = [Raster("a", -83.0, 29.0, 0.1, 0.1, 20, 20), Raster("b", -82.0, 28.5, 0.3, 0.2, 30, 40), Raster("far", 10.0, 50.0, 1.0, 1.0, 5, 5),
+             Raster("m", 300_000.0, 3_200_000.0, 500.0, 500.0, 400, 400, is_projected_metre=True, zone=17), Raster("own", 250_000.0, 3_100_000.0, 900.0, 900.0, 300, 300, is_projected_metre=True)]
+    points = spark.range(4000).select("id", (F.lit(20.0) + F.col("id") % 61 / 5).alias("Latitude"), (F.lit(-90.0) + F.col("id") % 97 / 8).alias("Longitude"))
+    for truncate in (False, True):
+        pairs = cell_index(points, grids, truncate=truncate).where("inside").select("id", "raster_id", "row", "col")
+        hits = cell_hits(points, grids, truncate=truncate).select("id", "raster_id", "row", "col")
+        assert sorted(map(tuple, hits.collect())) == sorted(map(tuple, pairs.collect()))
+        assert {r.raster_id for r in hits.collect()} == {"a", "b", "m", "own"}
+    table = spark.createDataFrame([(g.raster_id, g.x0, g.y0, g.pw, g.ph, g.width, g.height) for g in grids[:3]], "raster_id string, x0 double, y0 double, pw double, ph double, width int, height int")
+    assert cell_hits(points, table).count() == cell_hits(points, grids[:3]).count()
+    assert "NestedLoop" not in plan_of(hits) and "Cartesian" not in plan_of(hits)
+
+
+def test_one_hot_key_is_split(spark):
+    """10^5 rows of one key meet an unbounded table: adaptive execution splits the key's partition."""
+    settings = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200k", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        rows = spark.range(0, 200_000, 1, 16).select(F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id")).alias("k"), F.md5(F.col("id").cast("string")).alias("v"))
+        out = Lookup(spark.range(1000).select(F.col("id").alias("k"), F.lit(2).alias("w")), False).join(rows, ["k"])
+        assert out.groupBy("w").count().where("w = 2").first()["count"] == 100_500
+        out.collect()
+        assert "skew=true" in plan_of(out)
+    finally:
+        for k in settings:
+            spark.conf.unset(k)

@@ -58,3 +58,13 @@ def test_evolution_and_habitability(spark):
     cov = validation.coverage(df.select("event", F.lit("FL").alias("state"), "county_fips5"),
                               spark.createDataFrame([("E", "FL", "1"), ("E", "FL", "2")], "event string, state string, county_fips5 string"))
     assert validation.coverage_rate(cov).first().coverage_rate == 0.5
+
+
+def test_each_building_counts_once_per_run(spark):
+    cols = "event string, adv int, flc string, fltyid string, state string, county_fips5 string, occ string, depth_grid double, bldgdmgpct double"
+    rows = [("E", 8, "CAE", "a", "FL", "1", "RES1", 5.0, 20.0), ("E", 8, "CAE", "a", "FL", "1", "RES1", 5.0, 30.0), ("E", 8, "V", "a", "FL", "1", "RES1", 5.0, 40.0), ("E", 9, "CAE", "a", "FL", "1", "RES1", 5.0, 5.0)]
+    runs = planning.per_run(spark.createDataFrame(rows, cols))
+    assert sorted((r.adv, r.flc, r.bldgdmgpct) for r in runs.collect()) == [(8, "CAE", 30.0), (8, "V", 40.0), (9, "CAE", 5.0)]
+    by = [*planning.RUN, "county_fips5"]
+    got = {(r.adv, r.flc): (r.bldg_affected, r.bldg_impacted) for r in planning.affected_impacted(runs, by, min_damage=10.0).collect()}
+    assert got == {(8, "CAE"): (1, 1), (8, "V"): (1, 1), (9, "CAE"): (1, 0)}
