@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from floodmark.llm import bpe, decontaminate, language, near_dedup, paragraphs, personal, quality, secrets, shards, urls
 
@@ -74,7 +75,55 @@ from r join f on f.h = r.h join s on s.d = f.d and s.p = r.h >> (60 - f.d)
 """
 
 
-@_query("op2_secret_scan")
+_EITHER = "|".join(
+    "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in name) for name in ("password", "passwd", "secret", "token", "api_?key")
+)
+_ASSIGN_SQL = """({names})["'']?\\x20*[:=]\\x20*["'']?([A-Za-z0-9+/_.=-]+)""".replace("\\\\", "\\").format(names=_EITHER)
+
+
+def _spans_sql(kind: str, rank: int, pattern: str, test: str) -> str:
+    """Matches of a pattern with their places; `test` on the match m."""
+    return f"""
+select doc_id, {rank} as rank, '{kind}' as kind, m, s, s + length(m) as e from (
+  select doc_id, f[i] as m,
+    (list_sum(list_transform(g[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(f[1:i-1], lambda x: length(x))), 0))::bigint as s
+  from (select doc_id, f, g, unnest(range(1, len(f) + 1)) as i from (
+    select doc_id, regexp_extract_all(text, '{pattern}') as f, string_split_regex(text, '{pattern}') as g
+    from (select doc_id, coalesce(text, '') as text from documents) t) x) y) z
+where {test}"""
+
+
+_ALLOWED_SQL = " and ".join(f"not regexp_matches(m, '{p}')" for p in (
+    "^[0-9a-fA-F]{8}-([0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$", "^sha(1|256|384|512)-", "EXAMPLE", "^(0123456789|1234567890)"))
+_OP2_SQL = f"""
+with base as ({_spans_sql("assign", 1, _ASSIGN_SQL, f"length(regexp_extract(m, '{_ASSIGN_SQL}', 2)) >= 6")}
+  union all {_spans_sql("access", 2, "AKIA[A-Z0-9]+", "length(m) >= 20")}
+  union all {_spans_sql("hex", 3, "[0-9a-f]+", "length(m) >= 24")}),
+runs as (
+  select r.* from ({_spans_sql("entropy", 4, "[A-Za-z0-9+/_=-]+", "length(m) >= 20 and regexp_matches(m, '[0-9]')")}) r
+  where not exists (select 1 from base b where b.doc_id = r.doc_id and b.s < r.e and r.s < b.e)
+    and {_ALLOWED_SQL} and len(list_distinct(string_split(m, ''))) > 1),
+parts as (select *, unnest(range(1, length(m) - 18)) as j from runs),
+counts as (
+  select doc_id, s, j, c, count(*) as n from (select doc_id, s, j, unnest(string_split(substr(m, j, 20), '')) as c from parts) x group by all),
+bits as (
+  select doc_id, s, max(h) as h from (select doc_id, s, j, -sum(n / 20 * log2(n / 20)) as h from counts group by all) x group by doc_id, s),
+spans as (
+  select doc_id, rank, kind, s, e from base union all
+  select doc_id, rank, kind, s, e from runs join bits using (doc_id, s)
+  where round(h, 9) >= case when regexp_matches(m, '^[0-9a-fA-F]+$') then 2.9 else 3.8 end),
+listed as (
+  select doc_id, count(*) filter (where rank = 1) as n_assign, count(*) filter (where rank = 2) as n_access, count(*) filter (where rank = 3) as n_hex,
+    string_agg(kind || ':' || s || ':' || e, ',' order by s, rank) filter (where rank < 4) as base,
+    string_agg(kind || ':' || s || ':' || e, ',' order by s, rank) as spans
+  from spans group by doc_id)
+select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex,
+  sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
+from documents left join listed using (doc_id)
+"""
+
+
+@_query("op2_secret_scan", _OP2_SQL)
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.find_secrets(table(spark, sf_dir, "documents")))
 
@@ -117,6 +166,32 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-@_query("op10_quality_rules")
+_OP10_SQL = f"""
+with w as (
+  select doc_id, source, {_WORDS.format(text="text")} as w, coalesce(text, '') as text,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) as lines
+  from documents),
+p as (select doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] as x from (select doc_id, w, unnest(range(1, len(w) - 1)) as i from w) a),
+q as (select doc_id, i, count(*) over (partition by doc_id, x) as n from p),
+r as (select doc_id, count(distinct k) as n from (select doc_id, unnest([i, i + 1, i + 2]) as k from q where n > 1) a group by doc_id),
+m as (
+  select w.doc_id, source, len(w)::bigint as n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::bigint as word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::bigint as n_symbols, (len(lines) - len(list_distinct(lines)))::bigint as n_dup_lines,
+    coalesce(r.n, 0)::bigint as n_repeat_words
+  from w left join r using (doc_id)),
+f as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from m),
+h as (select source, count(*) as d, count(*) filter (where base_failed) as b from f group by source),
+v as (select avg(b / d) as m, var_pop(b / d) as v from h),
+s as (select m, greatest(1, least(1000, coalesce(m * (1 - m) / nullif(v, 0) - 1, 1000))) as s from v),
+g as (select source, (b + m * s) / (d + s) as rate from h, s)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, round(rate, 9) as host_rate,
+  not base_failed and rate <= 0.8 as kept
+from f join g on f.source is not distinct from g.source
+"""
+
+
+@_query("op10_quality_rules", _OP10_SQL)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.quality_rules(table(spark, sf_dir, "documents"))
+    # Rounded, as the last digits depend on the order of sums.
+    rows = quality.quality_rules(table(spark, sf_dir, "documents"))
+    return rows.withColumn("host_rate", F.round("host_rate", 9))
