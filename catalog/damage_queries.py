@@ -177,7 +177,7 @@ def _(t):
 
 
 @query("q_soid", f"""select o, num_story, f, {soid_sql('o', 'num_story', 'f = 4')} as soid, count(*) as n
-    from (select upper(split_part(occtype, '-', 1)) as o, num_story, cast(case upper(trim(found_type)) when 'SLAB' then 7 when 'CRAWL' then 5 when 'B' then 4 when 'PIER' then 2 when 'I' then 5 else 7 end as int) as f from inventory) a
+    from (select upper(split_part(occtype, '-', 1)) as o, num_story, cast(case when upper(trim(found_type)) in ('S','SLAB','SLAB ON GRADE','7') then 7 when upper(trim(found_type)) in ('C','CRAWL','CRAWLSPACE','CRAWL SPACE','5','F','I','W') then 5 when upper(trim(found_type)) in ('B','BASEMENT','4') then 4 when upper(trim(found_type)) in ('P','PIER','PILE','PILES','PIER/PILE','2') then 2 else 7 end as int) as f from inventory) a
     group by all""", ("inventory",))
 def _(t):
     rows = t.inventory.select(text.norm_occ("occtype").alias("o"), "num_story", text.foundation_code("found_type").alias("f"))

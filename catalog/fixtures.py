@@ -21,6 +21,7 @@ BASE = [
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 ]
 OCC = ",".join(fv.OCCUPANCIES)
+FOUND_TYPES = "Slab,crawl, B ,Pier,I,??,S,slab on grade,7,C,Crawlspace,crawl space,5,F,w,Basement,4,P,pile,PILES,pier/pile,2, ,b"
 STATE_CODES = "12,13,22,37,48"
 STATE_NAMES = "Florida,Georgia,Louisiana,North_Carolina,Texas"
 STATE_ABBRS = "FL,GA,LA,NC,TX"
@@ -93,7 +94,7 @@ SQL = {
           case when l_returnflag = 'N' then null else l_extendedprice * 5 end as val_cont,
           case when l_partkey % 53 = 0 then null else l_quantity * 50 + 500 end as sqft,
           cast(1 + l_suppkey % 9 as double) + cast(case when l_partkey % 7 = 0 then 1 else 0 end as double) / 2 as num_story,
-          case when l_partkey % 59 = 0 then null else {pick('Slab,crawl, B ,Pier,I,??', 'l_suppkey % 6')} end as found_type,
+          case when l_partkey % 59 = 0 then null else {pick(FOUND_TYPES, '(l_suppkey + l_partkey) % 24')} end as found_type,
           cast(l_linenumber % 8 as double) / 2 as found_ht,
           case when l_partkey % 97 = 0 then null else {_CBFIPS.format(dash="'-'")} end as cbfips,
           cast(25 as double) + cast(2 * (l_partkey % 600) + 1 as double) / 200 as latitude,
@@ -149,14 +150,15 @@ SQL = {
         group by soid, occ""",
     "curve_wide": f"select curve_set, soid as curve_key, cast(n + o as string) as ddf_id, {_points('f', 'o')} from ("
     + " union all ".join([
-        _curve("building_default", "1 + n", 0),
+        # Some occupancies have no curve, so that every status and flag occurs.
+        _curve("building_default", "1 + n", 0, "occ <> 'GOV2'"),
         _curve("building_coastal_a", "1 + n", 3, "substr(occ, 1, 3) = 'RES'"),
         _curve("building_coastal_v", "1 + n", 6, "substr(occ, 1, 3) = 'RES'"),
-        _curve("content_default", "1 + (n + 1) % 5", 1),
+        _curve("content_default", "1 + (n + 1) % 5", 1, "occ <> 'GOV1'"),
         _curve("content_coastal_a", "1 + (n + 1) % 5", 4, "substr(occ, 1, 3) = 'RES'"),
         _curve("content_coastal_v", "1 + (n + 1) % 5", 7, "substr(occ, 1, 3) = 'RES'"),
         _curve("inventory_default", "1 + (n + 2) % 5", 2,
-               "occ in (" + ",".join(f"'{o}'" for o in fv.INVENTORY_OCCUPANCIES) + ")"),
+               "occ in (" + ",".join(f"'{o}'" for o in fv.INVENTORY_OCCUPANCIES if o != "IND6") + ")"),
     ]) + ") a",
     "library_wide": f"select kind, cast(p_partkey as string) as fn_id, {pick(OCC, 'p_partkey % 33')} as occupancy, {_points('f', '0')} from ("
     + " union all ".join([_library("building", 6), _library("content", 4), _library("inventory", 3)]) + ") a",
@@ -168,12 +170,12 @@ SQL = {
               || {pick('FT0,FT1,FT4,FT8,FT12,SG0,SG1,SG4,SG8,SG12,SG0,SG4,SG6,SG8', 'c')} as part_key
           from (select p_partkey, p_size, {pick(OCC, 'p_partkey % 33')} as occ,
               cast(floor(cast(p_partkey as double) / 33) as bigint) % 14 as c from {{part}}) a) b
-        group by occ || part_key""",
+        where occ <> 'COM4' group by occ || part_key""",
     "restor_days": f"""
         select occ || band as RestFnID, max(p_size) as Min_Restor_Days, max(p_size) + 30 as Max_Restor_Days
         from (select p_size, {pick(OCC, 'p_partkey % 33')} as occ,
             {pick('1,4,8,12,24', 'cast(floor(cast(p_partkey as double) / 33) as bigint) % 5')} as band from {{part}}) a
-        group by occ || band""",
+        where occ <> 'COM5' group by occ || band""",
     "econ": f"""
         select occ as Occupancy, cast(max(p_size) * 10 as double) as AnnualSalesPerSqFt,
           cast(1 + min(p_size) % 13 as double) as BusinessInvPctofSales

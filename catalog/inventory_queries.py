@@ -9,7 +9,7 @@ from floodmark.plans.ingest import features_to_inventory
 from floodmark.sinks import exports
 from floodmark.sources import features, inventory as src
 
-from .fixtures import pick
+from .fixtures import STATE_NAMES, pick
 from .registry import query
 
 BOX = (-85.0, 25.0, -81.0, 30.0)
@@ -60,8 +60,7 @@ def _(t):
     return t.inventory.groupBy("occtype", text.norm_occ("occtype").alias("occ")).agg(F.count("*").alias("n"))
 
 
-@query("q_foundation_code", """select found_type, cast(case upper(trim(found_type)) when 'SLAB' then 7 when 'CRAWL' then 5 when 'B' then 4
-    when 'PIER' then 2 when 'I' then 5 else 7 end as int) as code, count(*) as n from inventory group by all""", ("inventory",))
+@query("q_foundation_code", """select found_type, cast(case when upper(trim(found_type)) in ('S','SLAB','SLAB ON GRADE','7') then 7 when upper(trim(found_type)) in ('C','CRAWL','CRAWLSPACE','CRAWL SPACE','5','F','I','W') then 5 when upper(trim(found_type)) in ('B','BASEMENT','4') then 4 when upper(trim(found_type)) in ('P','PIER','PILE','PILES','PIER/PILE','2') then 2 else 7 end as int) as code, count(*) as n from inventory group by all""", ("inventory",))
 def _(t):
     return t.inventory.groupBy("found_type", text.foundation_code("found_type").alias("code")).agg(F.count("*").alias("n"))
 
@@ -200,11 +199,13 @@ def _(t):
     return src.unmatched_states(t.inventory, ["Florida", "Ohio", "New York"])
 
 
-@query("q_union_states", "select state, bid, occtype, case when state = 'Texas' then null else val_struct end as val_struct from inventory where state in ('Texas', 'Georgia')", ("inventory",))
+@query("q_union_states", "select state, bid, occtype, case when state = 'Texas' then null else val_struct end as val_struct from inventory", ("inventory",))
 def _(t):
-    per_state = [t.inventory.where(F.col("state") == s) for s in ("Georgia", "Texas")]
     cols = ["state", "bid", "occtype", "val_struct"]
-    return inv.union_states([per_state[0].select(cols), per_state[1].select(*reversed(cols[:3]))]).select(cols)
+    per_state = [t.inventory.where(F.col("state") == s) for s in STATE_NAMES.split(",")]
+    # The last one lacks a column and has the others in another order.
+    frames = [f.select(cols) for f in per_state[:-1]] + [per_state[-1].select(*reversed(cols[:3]))]
+    return inv.union_states(frames).select(cols)
 
 
 @query("q_distinct_ordered", "select o_custkey, min(o_orderkey) as o_orderkey from orders group by o_custkey order by 2, 1")

@@ -110,11 +110,13 @@ def cell_index(points: DataFrame, rasters: Sequence[Raster] | DataFrame, lat: st
     :func:`cell_hits` forms only the pairs where the point is inside.
     """
     table = headers(points.sparkSession, rasters)
-    grids = table.agg(F.array_sort(F.collect_list(F.struct("*")))).scalar()
-    out = points.withColumn("_g", F.explode(grids))
-    utm = F.when(F.col("_g.is_projected_metre"), geodesy.to_utm(lat, lon, F.col("_g.zone")))
-    out = out.withColumn("_m", utm)
-    return _numbered(out, points.columns, F.coalesce("_m.easting", lon), F.coalesce("_m.northing", lat), truncate)
+    out = points.withColumn("_g", F.explode(table.agg(F.array_sort(F.collect_list(F.struct("*")))).scalar()))
+    x, y = F.col(lon), F.col(lat)
+    if not table.where("is_projected_metre").isEmpty():
+        utm = F.when(F.col("_g.is_projected_metre"), geodesy.to_utm(lat, lon, F.col("_g.zone")))
+        out = out.withColumn("_m", utm)
+        x, y = F.coalesce("_m.easting", lon), F.coalesce("_m.northing", lat)
+    return _numbered(out, points.columns, x, y, truncate)
 
 
 def cell_hits(points: DataFrame, rasters: Sequence[Raster] | DataFrame, lat: str = "Latitude", lon: str = "Longitude",
