@@ -26,7 +26,7 @@ LOCATED_CTE = """located AS (select p.*, x.cbfips as blk from (
 def rollup_sql(width: int, source: str = "located", fips: str = "blk") -> str:
     cols = ["count(fltyid) as Total_Num_Building"]
     cols += [f"count(*) filter (where {CATEGORY_SQL} = '{c}') as Total_Num_Building_{c}" for c in LABELS]
-    cols += [f"count(*) filter (where depth_grid = {h}) as Total_Num_Building_SurgeHeight_{h}" for h in fv.SURGE_HEIGHTS]
+    cols += [f"count(*) filter (where depth_grid = {h}) as Total_Num_Building_SurgeHeight_{h}" for h in (0, 1, 3, 6, 9)]
     cols += [f"count(*) filter (where bldgdmgpct > {10 * i} and bldgdmgpct <= {10 * i + 10}) as Total_Num_Building_Damage_{10 * i + 10}pct" for i in range(10)]
     for name, c in geo.METRICS.items():
         cols += [f"min({c}) as {name}_Min", f"max({c}) as {name}_Max", f"avg({c}) as {name}_Mean"]

@@ -19,11 +19,11 @@ LONG_CTE = f"""zoned AS (select *, {ZONE_SQL} as zone from prediction where occ
   long AS (select event, county_fips5, zone, count(*) filter (where depth_grid > 0) as bldg_affected, count(*) filter (where bldgdmgpct > 0) as bldg_impacted,
     2.53::double * count(*) filter (where depth_grid > 0) as pop_affected, 2.53::double * count(*) filter (where bldgdmgpct > 0) as pop_impacted from zoned where zone <> 'NONE' group by 1, 2, 3)"""
 WIDE_CTE = LONG_CTE + ", wide AS (select event, county_fips5, " + ", ".join(
-    f"coalesce(sum({v}) filter (where zone = '{z}'), 0) as {v}_{z.lower()}" for v in ("pop_affected", "pop_impacted") for z in fv.ZONES
+    f"coalesce(sum({v}) filter (where zone = '{z}'), 0) as {v}_{z.lower()}" for v in ("pop_affected", "pop_impacted") for z in ("LOW", "MEDIUM", "HIGH")
 ) + " from long group by 1, 2)"
 CARE_CTE = WIDE_CTE + ", care AS (select *, hh_shelter_low + hh_shelter_medium + hh_shelter_high as total_shelter_est from (select *, " + ", ".join(
     f"cast(round_even(pop_impacted_{z.lower()} * {r[z]}::double, 0) as bigint) as {n}_{z.lower()}"
-    for n, r in (("hh_shelter", fv.SHELTER_RATE), ("hh_feeding", fv.FEEDING_RATE)) for z in fv.ZONES
+    for n, r in (("hh_shelter", {"LOW": 0.01, "MEDIUM": 0.03, "HIGH": 0.05}), ("hh_feeding", {"LOW": 0.03, "MEDIUM": 0.07, "HIGH": 0.12})) for z in ("LOW", "MEDIUM", "HIGH")
 ) + " from wide) w)"
 TRUTH_CTE = CARE_CTE + """, joined AS (select c.*, state, actual_shelter, planned_shelter, coalesce(actual_shelter, planned_shelter) as shelter_pop,
     total_shelter_est - coalesce(actual_shelter, planned_shelter) as error from care c join truth t using (event, county_fips5) where coalesce(actual_shelter, planned_shelter) is not null)"""
@@ -65,7 +65,7 @@ USABILITY = {
 }
 SEEKING = {"low": {"FU": 0.0, "PU": 0.125}, "high": {"FU": 0.0625, "PU": 0.5}}
 FRACTION_CTE = f"""frac AS (select substr(cbfips, 1, 5) as FIPS, count(*) as buildings, {', '.join(
-    f"count(*) filter (where bldgdmgpct >= {lo} and bldgdmgpct {'<=' if s == 'Complete' else '<'} {hi}) / count(*) as frac_{s.lower()}" for s, lo, hi in fv.DAMAGE_STATES)},
+    f"count(*) filter (where bldgdmgpct >= {lo} and bldgdmgpct {'<=' if s == 'Complete' else '<'} {hi}) / count(*) as frac_{s.lower()}" for s, lo, hi in (("Slight", 0.0, 15.0), ("Moderate", 15.0, 40.0), ("Extensive", 40.0, 60.0), ("Complete", 60.0, 100.0)))},
     cast(max(case {ZONE_SQL} when 'HIGH' then 3 when 'MEDIUM' then 2 when 'LOW' then 1 else 0 end) as int) as max_intensity from prediction where cbfips is not null group by 1)"""
 
 
@@ -98,12 +98,12 @@ def _(t):
     return rounded(planning.affected_impacted(t.prediction))
 
 
-@query("q_zone_pivot", "select event, county_fips5, " + ", ".join(f"round({v}_{z.lower()}, 6) as {v}_{z.lower()}" for v in ("pop_affected", "pop_impacted") for z in fv.ZONES) + " from wide", ("prediction",), WIDE_CTE)
+@query("q_zone_pivot", "select event, county_fips5, " + ", ".join(f"round({v}_{z.lower()}, 6) as {v}_{z.lower()}" for v in ("pop_affected", "pop_impacted") for z in ("LOW", "MEDIUM", "HIGH")) + " from wide", ("prediction",), WIDE_CTE)
 def _(t):
     return rounded(wide(t))
 
 
-@query("q_mass_care", "select event, county_fips5, " + ", ".join(f"{n}_{z.lower()}" for n in ("hh_shelter", "hh_feeding") for z in fv.ZONES) + ", total_shelter_est from care", ("prediction",), CARE_CTE)
+@query("q_mass_care", "select event, county_fips5, " + ", ".join(f"{n}_{z.lower()}" for n in ("hh_shelter", "hh_feeding") for z in ("LOW", "MEDIUM", "HIGH")) + ", total_shelter_est from care", ("prediction",), CARE_CTE)
 def _(t):
     table = planning_table(t.prediction)
     return table.select("event", "county_fips5", *[c for c in table.columns if c.startswith("hh_")], "total_shelter_est")
@@ -111,7 +111,7 @@ def _(t):
 
 @query("q_pct_impact", "select event, county_fips5, round(pop_affected_low * 0.1::double, 6) as pct_impacted_low, round(pop_affected_medium * 0.3::double, 6) as pct_impacted_medium, round(pop_affected_high * 0.6::double, 6) as pct_impacted_high from wide", ("prediction",), WIDE_CTE)
 def _(t):
-    return rounded(planning.pct_impact(wide(t)).select("event", "county_fips5", *[f"pct_impacted_{z.lower()}" for z in fv.ZONES]))
+    return rounded(planning.pct_impact(wide(t)).select("event", "county_fips5", *[f"pct_impacted_{z.lower()}" for z in ("LOW", "MEDIUM", "HIGH")]))
 
 
 @query("q_coverage", """select event, state, count(*) filter (where hit) as matched, count(*) as gt_total, round(count(*) filter (where hit) / count(*), 6) as coverage_rate
@@ -146,7 +146,7 @@ def _(t):
 
 
 _VARIANT_SQL = " union all ".join(
-    f"select '{v}' as variant, *, {ZONE.format(l=lo, m=md, h=hi)} as zone from prediction where occ like 'RES%'" for v, (lo, md, hi) in fv.THRESHOLD_VARIANTS.items())
+    f"select '{v}' as variant, *, {ZONE.format(l=lo, m=md, h=hi)} as zone from prediction where occ like 'RES%'" for v, (lo, md, hi) in (("default", (4.0, 9.0, 12.0)), ("tight", (3.0, 8.0, 11.0)), ("loose", (5.0, 10.0, 13.0)), ("very_low", (2.0, 6.0, 10.0))))
 
 
 @query("q_threshold_sensitivity", f"select variant, event, zone, count(*) filter (where depth_grid > 0) as bldg_affected, count(*) filter (where bldgdmgpct > 0) as bldg_impacted, round(2.53::double * count(*) filter (where depth_grid > 0), 6) as pop_affected, round(2.53::double * count(*) filter (where bldgdmgpct > 0), 6) as pop_impacted from ({_VARIANT_SQL}) a where zone <> 'NONE' group by 1, 2, 3", ("prediction",))
