@@ -12,10 +12,11 @@ import regex
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer, models
 
+from floodmark.llm.batches import map_batches
 from floodmark.llm.text import column
 
 #: Distinct pieces a worker remembers, and the longest it keeps.
-REMEMBERED, LONGEST = 200_000, 64
+REMEMBERED, LONGEST = 100_000, 64
 
 
 def byte_table() -> list[str]:
@@ -153,7 +154,7 @@ def encode(
     narrow = docs.select(column(id_col).alias("id"), column(text_col).alias("text"))
     kind = narrow.schema["id"].dataType.simpleString()
     schema = f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    out = narrow.mapInArrow(run, schema + (", ids array<int>, starts array<int>" if arrays else ""))
+    out = map_batches(narrow, run, schema + (", ids array<int>, starts array<int>" if arrays else ""))
     return out.withColumnRenamed("id", id_col)
 
 
@@ -171,4 +172,4 @@ def decode(coded: DataFrame, path: str, pattern: str, id_col: str = "doc_id", id
 
     narrow = coded.select(column(id_col).alias("id"), column(ids_col).alias("ids"))
     kind = narrow.schema["id"].dataType.simpleString()
-    return narrow.mapInArrow(run, f"id {kind}, data binary, text string").withColumnRenamed("id", id_col)
+    return map_batches(narrow, run, f"id {kind}, data binary, text string").withColumnRenamed("id", id_col)

@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from floodmark.llm.batches import map_batches
 from floodmark.llm.shingles import mix, word_hashes
 from floodmark.llm.text import column
 
@@ -179,7 +180,7 @@ def contamination(
         rows = texts.filter(F.pmod(F.xxhash64("text"), F.lit(blocks)) == k).collect()
         block = sorted(r.text for r in rows if len(word_hashes(r.text)) >= MIN_WORDS)
         if block or found is None and k == blocks - 1:
-            one = narrow.mapInArrow(
+            one = map_batches(narrow, 
                 _searching(block, percent), f"id {kind}, text string, distance long, start_word long, end_word long"
             )
             found = one if found is None else found.unionByName(one)

@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from floodmark.llm.batches import map_batches
 from floodmark.llm.text import column
 
 #: Buckets of hashed byte n-grams (2 and 3 bytes of the lower-cased text), and bits of a codeword.
@@ -117,7 +118,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     """
     known = column(lang_col).isNotNull() & column(text_col).isNotNull() & column(id_col).isNotNull()
     rows = docs.filter(known & ~held_out(column(id_col))).select(column(lang_col).cast("string").alias("lang"), column(text_col).alias("text"))
-    counted = rows.mapInArrow(_summed, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    counted = map_batches(rows, _summed, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     found = counted.toArrow()
     languages = sorted(set(found.column("lang").to_pylist()))
     if not languages:
@@ -170,7 +171,7 @@ def identify(
         return narrow.select(
             F.col("id").alias(id_col), "held_out", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("ambiguous"))
     kind = narrow.schema["id"].dataType.simpleString()
-    out = narrow.mapInArrow(run, f"id {kind}, held_out boolean, lettered boolean, lang_pred string, score double, ambiguous boolean")
+    out = map_batches(narrow, run, f"id {kind}, held_out boolean, lettered boolean, lang_pred string, score double, ambiguous boolean")
     some = F.col("lettered")
     return out.select(
         F.col("id").alias(id_col), "held_out", F.when(some, F.col("lang_pred")).otherwise(UNKNOWN).alias("lang_pred"),

@@ -10,6 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from floodmark.llm.batches import map_batches
 from floodmark.llm.components import components
 from floodmark.llm.scratch import Scratch
 from floodmark.llm.shingles import band_keys, shingle_set, signature
@@ -132,7 +133,7 @@ def _classified(docs: DataFrame, id_col: str, text_col: str, percent: int) -> Da
     scratch = Scratch(docs.sparkSession)
     text = column(text_col)
     narrow = docs.select(column(id_col).cast("long").alias("id"), text.alias("text"), F.xxhash64(text).alias("hash"))
-    features = scratch.keep(narrow.mapInArrow(_features, "id long, hash long, n long, print binary, bands array<long>"))
+    features = scratch.keep(map_batches(narrow, _features, "id long, hash long, n long, print binary, bands array<long>"))
 
     named = features.filter("n > 0 and id is not null")
     classes = scratch.keep(named.groupBy("print").agg(F.min("id").alias("first")))
@@ -143,7 +144,7 @@ def _classified(docs: DataFrame, id_col: str, text_col: str, percent: int) -> Da
 
     wanted = first.join(members.select("id").distinct(), "id")
     texts = narrow.filter("id is not null").join(wanted, "id").select("id", "text", "print")
-    sets = scratch.keep(texts.mapInArrow(_sets, "id long, items array<long>"))
+    sets = scratch.keep(map_batches(texts, _sets, "id long, items array<long>"))
 
     label = linked_components(members, sets, percent, LIKELY_BANDS, scratch)
     whole = (

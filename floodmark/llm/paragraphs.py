@@ -10,9 +10,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from floodmark.llm.batches import map_batches
 from floodmark.llm.near_dedup import linked_components
 from floodmark.llm.scratch import Scratch
-from floodmark.llm.shingles import UNIVERSE, _permutation, mix, places, shingle_rows, word_hashes
+from floodmark.llm.shingles import UNIVERSE, mix, permutation, places, shingle_rows, word_hashes
 from floodmark.llm.text import column
 
 SHINGLE = 5
@@ -58,7 +59,7 @@ def paragraph_table(texts: list[str | None]) -> tuple[np.ndarray, ...]:
         return none, none, none, none, none.reshape(0, BANDS)
     rows = shingle_rows(words, SHINGLE)
     units = _units([n for lines in counts for n in lines], rows)
-    order, at = _permutation(42, BANDS), places(rows)
+    order, at = permutation(42, BANDS), places(rows)
     lowest = [order[at + k] for k in range(BANDS)]
     prints = np.zeros(len(units), dtype=np.uint64)
     keys = np.zeros((len(units), BANDS), dtype=np.uint64)
@@ -133,7 +134,7 @@ def repeated_paragraphs(
     text = column(text_col)
     named = docs.select(F.xxhash64(column(id_col), text).alias("row"), column(id_col).alias("id"), text.alias("text"))
     kind = named.schema["id"].dataType.simpleString()
-    units = scratch.keep(named.mapInArrow(_features, f"row long, id {kind}, first int, size int, print long, keys array<long>"))
+    units = scratch.keep(map_batches(named, _features, f"row long, id {kind}, first int, size int, print long, keys array<long>"))
 
     entries = units.select("print", F.explode("keys").alias("key"))
     mixed = scratch.keep(entries.groupBy("key").agg(F.min("print").alias("lo"), F.max("print").alias("hi")).filter("lo <> hi").select("key"))
@@ -150,7 +151,7 @@ def repeated_paragraphs(
     where = own.join(wanted, "print").groupBy("print").agg(F.min(F.struct("row", "first", "size")).alias("at"))
     by_row = where.groupBy(F.col("at.row").alias("row")).agg(F.collect_list(F.struct("at.first", "at.size")).alias("wanted"))
     texts = named.select("row", "text").join(by_row, "row").select("text", "wanted")
-    sets = scratch.keep(texts.mapInArrow(_sets, "id long, items array<long>").dropDuplicates(["id"]))
+    sets = scratch.keep(map_batches(texts, _sets, "id long, items array<long>").dropDuplicates(["id"]))
     label = linked_components(members, sets, percent, 1, scratch)
 
     classed = own.join(label.withColumnRenamed("node", "print"), "print", "left").withColumn("component_id", F.coalesce("component", "print"))

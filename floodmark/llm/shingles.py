@@ -45,7 +45,7 @@ def shingle_set(text: str | None, size: int = 5) -> np.ndarray:
 
 
 @lru_cache(maxsize=4)
-def _permutation(seed: int, extra: int) -> np.ndarray:
+def permutation(seed: int, extra: int) -> np.ndarray:
     order = np.random.default_rng(seed).permutation(UNIVERSE).astype(np.uint32)
     return np.concatenate([order, order[:extra]])
 
@@ -58,7 +58,7 @@ def places(hashes: np.ndarray) -> np.ndarray:
 def signature(hashes: np.ndarray, k: int, seed: int = 42) -> np.ndarray:
     """Circulant MinHash of a non-empty set: coordinate i is the minimum over its places of the second permutation
     shifted by i places round the circle."""
-    order = _permutation(seed, k)
+    order = permutation(seed, k)
     at = places(hashes)
     shift = np.arange(k)
     best = np.full(k, UNIVERSE, dtype=np.uint32)
