@@ -62,11 +62,16 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets have 100 * intersection >= percent * union."""
-    left = sets.select(F.col("id").alias("a"), F.col("items").alias("x"))
-    right = sets.select(F.col("id").alias("b"), F.col("items").alias("y"))
+    """The pairs (a, b) whose full sets have 100 * intersection >= percent * union.
+
+    If `sets` names the one source of a set in a column `only`, two sets of the same one source are not linked.
+    """
+    only = F.col("only") if "only" in sets.columns else F.lit(None).cast("bigint")
+    left = sets.select(F.col("id").alias("a"), F.col("items").alias("x"), only.alias("of_a"))
+    right = sets.select(F.col("id").alias("b"), F.col("items").alias("y"), only.alias("of_b"))
     same = F.size(F.array_intersect("x", "y")).cast("long")
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", same.alias("same"), (F.size("x") + F.size("y")).alias("sizes"))
+    met = pairs.join(left, "a").join(right, "b").filter("of_a is null or of_b is null or of_a <> of_b")
+    both = met.select("a", "b", same.alias("same"), (F.size("x") + F.size("y")).alias("sizes"))
     return both.filter(100 * F.col("same") >= percent * (F.col("sizes") - F.col("same"))).select("a", "b")
 
 
@@ -86,7 +91,7 @@ def _prefix_pairs(rest: DataFrame, sets: DataFrame, percent: int, scratch: Scrat
     here rare items come first, and the places of the first shared item bound the intersection. An item's pairs are formed between documents outside its most frequent component and
     all others, so a large group that is linked already costs nothing.
     """
-    held = rest.join(sets, "id").select("id", "part", F.explode("items").alias("item"), F.size("items").alias("n"))
+    held = rest.join(sets.select("id", "items"), "id").select("id", "part", F.explode("items").alias("item"), F.size("items").alias("n"))
     shared = held.groupBy("item").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
     # Items of one document sort first and link nothing, so only their number matters.
     common = held.join(shared, "item").groupBy("id", "part", "n").agg(F.collect_list(F.struct("df", "item")).alias("items"))

@@ -23,7 +23,7 @@ PERCENT = 80
 BANDS = 2
 #: Words of the shortest paragraph; lines of more than LONG words are cut into windows of WINDOW words, of which every
 #: stretch of 50 words has one whole (ANCHOR + WINDOW = 50).
-SHORTEST, LONG, WINDOW, ANCHOR = 20, 50, 20, 30
+SHORTEST, LONG, WINDOW, ANCHOR = 20, 50, 16, 34
 
 
 def anchors(order: np.ndarray) -> np.ndarray:
@@ -120,9 +120,10 @@ def repeated_paragraphs(
 ) -> DataFrame:
     """One row per paragraph that occurs in two documents or more: id, first_word, n_words, component_id, n_copies, removed.
 
-    Paragraphs are lines of 20 to 50 words; longer lines are cut into windows of 20 words at places that depend on
+    Paragraphs are lines of 20 to 50 words; longer lines are cut into windows of 16 words at places that depend on
     the words alone, so a passage of 50 words in any surroundings gives equal windows. Two are linked if their distinct
-    five-word shingles (A-Z lower-cased, ASCII white space) have 100 * intersection >= percent * union. component_id is
+    five-word shingles (A-Z lower-cased, ASCII white space) have 100 * intersection >= percent * union and they occur in
+    different documents; windows of one document overlap and are no copies of each other. component_id is
     a number of the component, n_copies its paragraphs; removed is false for the first occurrence (smallest id, then
     place) and true for all others. Shorter lines, null and blank texts have no paragraph. Rows equal in id and text are
     one document; a null id is an id, the smallest. Other columns are not looked at; an empty table gives none.
@@ -136,9 +137,12 @@ def repeated_paragraphs(
     kind = named.schema["id"].dataType.simpleString()
     units = scratch.keep(map_batches(named, _features, f"row long, id {kind}, first int, size int, print long, keys array<long>"))
 
-    entries = units.select("print", F.explode("keys").alias("key"))
+    entries = units.select("row", "print", F.explode("keys").alias("key"))
     mixed = scratch.keep(entries.groupBy("key").agg(F.min("print").alias("lo"), F.max("print").alias("hi")).filter("lo <> hi").select("key"))
-    pairs = scratch.keep(entries.join(mixed, "key", "left_semi").distinct())
+    met = scratch.keep(entries.join(mixed, "key", "left_semi"))
+    # Most buckets hold neighbours of one document, which overlap and are not compared.
+    across = met.groupBy("key").agg(F.min("row").alias("lo"), F.max("row").alias("hi")).filter("lo <> hi").select("key")
+    pairs = scratch.keep(met.join(across, "key", "left_semi").select("key", "print").distinct())
     sizes = pairs.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
     members = scratch.keep(pairs.join(sizes, "key").select("key", F.col("print").alias("id"), "size"))
     repeated = units.groupBy("print").agg(F.min("row").alias("lo"), F.max("row").alias("hi")).filter("lo <> hi").select("print")
@@ -148,10 +152,14 @@ def repeated_paragraphs(
     own = scratch.keep(own)
 
     wanted = members.select(F.col("id").alias("print")).distinct()
-    where = own.join(wanted, "print").groupBy("print").agg(F.min(F.struct("row", "first", "size")).alias("at"))
+    place = F.min(F.struct("row", "first", "size")).alias("at")
+    where = own.join(wanted, "print").groupBy("print").agg(place, F.min("row").alias("lo"), F.max("row").alias("hi"))
+    where = scratch.keep(where)
     by_row = where.groupBy(F.col("at.row").alias("row")).agg(F.collect_list(F.struct("at.first", "at.size")).alias("wanted"))
     texts = named.select("row", "text").join(by_row, "row").select("text", "wanted")
-    sets = scratch.keep(map_batches(texts, _sets, "id long, items array<long>").dropDuplicates(["id"]))
+    sets = map_batches(texts, _sets, "id long, items array<long>").dropDuplicates(["id"])
+    single = where.select(F.col("print").alias("id"), F.when(F.col("lo") == F.col("hi"), F.col("lo")).alias("only"))
+    sets = scratch.keep(sets.join(single, "id"))
     label = linked_components(members, sets, percent, 1, scratch)
 
     classed = own.join(label.withColumnRenamed("node", "print"), "print", "left").withColumn("component_id", F.coalesce("component", "print"))

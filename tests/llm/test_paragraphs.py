@@ -26,7 +26,7 @@ def plain(rows, percent):
     for k, a in enumerate(units):
         for b in units[k + 1 :]:
             x, y = sets[a], sets[b]
-            if 100 * len(x & y) >= percent * len(x | y):
+            if x == y or a[0] != b[0] and 100 * len(x & y) >= percent * len(x | y):
                 root[find(b)] = find(a)
     groups = defaultdict(set)
     for u in units:
