@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from floodmark.llm.batches import map_batches
 from floodmark.llm.near_dedup import linked_components
 from floodmark.llm.scratch import Scratch
-from floodmark.llm.shingles import UNIVERSE, mix, permutation, places, shingle_rows, word_hashes
+from floodmark.llm.shingles import mix, permutation, places, shingle_rows, word_hashes
 from floodmark.llm.text import column
 
 SHINGLE = 5
@@ -60,7 +60,8 @@ def paragraph_table(texts: list[str | None]) -> tuple[np.ndarray, ...]:
     rows = shingle_rows(words, SHINGLE)
     units = _units([n for lines in counts for n in lines], rows)
     order, at = permutation(42, BANDS), places(rows)
-    lowest = [order[at + k] for k in range(BANDS)]
+    # The shingle stands behind its rank, so that a coordinate names it and not just its place in the universe.
+    lowest = [(order[at + k].astype(np.uint64) << np.uint64(42)) | (rows >> np.uint64(22)) for k in range(BANDS)]
     prints = np.zeros(len(units), dtype=np.uint64)
     keys = np.zeros((len(units), BANDS), dtype=np.uint64)
     for n in np.unique(units[:, 1]).tolist():
@@ -68,7 +69,7 @@ def paragraph_table(texts: list[str | None]) -> tuple[np.ndarray, ...]:
         index = units[own, 0, None] + np.arange(n - SHINGLE + 1)
         prints[own] = set_print(rows[index])
         for k in range(BANDS):
-            keys[own, k] = lowest[k][index].min(axis=1) + np.uint64(k * UNIVERSE + 1)
+            keys[own, k] = mix(lowest[k][index].min(axis=1)) + np.uint64(k + 1)
     owner = np.searchsorted(base, units[:, 0], "right") - 1
     return owner, units[:, 0] - base[owner], units[:, 1], prints.view(np.int64), mix(keys).view(np.int64)
 
