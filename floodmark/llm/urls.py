@@ -55,8 +55,9 @@ def host_edges(pages: DataFrame, host: str, html: str) -> DataFrame:
 def spread(edges: DataFrame, seeds: DataFrame, scratch: Scratch, rounds: int = ROUNDS) -> DataFrame:
     """(kind, host, rank) of personalised page rank; edges (kind, src, dst, weight), seeds (kind, host, share).
 
-    Both kinds run together; the shares of each sum to one. A host without links keeps nothing for others. Each round is
-    written, so a lost executor costs one round.
+    Both kinds run together; the shares of each sum to one. A host without links passes nothing on, so the ranks of a kind
+    sum to less than one; divided by their sum they are what they would be with that rank returned to the seeds. Each
+    round is written, so a lost executor costs one round.
     """
     out = edges.groupBy("kind", "src").agg(F.sum("weight").alias("out"))
     steps = scratch.keep(edges.join(out, ["kind", "src"]).select("kind", F.col("src").alias("host"), "dst", (F.col("weight") / F.col("out")).alias("part")))
@@ -76,7 +77,9 @@ def judge_urls(
 
     A page's rule is the longest that fits host and path and gives its verdict. Other pages get their host's: trust spreads
     along links from hosts by their share of allowed pages, distrust against links from hosts by their share of blocked
-    pages, both measured in means over all hosts; a host is blocked if distrust >= `least` and > `over` * trust.
+    pages. A host is blocked if its distrust, in means of all hosts, is >= `least` and > `over` times its trust in
+    means of all hosts. The columns trust and distrust are ranks times the number of hosts, before that division: their
+    mean over all hosts is below 1 where hosts without links lose rank.
     Null addresses and those without `://` have empty host and path and are allowed. Null html has no links. Null ids and
     repeated rows are rows; other columns are ignored; an empty table gives none. Pages move only as host sums.
     """
@@ -98,7 +101,10 @@ def judge_urls(
     nodes = own.select("host").unionByName(edges.select(F.col("src").alias("host"))).unionByName(edges.select(F.col("dst").alias("host"))).distinct().count()
     of = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("rank"))), F.lit(0.0)) * nodes
     scores = ranks.groupBy("host").agg(of("trust").alias("trust"), of("distrust").alias("distrust"))
-    bad = (F.col("distrust") >= least) & (F.col("distrust") > over * F.col("trust"))
+    # Two rows: the real sum of each kind's ranks, so that the mean of all hosts is 1. Rounded, as sums depend on order.
+    totals = {r["kind"]: r["total"] for r in ranks.groupBy("kind").agg(F.sum("rank").alias("total")).collect()}
+    means = lambda kind: F.round(F.col(kind) / (totals.get(kind) or 1.0), 9)
+    bad = (means("distrust") >= least) & (means("distrust") > over * means("trust"))
     method = F.when(F.coalesce(bad, F.lit(False)), "block").otherwise("allow")
     return judged.join(scores, "host", "left").select(
         F.col("_id").alias(id_col), "host", "path", F.col("_r.rule").alias("rule"),

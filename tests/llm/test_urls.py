@@ -89,3 +89,13 @@ def test_odd_tables(spark):
     one = spark.createDataFrame([(None, "http://a.net/", "<a href='//b.c/'>"), (1, "http://q.info/", None), (1, "http://q.info/", None)], "page_id long, url string, html string")
     assert sorted(r.verdict for r in judge_urls(one).collect()) == ["allow", "allow", "block"]
     assert judge_urls(one.limit(0)).collect() == []
+
+
+def test_threshold_is_the_real_mean(spark):
+    # No host has links, so all rank that moves on is lost: each seed keeps 0.15 / 2, 0.75 times the number of hosts.
+    rows = [(i, f"http://{h}.net/{p}", None) for i, (h, p) in enumerate(["ax", "ay", "bx", "by"])]
+    rows += [(10 + i, f"http://clean{i}.net/", None) for i in range(8)]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r for r in judge_urls(table, rules=[("block", "a.net/x"), ("block", "b.net/x")]).collect()}
+    assert got[1].rule is None and got[1].distrust < LEAST_DISTRUST
+    assert {i for i, r in got.items() if r.verdict == "block"} == {0, 1, 2, 3}
