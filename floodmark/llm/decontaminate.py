@@ -1,4 +1,6 @@
-"""Benchmark passages in documents: CGK embedding, bit-sampling LSH over windows, exact edit verification."""
+"""Benchmark passages in documents: CGK embedding, bit-sampling LSH over windows, exact edit verification.
+
+Items too short for enough samples are searched exactly, by parts of which one must stand unchanged."""
 
 from __future__ import annotations
 
@@ -18,6 +20,8 @@ from floodmark.llm.text import column
 EDIT_PERCENT = 20
 #: Items with fewer words are no evidence and are not searched.
 MIN_WORDS = 8
+#: Items of fewer words are searched by their parts, which misses none; longer ones by walks.
+WALK_WORDS = 25
 #: Random walks, steps of each, samples of steps per walk and steps per sample.
 WALKS, STEPS, SAMPLES, TAKEN = 2, 10, 1, 4
 #: Bytes of item text searched in one pass over the documents; each pass holds them in every task.
@@ -59,6 +63,20 @@ def embedded_keys(words: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
     return out
 
 
+def parts(n: int, room: int) -> list[tuple[int, int]]:
+    """(offset, words) of room + 1 parts of an item of n words: so many edits leave one of them unchanged."""
+    cuts = [n * k // (room + 1) for k in range(room + 2)]
+    return [(a, b - a) for a, b in zip(cuts, cuts[1:]) if a < b]
+
+
+def part_keys(words: np.ndarray, size: int) -> np.ndarray:
+    """A 64-bit key of the `size` words from each place on that has so many."""
+    key = np.full(max(0, len(words) - size + 1), size, dtype=np.uint64)
+    for k in range(size):
+        key = mix(key * np.uint64(0x9E3779B97F4A7C15) + words[k : k + len(key)])
+    return key
+
+
 def edit_match(item: np.ndarray, window: np.ndarray) -> tuple[int, int, int]:
     """(distance, start, end) of the stretch of `window` with the fewest word edits to `item`; ties take the first end,
     then the longest stretch."""
@@ -95,11 +113,18 @@ class _Block:
         self.bags = [Counter(w.tolist()) for w in self.items]
         found = defaultdict(list)
         for i, w in enumerate(self.items):
-            starts = np.arange(max(1, len(w) - STEPS + 1))
+            if len(w) < WALK_WORDS:
+                for offset, size in parts(len(w), self.room[i]):
+                    found[int(part_keys(w[offset : offset + size], size)[0])].append((i, offset))
+                continue
+            starts = np.arange(len(w) - STEPS + 1)
             for keys in embedded_keys(w, starts):
                 for offset, key in enumerate(keys.tolist()):
                     found[key].append((i, offset))
         self.found = {key: list(dict.fromkeys(v)) for key, v in found.items()}
+        short = [n for n in map(len, self.items) if n < WALK_WORDS]
+        self.sizes = sorted({size for n in set(short) for _, size in parts(n, n * percent // 100)})
+        self.walks = len(short) < len(self.items)
         self.slots = np.zeros(_SLOTS, dtype=bool)
         self.slots[[k & (_SLOTS - 1) for k in self.found]] = True
 
@@ -110,10 +135,10 @@ class _Block:
         gap = np.zeros(STEPS, dtype=np.uint64)
         words = np.concatenate([x for w in each for x in (w, gap)])
         first = np.cumsum([0, *(len(w) + STEPS for w in each)])[:-1]
-        starts = np.arange(len(words))
-        tried: set[tuple[int, int]] = set()
+        tried: set[tuple[int, int, int]] = set()
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
-        for keys in embedded_keys(words, starts):
+        walked = embedded_keys(words, np.arange(len(words))) if self.walks else []
+        for keys in [*walked, *(part_keys(words, size) for size in self.sizes)]:
             places = np.flatnonzero(self.slots[(keys & np.uint64(_SLOTS - 1)).astype(np.int64)])
             owners = np.searchsorted(first, places, "right") - 1
             for at, owner, key in zip(places.tolist(), owners.tolist(), keys[places].tolist()):
@@ -121,9 +146,9 @@ class _Block:
                     room, item = self.room[i], self.items[i]
                     # Begins are taken together by room + 1; one wide window holds all matches of such a step.
                     step = (at - offset) // (room + 1)
-                    if (i, step) in tried:
+                    if (owner, i, step) in tried:
                         continue
-                    tried.add((i, step))
+                    tried.add((owner, i, step))
                     low = max(int(first[owner]), step * (room + 1) - room)
                     high = min(int(first[owner]) + len(each[owner]), step * (room + 1) + len(item) + 2 * room + 1)
                     window = words[low:high]
@@ -162,7 +187,8 @@ def contamination(
     """One row per document and benchmark item found in it: id, item id, distance, start_word, end_word (exclusive).
 
     An item of n words (A-Z lower-cased, ASCII white space) is found if some stretch of the document is within
-    floor(n * percent / 100) word edits of it; the row has the closest stretch, the first of ties. Items with fewer than
+    floor(n * percent / 100) word edits of it; the row has the closest stretch, the first of ties. Of items under 25 words
+    none is missed: a part of them stands unchanged in every match. Items with fewer than
     8 words, null or blank, are not searched; items of equal words each give their rows. Null or blank documents, and
     empty tables, give none. Documents with a null id keep it; repeated rows each give rows. Other columns are ignored.
 

@@ -78,3 +78,19 @@ def test_empty_tables(spark):
     assert contamination(docs.limit(0), bench).collect() == []
     assert contamination(docs, bench.limit(0)).collect() == []
     assert clean_documents(docs, bench.limit(0)).count() == docs.count()
+
+
+def test_short_items_are_found_at_the_full_allowance():
+    rnd = random.Random(3)
+    word = lambda: "".join(rnd.choice("abcdefghijklmnop") for _ in range(5))
+    for n in range(8, 30):
+        items = [[word() for _ in range(n)] for _ in range(60)]
+        docs = []
+        for k, item in enumerate(items):
+            at = {0} | set(rnd.sample(range(1, n), n // 5 - 1)) if k % 2 else set(rnd.sample(range(n), n // 5))
+            edited = [[w] if i not in at else rnd.choice([[], [word()], [w, word()]]) for i, w in enumerate(item)]
+            docs.append(" ".join([word() for _ in range(k % 7)] + sum(edited, []) + [word() for _ in range(k % 5)]))
+        block = decontaminate._Block([" ".join(item) for item in items], 20)
+        found = {(d, i) for d, i, *_ in block.search(docs)}
+        missed = sum((k, k) not in found for k in range(60))
+        assert missed == 0 if n < 25 else missed <= 1, n
