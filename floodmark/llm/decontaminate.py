@@ -18,8 +18,6 @@ from floodmark.llm.text import column
 
 #: Edits allowed per hundred words of an item.
 EDIT_PERCENT = 20
-#: Items with fewer words are no evidence and are not searched.
-MIN_WORDS = 8
 #: Items of fewer words are searched by their parts, which misses none; longer ones by walks.
 WALK_WORDS = 25
 #: Random walks, steps of each, samples of steps per walk and steps per sample.
@@ -151,6 +149,9 @@ class _Block:
                     tried.add((owner, i, step))
                     low = max(int(first[owner]), step * (room + 1) - room)
                     high = min(int(first[owner]) + len(each[owner]), step * (room + 1) + len(item) + 2 * room + 1)
+                    old = best.get((owner, i), (len(item) + 1, 0, 0))
+                    if old[0] == 0 and low - int(first[owner]) >= old[1]:
+                        continue  # an exact match stands before all of this window
                     window = words[low:high]
                     held = list(filter(self.bags[i].__contains__, window.tolist()))
                     if len(held) < len(item) - room or (Counter(held) & self.bags[i]).total() < len(item) - room:
@@ -158,7 +159,6 @@ class _Block:
                     distance, a, b = edit_match(item, window)
                     if distance <= room:
                         place = low - int(first[owner])
-                        old = best.get((owner, i), (len(item) + 1, 0, 0))
                         best[owner, i] = min(old, (distance, place + a, place + b))
         return [(*where, *match) for where, match in sorted(best.items())]
 
@@ -188,8 +188,8 @@ def contamination(
 
     An item of n words (A-Z lower-cased, ASCII white space) is found if some stretch of the document is within
     floor(n * percent / 100) word edits of it; the row has the closest stretch, the first of ties. Of items under 25 words
-    none is missed: a part of them stands unchanged in every match. Items with fewer than
-    8 words, null or blank, are not searched; items of equal words each give their rows. Null or blank documents, and
+    none is missed: a part of them stands unchanged in every match; under 5 words the whole item does. Null or blank
+    items are not searched; items of equal words each give their rows. Null or blank documents, and
     empty tables, give none. Documents with a null id keep it; repeated rows each give rows. Other columns are ignored.
 
     The benchmark is the stated query set: it is searched in blocks of at most 8 MB of distinct item text, each held in
@@ -204,7 +204,7 @@ def contamination(
     found = None
     for k in range(blocks):
         rows = texts.filter(F.pmod(F.xxhash64("text"), F.lit(blocks)) == k).collect()
-        block = sorted(r.text for r in rows if len(word_hashes(r.text)) >= MIN_WORDS)
+        block = sorted(r.text for r in rows if len(word_hashes(r.text)))
         if block or found is None and k == blocks - 1:
             one = map_batches(narrow, 
                 _searching(block, percent), f"id {kind}, text string, distance long, start_word long, end_word long"

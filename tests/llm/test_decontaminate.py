@@ -94,3 +94,14 @@ def test_short_items_are_found_at_the_full_allowance():
         found = {(d, i) for d, i, *_ in block.search(docs)}
         missed = sum((k, k) not in found for k in range(60))
         assert missed == 0 if n < 25 else missed <= 1, n
+
+
+def test_items_under_eight_words(spark):
+    items = [(n, " ".join(f"i{n}w{k}" for k in range(n))) for n in range(1, 8)]
+    docs = [(n, f"x y {text.upper()} z") for n, text in items]
+    docs += [(10 + n, "a b " + text.replace(f"i{n}w0", "other", 1) + " c") for n, text in items]
+    docs += [(20 + n, " ".join(text.split()[::-1])) for n, text in items if n > 1]
+    found = contamination(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    want = {(n, n, 0, 2, 2 + n) for n in range(1, 8)}
+    assert {tuple(r) for r in found if r.distance == 0} == want
+    assert {(r.doc_id, r.item_id, r.distance) for r in found if r.distance} == {(10 + n, n, 1) for n in (5, 6, 7)}
