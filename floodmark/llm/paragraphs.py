@@ -18,12 +18,12 @@ from floodmark.llm.text import column
 
 SHINGLE = 5
 PERCENT = 80
-#: Bands of one coordinate: a pair of similarity s meets with probability 1 - (1 - s)^2, 0.96 at 0.8, and equal
-#: paragraphs always. Passages give several paragraphs, so most have more chances than one.
-BANDS = 2
-#: Words of the shortest paragraph; lines of more than LONG words are cut into windows of WINDOW words, of which every
-#: stretch of 50 words has one whole (ANCHOR + WINDOW = 50).
-SHORTEST, LONG, WINDOW, ANCHOR = 20, 50, 16, 34
+#: Bands of one coordinate: a pair of similarity s meets with probability 1 - (1 - s)^bands. Two have 0.96
+#: at 0.8. Equal paragraphs always meet.
+BANDS, WINDOW_BANDS = 2, 2
+#: Words of the shortest and longest line that is a paragraph. Documents of more than LONG words are also cut into windows of WINDOW
+#: words across line breaks, one at least in each ANCHOR places, so that they leave no gap (ANCHOR <= WINDOW).
+SHORTEST, LONG, WINDOW, ANCHOR = 20, 50, 16, 16
 
 
 def anchors(order: np.ndarray) -> np.ndarray:
@@ -34,23 +34,32 @@ def anchors(order: np.ndarray) -> np.ndarray:
     return np.unique(last)
 
 
-def _units(lines: list[int], rows: np.ndarray) -> np.ndarray:
-    """(first word, words) of each paragraph, of lines of so many words; rows: the shingles of all words in order."""
+def _units(docs: list[list[int]], rows: np.ndarray) -> np.ndarray:
+    """(first word, words) of each paragraph, of documents of lines of so many words; rows: the shingles of all words in
+    order. Windows are shorter than lines."""
     order = mix(rows ^ np.uint64(0x5851F42D4C957F2D))
     out, first = [], 0
-    for n in lines:
+    for lines in docs:
+        n, at = sum(lines), first
         if n > LONG:
-            # Windows at the end of a line reach back to have their full length.
-            at = np.unique(np.minimum(anchors(order[first : first + n - SHINGLE + 1]), n - WINDOW))
-            out += [(first + x, WINDOW) for x in at.tolist()]
-        elif n >= SHORTEST:
-            out.append((first, n))
+            # Windows at the end reach back to have their full length; the first and the last stand at the document's ends.
+            places = np.minimum(anchors(order[first : first + n - SHINGLE + 1]), n - WINDOW)
+            starts = np.unique([0, *places.tolist(), n - WINDOW])
+            # A document's paragraphs are told apart by their first word: a window that starts with a line starts one word
+            # later. It shares 11 of 13 shingles with the window it stands for.
+            whole = np.cumsum([0, *lines[:-1]])[(np.array(lines) >= SHORTEST) & (np.array(lines) <= LONG)]
+            out += [(first + x, WINDOW) for x in np.unique(starts + np.isin(starts, whole)).tolist()]
+        for size in lines:
+            if SHORTEST <= size <= LONG:
+                out.append((at, size))
+            at += size
         first += n
     return np.array(out, dtype=np.int64).reshape(-1, 2)
 
 
 def paragraph_table(texts: list[str | None]) -> tuple[np.ndarray, ...]:
-    """owner, first word, words, print, keys of all paragraphs of some texts: int64 arrays, keys of shape (n, BANDS)."""
+    """owner, first word, words, print, keys of all paragraphs of some texts: int64 arrays, keys of shape (n, BANDS), of
+    which windows use the first WINDOW_BANDS."""
     counts = [[len(line.split()) for line in (t or "").encode("utf-8", "surrogatepass").split(b"\n")] for t in texts]
     base = np.cumsum([0, *map(sum, counts)])
     words = np.concatenate([word_hashes(t) for t in texts])
@@ -58,7 +67,7 @@ def paragraph_table(texts: list[str | None]) -> tuple[np.ndarray, ...]:
         none = np.empty(0, np.int64)
         return none, none, none, none, none.reshape(0, BANDS)
     rows = shingle_rows(words, SHINGLE)
-    units = _units([n for lines in counts for n in lines], rows)
+    units = _units(counts, rows)
     order, at = permutation(42, BANDS), places(rows)
     # The shingle stands behind its rank, so that a coordinate names it and not just its place in the universe.
     lowest = [(order[at + k].astype(np.uint64) << np.uint64(42)) | (rows >> np.uint64(22)) for k in range(BANDS)]
@@ -68,7 +77,7 @@ def paragraph_table(texts: list[str | None]) -> tuple[np.ndarray, ...]:
         own = np.flatnonzero(units[:, 1] == n)
         index = units[own, 0, None] + np.arange(n - SHINGLE + 1)
         prints[own] = set_print(rows[index])
-        for k in range(BANDS):
+        for k in range(BANDS if n > WINDOW else WINDOW_BANDS):
             keys[own, k] = mix(lowest[k][index].min(axis=1)) + np.uint64(k + 1)
     owner = np.searchsorted(base, units[:, 0], "right") - 1
     return owner, units[:, 0] - base[owner], units[:, 1], prints.view(np.int64), mix(keys).view(np.int64)
@@ -89,12 +98,13 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = batch.slice(at, 128)
             owner, first, size, prints, keys = paragraph_table(part.column(2).to_pylist())
             take = pa.array(owner)
-            offsets = pa.array(np.arange(len(owner) + 1, dtype=np.int32) * BANDS)
+            used = np.arange(BANDS) < np.where(size > WINDOW, BANDS, WINDOW_BANDS)[:, None]
+            offsets = pa.array(np.concatenate([[0], np.cumsum(used.sum(axis=1))]).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column(0).take(take), part.column(1).take(take), pa.array(first.astype(np.int32)),
                     pa.array(size.astype(np.int32)), pa.array(prints),
-                    pa.ListArray.from_arrays(offsets, pa.array(keys.reshape(-1))),
+                    pa.ListArray.from_arrays(offsets, pa.array(keys[used])),
                 ],
                 ["row", "id", "first", "size", "print", "keys"],
             )
@@ -121,12 +131,14 @@ def repeated_paragraphs(
 ) -> DataFrame:
     """One row per paragraph that occurs in two documents or more: id, first_word, n_words, component_id, n_copies, removed.
 
-    Paragraphs are lines of 20 to 50 words; longer lines are cut into windows of 16 words at places that depend on
-    the words alone, so a passage of 50 words in any surroundings gives equal windows. Two are linked if their distinct
+    Paragraphs are lines of 20 to 50 words, and in documents of more than 50 words windows of 16 words over
+    the whole word sequence, across line breaks, at places that depend on the words alone and without gaps: a passage of
+    31 words in any surroundings has a whole one, and all of it but 15 words at most at either end is in such windows
+    (matches are not extended to the ends). One that would start with a line of 20 words starts a word later. Two are linked if their distinct
     five-word shingles (A-Z lower-cased, ASCII white space) have 100 * intersection >= percent * union and they occur in
     different documents; windows of one document overlap and are no copies of each other. component_id is
     a number of the component, n_copies its paragraphs; removed is false for the first occurrence (smallest id, then
-    place) and true for all others. Shorter lines, null and blank texts have no paragraph. Rows equal in id and text are
+    place) and true for all others. Null and blank texts have no paragraph. Rows equal in id and text are
     one document; a null id is an id, the smallest. Other columns are not looked at; an empty table gives none.
 
     Equal paragraphs are one node, found by grouping on a 64-bit hash; only different ones that share a bucket are

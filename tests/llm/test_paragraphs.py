@@ -80,3 +80,23 @@ def test_odd_rows(spark):
     got = sorted((r.doc_id or -1, r.n_copies, r.removed) for r in repeated_paragraphs(rows).collect())
     assert got == [(-1, 2, False), (1, 2, True)]
     assert repeated_paragraphs(rows.filter("doc_id = 1")).collect() == []
+
+
+def test_windows_cross_line_breaks_without_gaps():
+    rnd = random.Random(5)
+    for k in range(40):
+        passage = [f"{k}p{i}" for i in range(60)]
+        found = []
+        for width in (7, 13, 30, 55):
+            pad = lambda: [f"x{rnd.random()}" for _ in range(rnd.randint(0, 40))]
+            head = pad()
+            words = head + passage + pad()
+            text = "\n".join(" ".join(words[i : i + width]) for i in range(0, len(words), width))
+            _, first, size, _, _ = paragraph_table([text])
+            units = list(zip(first.tolist(), size.tolist()))
+            assert len({f for f, _ in units}) == len(units)
+            assert {w for f, n in units for w in range(f, f + n)} == set(range(len(words)))
+            found.append({f - len(head) for f, n in units if n == 16 and len(head) <= f and f + n <= len(head) + 60})
+        assert all(found[0] & other for other in found[1:])
+        covered = {w for f in found[0] for w in range(f, f + 16)}
+        assert set(range(15, 45)) <= covered
