@@ -100,3 +100,12 @@ def test_windows_cross_line_breaks_without_gaps():
         assert all(found[0] & other for other in found[1:])
         covered = {w for f in found[0] for w in range(f, f + 16)}
         assert set(range(15, 45)) <= covered
+
+
+def test_near_lines_share_a_band():
+    rnd = random.Random(6)
+    for k in range(400):
+        line = [f"{k}w{rnd.random()}" for _ in range(30)]
+        near = [*line[:1], "other", *line[2:]]  # 24 of 28 shingles
+        a, b = (paragraph_table([" ".join(x)])[4] for x in (line, near))
+        assert len(a) == len(b) == 1 and (a[0] == b[0]).any(), k
