@@ -21,7 +21,7 @@ PERCENT = 80
 #: Bands of one coordinate: a pair of similarity s meets with probability 1 - (1 - s)^bands. Lines have five, 0.9997 at
 #: 0.8; windows two, 0.96 at 0.8. Equal paragraphs always meet.
 BANDS, WINDOW_BANDS = 5, 2
-#: Words of the shortest and longest line that is a paragraph. Documents of more than LONG words are also cut into windows of WINDOW
+#: Words of the shortest line that is a paragraph. Documents of more than LONG words are also cut into windows of WINDOW
 #: words across line breaks, one at least in each ANCHOR places, so that they leave no gap (ANCHOR <= WINDOW).
 SHORTEST, LONG, WINDOW, ANCHOR = 20, 50, 16, 16
 
@@ -47,10 +47,10 @@ def _units(docs: list[list[int]], rows: np.ndarray) -> np.ndarray:
             starts = np.unique([0, *places.tolist(), n - WINDOW])
             # A document's paragraphs are told apart by their first word: a window that starts with a line starts one word
             # later. It shares 11 of 13 shingles with the window it stands for.
-            whole = np.cumsum([0, *lines[:-1]])[(np.array(lines) >= SHORTEST) & (np.array(lines) <= LONG)]
+            whole = np.cumsum([0, *lines[:-1]])[np.array(lines) >= SHORTEST]
             out += [(first + x, WINDOW) for x in np.unique(starts + np.isin(starts, whole)).tolist()]
         for size in lines:
-            if SHORTEST <= size <= LONG:
+            if size >= SHORTEST:
                 out.append((at, size))
             at += size
         first += n
@@ -131,7 +131,7 @@ def repeated_paragraphs(
 ) -> DataFrame:
     """One row per paragraph that occurs in two documents or more: id, first_word, n_words, component_id, n_copies, removed.
 
-    Paragraphs are lines of 20 to 50 words, and in documents of more than 50 words windows of 16 words over
+    Paragraphs are all lines of 20 words or more, whole, and in documents of more than 50 words windows of 16 words over
     the whole word sequence, across line breaks, at places that depend on the words alone and without gaps: a passage of
     31 words in any surroundings has a whole one, and all of it but 15 words at most at either end is in such windows
     (matches are not extended to the ends). One that would start with a line of 20 words starts a word later. Two are linked if their distinct

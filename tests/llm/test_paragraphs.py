@@ -109,3 +109,17 @@ def test_near_lines_share_a_band():
         near = [*line[:1], "other", *line[2:]]  # 24 of 28 shingles
         a, b = (paragraph_table([" ".join(x)])[4] for x in (line, near))
         assert len(a) == len(b) == 1 and (a[0] == b[0]).any(), k
+
+
+def test_long_lines_are_compared_whole(spark):
+    rnd = random.Random(4)
+    rows = []
+    for i in range(60):
+        line = [f"{i}w{k}" for k in range(rnd.choice([51, 60, 80]))]
+        near = list(line)
+        near[len(line) // 2] = "other"
+        rows += [(2 * i, " ".join(line)), (2 * i + 1, " ".join(near))]
+    sizes = {i: len(text.split()) for i, text in rows}
+    out = repeated_paragraphs(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    whole = {r.doc_id for r in out if r.n_words == sizes[r.doc_id]}
+    assert whole == set(range(120))
