@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from floodmark.llm import bpe, decontaminate, language, near_dedup, paragraphs, personal, quality, secrets, shards, urls
+from floodmark.llm import (
+    bpe, decontaminate, language, near_dedup, paragraphs, personal, quality, secrets, shards, token_counts, urls,
+)
+from floodmark.llm.scratch import Scratch
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLE: dict[str, str] = {}
@@ -195,3 +198,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Rounded, as the last digits depend on the order of sums.
     rows = quality.quality_rules(table(spark, sf_dir, "documents"))
     return rows.withColumn("host_rate", F.round("host_rate", 9))
+
+
+@_query("op13_token_counts")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # A cache of this run alone: every distinct text is a miss, encoded once and stored.
+    scratch = Scratch(spark)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), path, f"{scratch.base}/token_counts", scratch=scratch)
