@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from floodmark.llm import (
-    bpe, decontaminate, language, near_dedup, paragraphs, personal, quality, secrets, shards, token_counts, urls,
+    bpe, decontaminate, language, near_dedup, paragraphs, personal, prefix_trie, quality, secrets, shards, token_counts, urls,
 )
 from floodmark.llm.scratch import Scratch
 
@@ -200,6 +200,50 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("host_rate", F.round("host_rate", 9))
 
 
+_CRC_SQL = """list_reduce(list_concat([4294967295::bigint], flatten(list_transform(string_split(conv_id::varchar, ''),
+  lambda c: list_transform(range(8), lambda b: (ord(c)::bigint >> b) & 1)))),
+  lambda a, b: xor(a >> 1, xor(a & 1, b) * 3988292384::bigint))"""
+_OP11_SQL = f"""
+with t as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text,
+    sha256(strlen(coalesce(role, ''))::varchar || ':' || coalesce(role, '') || coalesce(text, '')) as x
+  from conversations where conv_id is not null),
+o as (
+  select conv_id, x, len({_WORDS.format(text="text")})::bigint as words,
+    row_number() over (partition by conv_id order by turn nulls first, role, x) as p
+  from t),
+h as (select conv_id, 3 - {_CRC_SQL} % 4 as h from (select distinct conv_id from t) x),
+r as (
+  select h.conv_id, p, x, words from h join o on o.conv_id = h.conv_id - h.conv_id % 20 and p <= h
+  union all select conv_id, p, x, words from h join o using (conv_id) where p > h),
+d as (select conv_id, x, words, row_number() over (partition by conv_id order by p) as d from r),
+k as (
+  select conv_id, d, words,
+    sha256(string_agg(x, '' order by d) over (partition by conv_id order by d rows between unbounded preceding and current row)) as node
+  from d),
+a as (
+  select conv_id, d, words, node, coalesce(lag(node) over (partition by conv_id order by d), '') as parent from k
+  union all select conv_id, 0, 0, '', null from h),
+n as (select node, d as depth, min(conv_id) as conv_id, min(parent) as parent, count(*) as n, min(words) as words from a group by node, d),
+c as (select parent as node, count(*) as children from n where parent is not null group by parent),
+v as (select n.*, coalesce(children, 0) as children from n left join c using (node)),
+s as (
+  select a.node, count(*) filter (where v.children = 0) as leaves, sum((v.n - 1) * v.words)::bigint as saved
+  from v join a on a.conv_id = v.conv_id and a.d <= v.depth group by a.node),
+l as (select conv_id, arg_max(node, d) as node from a group by conv_id),
+e as (select node, sha256(string_agg(conv_id::varchar, ',' order by conv_id)) as ends from l group by node)
+select v.conv_id, v.depth, p.conv_id as parent_conv_id, v.n as n_convs, v.children as n_children, leaves as n_leaves,
+  saved as saved_tokens, coalesce(ends, sha256('')) as ends_sha256
+from v join s using (node) left join e using (node) left join v p on p.node = v.parent
+"""
+
+
+@_query("op11_conversation_prefix_trie", _OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = prefix_trie.turn_records(table(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_trie(prefix_trie.with_shared_heads(records))
+
+
 @_query("op13_token_counts")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     # A cache of this run alone: every distinct text is a miss, encoded once and stored.
