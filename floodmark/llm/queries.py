@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from floodmark.llm import (
-    bpe, decontaminate, language, near_dedup, paragraphs, personal, prefix_trie, quality, secrets, shards, token_counts, urls,
+    bpe, decontaminate, language, near_dedup, paragraphs, personal, prefix_trie, quality, secrets, shards, token_counts, urls, whitening,
 )
 from floodmark.llm.scratch import Scratch
 
@@ -244,6 +244,12 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(prefix_trie.with_shared_heads(records))
 
 
+@_query("op12_embedding_whitening")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return rows.withColumn("deviation", F.col("deviation").cast("long"))
+
+
 @_query("op13_token_counts")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     # A cache of this run alone: every distinct text is a miss, encoded once and stored.

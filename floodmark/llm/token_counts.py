@@ -19,7 +19,7 @@ from floodmark.llm.scratch import Scratch
 from floodmark.llm.text import column
 
 #: Missing digests (32 bytes each) that are sent to all tasks; more are found by a shuffle join.
-BROADCAST_MISSES = 1_000_000
+BROADCAST_MISSES = 100_000
 #: A digest is hot from this share of all rows, so at most as many digests as the inverse are; and from this many rows.
 HOT_SHARE, HOT_ROWS = 1 / 2000, 1000
 #: Bytes of text that one encoding task takes, where the session doesn't ask for less.
