@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from floodmark.functions import fixed_values as fv
 from floodmark.operators.damage import DEPTH_COLUMNS, Lookups, curves_long, curves_packed
 from floodmark.operators.joins import Lookup, lookup
-from floodmark.operators.raster import Raster, wet_cells
+from floodmark.operators.raster import PackedCells, Raster, packed_cells
 
 BASE = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -356,7 +356,7 @@ class Tables:
 
     @property
     def wet(self):
-        return self._once("wet", lambda: kept(wet_cells(self.cells(), GRIDS)))
+        return self._once("wet", lambda: PackedCells(kept(packed_cells(self.cells(), GRIDS))))
 
     @property
     def lookups(self) -> Lookups:

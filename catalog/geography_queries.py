@@ -7,6 +7,7 @@ from floodmark.functions import fixed_values as fv
 from floodmark.functions.hazard import depth_category
 from floodmark.operators import geography as geo, spatial
 from floodmark.plans.geography import geography_table, located_predictions
+from floodmark.session import work_folder
 from floodmark.sources import demographics, features
 
 from .registry import query, rounded
@@ -45,6 +46,17 @@ def _(t):
     return geo.geo_rollup(t.prediction, "county", LABELS)
 
 
+def levels_sql() -> str:
+    body = rollup_sql(11, "prediction", "cbfips").split(" as FIPS, ")[1].split(" from prediction")[0]
+    return (f"select case grouping(t, c, s) when 0 then 'tract' when 4 then 'county' when 6 then 'state' else 'nation' end as level, coalesce(t, c, s, '') as FIPS, {body} "
+            "from (select *, substr(cbfips, 1, 2) as s, substr(cbfips, 1, 5) as c, substr(cbfips, 1, 11) as t from prediction where cbfips is not null) a group by rollup(s, c, t)")
+
+
+@query("q_geo_levels", levels_sql(), ("prediction",))
+def _(t):
+    return geo.geo_rollup_levels(t.prediction, LABELS)
+
+
 @query("q_geography_table", f"""select coalesce(s.ST_ABBR, last_value(s.ST_ABBR ignore nulls) over b, first_value(s.ST_ABBR ignore nulls) over a) as ST_ABBR,
       coalesce(s.COUNTY, last_value(s.COUNTY ignore nulls) over b, first_value(s.COUNTY ignore nulls) over a) as COUNTY,
       r.*, coalesce(v.units, 0) as Num_Vacant_Units, {', '.join('s.' + c for c in fv.SVI_OUTPUT_COLUMNS)}
@@ -66,6 +78,14 @@ def _(t):
     return rounded(geo.match_rate(geo.attach_block(t.prediction.select("fltyid"), t.xwalk), "cbfips"))
 
 
+@query("q_crosswalk_in_flight", "select count(blk) as matched, count(*) as total, round(count(blk) * 100 / greatest(count(*), 1), 6) as match_pct from (select p.fltyid, x.cbfips as blk from prediction p left join xwalk x using (fltyid)) a", ("prediction", "xwalk"))
+def _(t):
+    """The report comes from the job that writes the joined rows."""
+    rows, counts = geo.attach_block_counted(t.prediction.select("fltyid", "bldgdmgpct"), t.xwalk)
+    rows.write.parquet(work_folder(t.spark))
+    return rounded(counts.row(rows))
+
+
 @query("q_depth_category", f"select fltyid, depth_grid, {CATEGORY_SQL} as category from prediction", ("prediction",))
 def _(t):
     return t.prediction.select("fltyid", "depth_grid", depth_category("depth_grid", LABELS).alias("category"))

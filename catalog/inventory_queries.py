@@ -1,13 +1,16 @@
 """Scans, filters, text columns, dedup, summaries and ingest."""
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
-from floodmark.functions import fixed_values as fv, text
+from floodmark import run_params
+from floodmark.functions import fixed_values as fv, geodesy, text
 from floodmark.operators import inventory as inv
 from floodmark.operators.planning import latest_advisories
-from floodmark.plans.ingest import features_to_inventory
+from floodmark.plans.ingest import features_to_inventory, ingest_features
 from floodmark.sinks import exports
-from floodmark.sources import features, inventory as src
+from floodmark.schema import INVENTORY
+from floodmark.session import work_folder
+from floodmark.sources import features, inventory as src, predictions
 
 from .fixtures import STATE_NAMES, pick
 from .registry import query
@@ -223,6 +226,121 @@ def _(t):
     return inv.load_manifest(t.raw_feature, done)
 
 
+def landed(t):
+    """Feature lines as text files in a folder per state, as they come from a download."""
+    path = work_folder(t.spark)
+    t.feature_line.select("state", "line").write.partitionBy("state").text(path)
+    return features.read_lines(t.spark, path, place=True)
+
+
+@query("q_feature_quarantine", """select state, problem, line, true as placed from (select *, case when ln % 7 = 3 and pk % 5 = 0 then 'malformed' end as problem, substr(body, 1, 40) as line
+      from (select *, '{"type":"Feature","properties":{"bid":"' || bid || '","occtype":"' || occtype || '","sqft":' || sqft as body from raw_feature) a) b where problem is not null""", ("raw_feature",))
+def _(t):
+    """The quarantined lines of an ingest that writes both of its outputs."""
+    done = ingest_features(landed(t), work_folder(t.spark), work_folder(t.spark))
+    return done.quarantined.select("state", "problem", "line", (F.col("file").contains("state=") & F.col("block_start").isNotNull()).alias("placed"))
+
+
+@query("q_ingest_counts", """select count(*) as lines, count(*) filter (where problem = 'blank') as blank, count(*) filter (where problem = 'malformed') as malformed,
+    count(*) filter (where problem = 'not_feature') as not_feature, count(*) filter (where problem is null) as features, count(*) filter (where problem is null) as written
+    from (select case when ln % 7 = 1 and pk % 5 = 0 then 'blank' when ln % 7 in (2, 4) and pk % 5 = 0 then 'not_feature' when ln % 7 = 3 and pk % 5 = 0 then 'malformed' end as problem from raw_feature) a""", ("raw_feature",))
+def _(t):
+    root = work_folder(t.spark)
+    counts = ingest_features(landed(t), root, work_folder(t.spark)).counts
+    written = src.read_inventory(t.spark, root).agg(F.count("*").alias("written"))
+    return written.select(*[F.lit(n).cast("long").alias(k) for k, n in counts.items()], "written")
+
+
+@query("q_file_manifest", """select s.state, n.name, n.abbr, n.fips, raw_lines_bytes, good as feature_count, good as processed_parquet_rows, true as complete, true as has_paths, true as has_bytes
+    from (select state, cast(sum(strlen(line) + 1) as bigint) as raw_lines_bytes from feature_line group by state) s
+    join (select state, count(*) filter (where not (ln % 7 in (1, 2, 3, 4) and pk % 5 = 0)) as good from raw_feature group by state) g using (state)
+    join states n on replace(n.name, ' ', '_') = s.state""", ("feature_line", "raw_feature"), extra=f"states(name, abbr, fips) AS (values {_STATE_VALUES})")
+def _(t):
+    lines, root = landed(t), work_folder(t.spark)
+    ingest_features(lines, root, work_folder(t.spark))
+    found = features.judged_features(lines, ("bid",), keep=("state", "_metadata")).where("problem is null")
+    table = inv.file_manifest(found, src.read_inventory(t.spark, root))
+    return table.select(
+        "state", "name", "abbr", "fips", "raw_lines_bytes", "feature_count", "processed_parquet_rows", "complete",
+        (F.col("raw_lines").contains(F.concat(F.lit("/state="), "state")) & F.col("processed_parquet").contains(root)).alias("has_paths"),
+        ((F.col("processed_parquet_bytes") > 0) & F.col("processed_parquet_modified").isNotNull()).alias("has_bytes"))
+
+
+@query("q_morton", """select bid, latitude, longitude, list_sum(list_transform(range(26), lambda i: (((la >> i) & 1) << (2 * i + 1)) + (((lo >> i) & 1) << (2 * i))))::bigint as place
+    from (select bid, latitude, longitude, floor((latitude + 90) * (67108864::double / 180))::bigint as la, floor((longitude + 180) * (67108864::double / 360))::bigint as lo from inventory) a""", ("inventory",))
+def _(t):
+    return t.inventory.select("bid", "latitude", "longitude", geodesy.morton("latitude", "longitude").alias("place"))
+
+
+@query("q_inventory_store", f"""select state, count(*) as n, round(sum(val_struct), 4) as value, cast(sum(cast(trunc(num_story) as bigint)) as bigint) as stories, min(latitude) as south, max(longitude) as east, count(cbfips) as blocks
+    from inventory where lower(state) in ('florida', 'north_carolina') and latitude between 26 and 28.5 and longitude between -84.5 and -82 group by state""", ("inventory",))
+def _(t):
+    """Written by state along the curve, then read by state and box with the fixed schema."""
+    schema = T.StructType([*INVENTORY.fields, T.StructField("state", T.StringType())])
+    root = work_folder(t.spark)
+    src.write_inventory(src.conform(t.inventory, schema), root)
+    stored = src.read_inventory(t.spark, root)
+    src.check_columns(stored)
+    kept, counts = src.scan_states_counted(stored, ["FLORIDA", "North Carolina"])
+    out = inv.in_bbox(kept, -84.5, 26.0, -82.0, 28.5).groupBy("state").agg(
+        F.count("*").alias("n"), F.round(F.sum("val_struct"), 4).alias("value"), F.sum("num_story").alias("stories"),
+        F.min("latitude").alias("south"), F.max("longitude").alias("east"), F.count("cbfips").alias("blocks"))
+    path = work_folder(t.spark)
+    out.write.parquet(path)
+    counts.require_all()
+    return t.spark.read.schema(out.schema).parquet(path)
+
+
+@query("q_engine_csv", "select * exclude (cbfips) from building", ("inventory",), extra=BUILDING_CTE)
+def _(t):
+    """The engine's input file, read back by its parts."""
+    path, rows = work_folder(t.spark), exports.engine_export(buildings(t))
+    exports.write_ordered_csv(rows, path)
+    return t.spark.read.option("header", True).schema(rows.schema).csv(path)
+
+
+@query("q_prediction_csv", "select fltyid, occ, cost, depth_grid, bldgdmgpct, bldglossusd from prediction", ("prediction",))
+def _(t):
+    path = work_folder(t.spark)
+    t.prediction.selectExpr("fltyid as FltyId", "occ as Occ", "cost as Cost", "depth_grid as Depth_Grid", "bldgdmgpct as BldgDmgPct", "bldglossusd as BldgLossUSD").write.option("header", True).csv(path)
+    return predictions.read_predictions(t.spark, path)
+
+
+@query("q_prediction_store", """select event, cast(adv as int) as adv, case event when 'IDA_2021' then 'second' else 'first' end as run_id, count(*) as n, round(sum(bldgdmgpct), 6) as damage
+    from prediction where event in ('BERYL_2024', 'IDA_2021') and adv in (9, 10) group by event, adv""", ("prediction",))
+def _(t):
+    """Runs of the store; one event is run again, and only its own advisories are replaced."""
+    root = work_folder(t.spark)
+    for run, events in (("first", ("BERYL_2024", "IDA_2021")), ("second", ("IDA_2021",))):
+        for event in events:
+            for adv in (9, 10):
+                own = t.prediction.where((F.col("event") == event) & (F.col("adv") == adv)).drop("event", "adv", "flc")
+                exports.write_predictions(own, root, event, adv, "grid", run, "CAE")
+    stored = predictions.read_prediction_store(t.spark, root)
+    return stored.groupBy("event", F.col("adv").cast("int").alias("adv"), "run_id").agg(
+        F.count("*").alias("n"), F.round(F.sum("bldgdmgpct"), 6).alias("damage"))
+
+
+@query("q_published_table", "select substr(cbfips, 1, 5) as FIPS, count(*) as buildings, max(bldgdmgpct) as worst from prediction where cbfips is not null group by 1", ("prediction",))
+def _(t):
+    table = t.prediction.where("cbfips is not null").groupBy(F.substring("cbfips", 1, 5).alias("FIPS")).agg(
+        F.count("*").alias("buildings"), F.max("bldgdmgpct").alias("worst"))
+    path = exports.publish(table, run_params({"storm_id": "al022024", "storm_name": "beryl"}), work_folder(t.spark))
+    return t.spark.read.option("header", True).schema(table.schema).csv(path)
+
+
+@query("q_resolve_in_flight", f"""select s.fips, s.abbr, s.name, replace(s.name, ' ', '_') as path_name, count(*) as n
+    from keyed join states s on key in (s.fips, s.abbr, lower(s.name)) group by all""", ("state_token",),
+    extra=f"states(name, abbr, fips) AS (values {_STATE_VALUES}), keyed AS (select {_STATE_KEY_SQL} as key from state_token)")
+def _(t):
+    """Every identifier is resolved and counted in one reading; the strict check would follow the write."""
+    rows, counts = inv.resolve_states_counted(t.state_token, "token")
+    path = work_folder(t.spark)
+    rows.groupBy("fips", "abbr", "name", "path_name").agg(F.count("*").alias("n")).write.parquet(path)
+    assert counts.get()["unknown"] > 0
+    return t.spark.read.schema("fips string, abbr string, name string, path_name string, n long").parquet(path)
+
+
 _FEATURE_SQL = """select case when bad then null else bid end as bid, case when bad then null else occtype end as occtype, case when bad then null else sqft end as sqft,
     case when bad or pk % 3 = 0 then null else cast(lon as double) end as longitude, case when bad or pk % 3 = 0 then null else cast(lat as double) end as latitude
     from (select *, ln % 7 = 3 and pk % 5 = 0 as bad from raw_feature where not (ln % 7 in (1, 2, 4) and pk % 5 = 0)) a"""

@@ -25,6 +25,31 @@ def cell_number(coord, origin, size, flip: bool = False, truncate: bool = False)
     return offset.cast("bigint") if truncate else F.floor(offset).cast("bigint")
 
 
+MORTON_BITS = 26
+
+
+def _spread_bits(number: Column) -> Column:
+    """Bits of a number of MORTON_BITS bits, each followed by a zero bit."""
+    # The usual masks; each step halves the runs of bits that still stand together.
+    for shift, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555)):
+        number = number.bitwiseOR(F.shiftleft(number, shift)).bitwiseAND(F.lit(mask))
+    return number
+
+
+def morton(lat, lon) -> Column:
+    """Place of a position on a Z-shaped curve over the globe, as a bigint: near places on the curve are near positions.
+
+    Both coordinates are cut into 2**26 steps (under 0.7 m) and their bits interleaved, latitude first.  Positions beyond the
+    poles or the date line count as on them; a missing or NaN coordinate gives NULL.
+    """
+    def steps(c, half: float) -> Column:
+        c = _col(c).cast("double")
+        whole = F.floor((F.greatest(F.lit(-half), F.least(F.lit(half), c)) + half) * ((1 << MORTON_BITS) / (2 * half)))
+        return F.when(c.isNotNull() & ~F.isnan(c), F.least(whole, F.lit((1 << MORTON_BITS) - 1)).cast("bigint"))
+
+    return F.shiftleft(_spread_bits(steps(lat, 90.0)), 1).bitwiseOR(_spread_bits(steps(lon, 180.0)))
+
+
 def utm_zone(lat, lon) -> Column:
     """UTM zone of a point, with the wider zones of Norway and Svalbard."""
     lat, lon = _col(lat), _col(lon)

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import fixed_values as fv, geodesy, hazard
 from ..session import cut_lineage
+from .counts import Counts, match_counted
 from .quantiles import quantiles_of_counts
 
 QUARTILES = {"25th": 0.25, "50th": 0.50, "75th": 0.75}
@@ -32,6 +33,11 @@ def match_rate(df: DataFrame, col: str) -> DataFrame:
     )
 
 
+def attach_block_counted(pred: DataFrame, xwalk: DataFrame, key: str = "fltyid", block: str = "cbfips") -> tuple[DataFrame, Counts]:
+    """:func:`attach_block` with its match rate, gathered by the job that uses the rows."""
+    return match_counted(attach_block(pred, xwalk, key), block)
+
+
 def add_geoids(df: DataFrame, fips: str = "cbfips") -> DataFrame:
     """Add tract, county and state codes of a block code."""
     return df.withColumns({
@@ -77,6 +83,52 @@ def geo_rollup(df: DataFrame, geography: str, labels: Sequence[str], quantiles:
     counts = value_counts(df, geography)
     if quantiles:
         counts = cut_lineage(counts)
+    rolled = _rolled(counts, ["FIPS"], labels, quantiles)
+    return rolled.select(
+        F.substring("FIPS", 1, 2).alias("State_FIPS"), F.substring("FIPS", 1, 5).alias("County_FIPS"), *rolled.columns
+    )
+
+
+LEVELS = {"tract": 11, "county": 5, "state": 2, "nation": 0}
+
+
+def level_counts(counts: DataFrame, levels: Sequence[str]) -> DataFrame:
+    """The frequency table of tracts as one of several levels: (level, FIPS, metric, value) -> rows and identified rows.
+
+    Grouping sets over the tract table, so the buildings move once for all levels.  Like the tract table it is combined before
+    the shuffle and keyed by value, so a state with a third of all rows, and the nation itself, spread over all partitions.
+    """
+    unknown = [x for x in levels if x not in LEVELS]
+    if unknown or not levels:
+        raise ValueError(f"levels are of {list(LEVELS)}, got {list(levels)}")
+    ids = {name: F.substring("FIPS", 1, n) for name, n in LEVELS.items() if n}
+    keyed = counts.select(*[c.alias(n) for n, c in ids.items()], "metric", "value", "n", "n_id")
+    sets = [[F.col(c) for c in ([x] if x in ids else []) + ["metric", "value"]] for x in levels]
+    columns = [F.col(c) for c in (*ids, "metric", "value")]
+    grouped = keyed.groupingSets(sets, *columns).agg(
+        F.sum("n").alias("n"), F.sum("n_id").alias("n_id"), *[F.grouping(c).alias(f"_{c}") for c in ids])
+    level, fips = F.lit("nation"), F.lit("")
+    for c in reversed(ids):
+        level = F.when(F.col(f"_{c}") == 0, c).otherwise(level)
+        fips = F.when(F.col(f"_{c}") == 0, F.col(c)).otherwise(fips)
+    return grouped.select(level.alias("level"), fips.alias("FIPS"), "metric", "value", "n", "n_id")
+
+
+def geo_rollup_levels(df: DataFrame, labels: Sequence[str], levels: Sequence[str] = tuple(LEVELS),
+                      quantiles: bool = True) -> DataFrame:
+    """The roll-up of :func:`geo_rollup` for several geography levels in one run, with the ``level`` of each row.
+
+    ``levels`` are of tract, county, state and nation (one row, FIPS empty).  Every level has all columns, exact quartiles included.
+    """
+    labels = hazard.check_labels(labels)
+    counts = level_counts(value_counts(df, "tract"), levels)
+    if quantiles:
+        counts = cut_lineage(counts)
+    return _rolled(counts, ["level", "FIPS"], labels, quantiles)
+
+
+def _rolled(counts: DataFrame, keys: Sequence[str], labels: Sequence[str], quantiles: bool) -> DataFrame:
+    """Counts and statistics per key of a frequency table."""
     metric, value, n = F.col("metric"), F.col("value"), F.col("n")
 
     def total(test: Column, of: Column = n) -> Column:
@@ -97,18 +149,16 @@ def geo_rollup(df: DataFrame, geography: str, labels: Sequence[str], quantiles:
             F.min(own).alias(f"{name}_Min"), F.max(own).alias(f"{name}_Max"),
             (F.sum(own * n) / F.sum(F.when(own.isNotNull(), n))).alias(f"{name}_Mean"),
         ]
-    rolled = counts.groupBy("FIPS").agg(*aggs)
+    rolled = counts.groupBy(*keys).agg(*aggs)
     if quantiles:
         ranked = quantiles_of_counts(
-            counts.where(metric.isin(list(METRICS))).select("FIPS", "metric", "value", "n"), ["FIPS", "metric"], QUARTILES
+            counts.where(metric.isin(list(METRICS))).select(*keys, "metric", "value", "n"), [*keys, "metric"], QUARTILES
         )
-        wide = ranked.groupBy("FIPS").agg(*[
+        wide = ranked.groupBy(*keys).agg(*[
             F.max(F.when(metric == m, F.col(q))).alias(f"{m}_{q}") for m in METRICS for q in QUARTILES
         ])
-        rolled = rolled.join(wide, "FIPS", "left")
-    return rolled.select(
-        F.substring("FIPS", 1, 2).alias("State_FIPS"), F.substring("FIPS", 1, 5).alias("County_FIPS"), *rolled.columns
-    )
+        rolled = rolled.join(wide, list(keys), "left")
+    return rolled
 
 
 def category_distribution(df: DataFrame, labels: Sequence[str], depth: str = "depth_grid") -> DataFrame:
@@ -143,6 +193,11 @@ def attach_svi(geo: DataFrame, svi: DataFrame) -> DataFrame:
     return geo.join(svi, "FIPS", "left")
 
 
+def attach_svi_counted(geo: DataFrame, svi: DataFrame) -> tuple[DataFrame, Counts]:
+    """:func:`attach_svi` with its match rate, gathered by the job that uses the rows."""
+    return match_counted(attach_svi(geo, svi), "E_TOTPOP")
+
+
 def fill_names(geo: DataFrame, cols: Sequence[str] = ("ST_ABBR", "COUNTY"), order: str = "FIPS") -> DataFrame:
     """Fill missing names inside each county from the previous, then the next geography.
 

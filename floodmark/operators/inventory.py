@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions import fixed_values as fv, text
+from .counts import Counts, counted
 
 REQUIRED = [
     "bid", "occtype", "val_struct", "sqft", "num_story", "found_type", "found_ht", "latitude", "longitude",
@@ -155,9 +156,58 @@ def unresolved_states(df: DataFrame, col: str) -> DataFrame:
     return keyed.join(F.broadcast(_state_keys(df.sparkSession)), "state_key", "left_anti").select(col).distinct()
 
 
+def resolve_states_counted(df: DataFrame, col: str) -> tuple[DataFrame, Counts]:
+    """Rows with the state that ``col`` names, and how many are ``resolved`` and ``unknown``, known once they were read.
+
+    Unlike :func:`resolve_states` it reads the identifiers once: ``counts.require_none("unknown")`` after the job is the strict
+    check.
+    """
+    keyed = df.withColumn("state_key", text.state_key(col))
+    named = keyed.join(F.broadcast(_state_keys(df.sparkSession)), "state_key", "left").drop("state_key")
+    seen, counts = counted(named, {"resolved": F.count("fips"), "unknown": F.count_if(F.col("fips").isNull())})
+    return seen.where("fips is not null"), counts
+
+
 def load_manifest(raw: DataFrame, processed: DataFrame, state: str = "state") -> DataFrame:
     """Per state: features read, rows written and whether the two agree."""
     a = raw.groupBy(state).agg(F.count("*").alias("feature_count"))
     b = processed.groupBy(state).agg(F.count("*").alias("processed_parquet_rows"))
     joined = a.join(b, state, "full").na.fill(0, ["feature_count", "processed_parquet_rows"])
     return joined.withColumn("complete", F.col("feature_count") == F.col("processed_parquet_rows"))
+
+
+def files_of(df: DataFrame, state: str = "state") -> DataFrame:
+    """Files behind the rows of a scan: state, file, rows, bytes and time of the last change.
+
+    ``df`` is a scan with Spark's hidden file columns (or has them as ``_metadata``).  Nothing but them and the state is
+    read, so Parquet files give their row counts from their footers.  A file without rows is not seen.
+    """
+    return df.groupBy(state, F.col("_metadata.file_path").alias("file")).agg(
+        F.count("*").alias("rows"), F.max("_metadata.file_size").alias("bytes"),
+        F.max("_metadata.file_modification_time").alias("modified"))
+
+
+def _load(files: DataFrame, state: str, rows: str, path: str) -> DataFrame:
+    """One row per state: its rows, the file or, of several, their common folder, their number, bytes and last change."""
+    lead = F.array_sort(F.collect_set(F.regexp_replace("file", "/[^/]*$", "")))
+    one = F.when(F.count("*") == 1, F.max("file")).when(F.size(lead) == 1, F.get(lead, F.lit(0))).otherwise(
+        F.regexp_replace(F.get(lead, F.lit(0)), "/[^/]*$", ""))
+    return files.groupBy(state).agg(
+        F.sum("rows").alias(rows), one.alias(path), F.count("*").alias(f"{path}_files"), F.sum("bytes").alias(f"{path}_bytes"),
+        F.max("modified").alias(f"{path}_modified"))
+
+
+def file_manifest(raw: DataFrame, processed: DataFrame, state: str = "state") -> DataFrame:
+    """Load manifest from the files themselves: per state its name and codes, features read and rows written, and of the
+    raw and the processed files the path, number, bytes and last change; ``complete`` if all features were written.
+
+    ``raw`` holds features and ``processed`` inventory rows, both with their file columns (see :func:`files_of`).  States of either
+    side are listed, also those that are no known state.
+    """
+    a = _load(files_of(raw, state), state, "feature_count", "raw_lines")
+    b = _load(files_of(processed, state), state, "processed_parquet_rows", "processed_parquet")
+    keys = _state_keys(raw.sparkSession).select("state_key", "name", "abbr", "fips")
+    joined = a.join(b, state, "full").na.fill(0, [
+        c for c in [*a.columns, *b.columns] if c.endswith(("_count", "_rows", "_files", "_bytes"))])
+    named = joined.withColumn("state_key", text.state_key(state)).join(F.broadcast(keys), "state_key", "left").drop("state_key")
+    return named.withColumn("complete", F.col("feature_count") == F.col("processed_parquet_rows"))

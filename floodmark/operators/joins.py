@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F, types as T
+
+from ..session import work_folder
 
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 256_000_000
@@ -28,13 +30,57 @@ class Lookup:
         return rows.join(table, list(on), how)
 
 
+def row_bytes(schema: T.StructType) -> Column:
+    """Bytes of a row by its types: 8 a number, texts and arrays by their length.  No value is formatted."""
+    def of(c: Column, kind: T.DataType) -> Column:
+        if isinstance(kind, (T.StringType, T.BinaryType)):
+            return F.coalesce(F.octet_length(c), F.lit(0)) + 8
+        if isinstance(kind, T.StructType):
+            return sum((of(c[f.name], f.dataType) for f in kind), F.lit(8))
+        if isinstance(kind, T.ArrayType):
+            fixed = _fixed(kind.elementType)
+            if fixed is not None:
+                return F.coalesce(F.size(c), F.lit(0)) * fixed + 8
+            return F.coalesce(F.aggregate(c, F.lit(0), lambda a, x: a + of(x, kind.elementType)), F.lit(0)) + 8
+        if isinstance(kind, T.MapType):
+            return of(F.map_entries(c), T.ArrayType(T.StructType([T.StructField("key", kind.keyType), T.StructField("value", kind.valueType)])))
+        return F.lit(16)
+
+    return sum((of(F.col("`" + f.name.replace("`", "``") + "`"), f.dataType) for f in schema), F.lit(16)).cast("bigint")
+
+
+def _fixed(kind: T.DataType) -> int | None:
+    """Bytes of a value of fixed size."""
+    if isinstance(kind, (T.StringType, T.BinaryType, T.ArrayType, T.MapType)):
+        return None
+    if isinstance(kind, T.StructType):
+        parts = [_fixed(f.dataType) for f in kind]
+        return None if None in parts else 8 + sum(parts)
+    return 8
+
+
+def _size(schema: T.StructType) -> list[Column]:
+    return [F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(row_bytes(schema)), F.lit(0)).alias("bytes")]
+
+
 def measured(df: DataFrame) -> tuple[int, int]:
-    """Rows of a table and their bytes as JSON text, summed in every task before anything moves."""
-    size = F.octet_length(F.to_json(F.struct("*")))
-    row = df.agg(F.count("*"), F.coalesce(F.sum(size.cast("bigint")), F.lit(0))).first()
+    """Rows of a table and their bytes, summed in every task before anything moves."""
+    row = df.agg(*_size(df.schema)).first()
     return row[0], row[1]
 
 
+def written_lookup(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> Lookup:
+    """A lookup that is dear to compute: written to the cluster's work folder, counted on the way, and read from there.
+
+    It is evaluated once, where :func:`lookup` evaluates it for its size and again for the join.
+    """
+    size = Observation()
+    path = work_folder(df.sparkSession)
+    df.observe(size, *_size(df.schema)).write.parquet(path)
+    kept = df.sparkSession.read.schema(df.schema).parquet(path)
+    return Lookup(kept, size.get["rows"] <= max_rows and size.get["bytes"] <= max_bytes)
+
+
 def lookup(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> Lookup:
     """Count the rows and bytes of ``df`` and wrap it."""
     rows, size = measured(df)

@@ -10,7 +10,7 @@ from ..functions import fixed_values as fv, hazard
 from ..operators import damage
 from ..operators.damage import Lookups
 from ..operators.joins import Lookup
-from ..operators.raster import Raster, sample_depth
+from ..operators.raster import PackedCells, Raster, outside_grids, sample_depth, sample_inside
 
 DEFAULT_MAP = damage.field_map(
     UserDefinedFltyId="FltyId", OCC="Occ", Cost="Cost", Area="Area", NumStories="NumStories",
@@ -19,7 +19,7 @@ DEFAULT_MAP = damage.field_map(
 )
 
 
-def assess(buildings: DataFrame, cells: DataFrame | Lookup, rasters: Sequence[Raster], lookups: Lookups,
+def assess(buildings: DataFrame, cells: DataFrame | Lookup | PackedCells, rasters: Sequence[Raster], lookups: Lookups,
            flood_class: str = "CoastalA", mapping: dict[str, str] | None = None, wet_only: bool = False,
            blank_means_default: bool = False, truncate: bool = False) -> DataFrame:
     """Evaluate every building on every grid.
@@ -27,20 +27,15 @@ def assess(buildings: DataFrame, cells: DataFrame | Lookup, rasters: Sequence[Ra
     Adds the prediction columns, ``status`` (OK, INCOMPLETE, ROW_ERROR, UNMATCHED) and
     ``flags`` (lookups that missed).  Rows that are not computed keep their input columns.
     ``wet_only`` drops buildings off the wet cells instead of reporting them with depth 0.
+
+    Only buildings inside a grid are paired with it, sampled and sent through the curves.  For the grids they are not
+    in, their row of depth 0 is finished first and then repeated per grid, as the result names every pair.
     """
     mapping = mapping or DEFAULT_MAP
     passthrough = [c for c in buildings.columns if c not in fv.PREDICTION_COLUMNS]
-    rows = damage.typed_fields(buildings, mapping)
-    rows = sample_depth(rows, cells, rasters, "_Latitude", "_Longitude", wet_only, truncate)
-
     ok = F.col("status") == "OK"
-    grid = F.when(ok, F.col("Depth_Grid"))
-    exposed = ok & (F.col("Depth_Grid") > 0)
-    rows = rows.withColumns({
-        "Depth_Grid": grid,
-        "Depth_in_Struc": F.when(ok, hazard.structure_depth("Depth_Grid", "_FirstFloorHt"))
-        .when(F.col("status") == "INCOMPLETE", F.lit(fv.INCOMPLETE_DEPTH)),
-        "flExp": F.when(ok, exposed.cast("int")),
+    # What doesn't depend on the grid is worked out once per building.
+    rows = damage.typed_fields(buildings, mapping).withColumns({
         "SOID": F.when(ok, hazard.specific_occupancy("_OCC", "_NumStories", "_FoundationType")),
         "ContentCostUSD": F.when(ok, hazard.content_cost(
             "_OCC", "_Cost", "_ContentCost" if mapping["ContentCost"] else None, blank_means_default)),
@@ -48,6 +43,45 @@ def assess(buildings: DataFrame, cells: DataFrame | Lookup, rasters: Sequence[Ra
     rows = damage.inventory_value(
         rows, lookups.econ, "_OCC", "_Area", "_InvCost" if mapping["InvCost"] else None, blank_means_default
     ).withColumn("InventoryCostUSD", F.when(ok, F.col("InventoryCostUSD")))
+    at = ("_Latitude", "_Longitude")
+    if wet_only:
+        return _evaluate(sample_depth(rows, cells, rasters, *at, True, truncate), passthrough, lookups, flood_class, mapping)
+    inside = _evaluate(sample_inside(rows, cells, rasters, *at, truncate), passthrough, lookups, flood_class, mapping)
+    return inside.unionByName(_dry(outside_grids(rows, rasters, *at, truncate, "_outside"), passthrough, inside))
+
+
+def _dry(rows: DataFrame, passthrough: Sequence[str], like: DataFrame) -> DataFrame:
+    """Predictions of depth 0 on the grids of ``_outside``, which need no curve: finished once per building, then named per grid."""
+    ok = F.col("status") == "OK"
+    kinds = dict(like.dtypes)
+    known = {
+        "Depth_Grid": F.lit(0.0), "flExp": F.lit(0), "SOID": F.col("SOID"), "ContentCostUSD": F.col("ContentCostUSD"),
+        "InventoryCostUSD": F.col("InventoryCostUSD"), "Restor_Days_Min": F.lit(0), "Restor_Days_Max": F.lit(0),
+        **{c: F.lit("0") for c in ("BDDF_ID", "CDDF_ID", "IDDF_ID")},
+        **{c: F.lit(0.0) for c in ("BldgDmgPct", "BldgLossUSD", "ContDmgPct", "ContentLossUSD", "InvDmgPct", "InventoryLossUSD")},
+    }
+    values = {c: F.when(ok, v) for c, v in known.items()}
+    values["Depth_in_Struc"] = F.when(ok, hazard.structure_depth(F.lit(0.0), "_FirstFloorHt")).when(
+        F.col("status") == "INCOMPLETE", F.lit(fv.INCOMPLETE_DEPTH))
+    values["GridName"] = F.explode("_outside")
+    out = [values.get(c, F.lit(None)) for c in fv.PREDICTION_COLUMNS]
+    return rows.select(
+        *passthrough, *[v if c == "GridName" else v.cast(kinds[c]) for c, v in zip(fv.PREDICTION_COLUMNS, out)], "status",
+        F.lit("").alias("flags"),
+    ).toDF(*like.columns)
+
+
+def _evaluate(rows: DataFrame, passthrough: Sequence[str], lookups: Lookups, flood_class: str, mapping: dict[str, str]) -> DataFrame:
+    """Predictions of buildings on the grids they were sampled on."""
+    ok = F.col("status") == "OK"
+    exposed = ok & (F.col("Depth_Grid") > 0)
+    rows = rows.withColumns({
+        "Depth_in_Struc": F.when(ok, hazard.structure_depth("Depth_Grid", "_FirstFloorHt"))
+        .when(F.col("status") == "INCOMPLETE", F.lit(fv.INCOMPLETE_DEPTH)),
+        "flExp": F.when(ok, exposed.cast("int")),
+        "Depth_Grid": F.when(ok, F.col("Depth_Grid")),
+    })
+    exposed = F.col("flExp") == 1
 
     # One-element explodes start a new generated method; without them the whole assessment
     # becomes one method that the JIT does not compile.

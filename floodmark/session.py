@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,18 +25,25 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the cluster's checkpoint folder and continue from there.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named by ``spark.checkpoint.dir``; only a local master without that setting gets a temporary one."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+        folder = tempfile.mkdtemp(prefix="floodmark-checkpoint-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder.rstrip("/")
+
+
+def work_folder(spark: SparkSession) -> str:
+    """A new path in the shared folder for a table of this run."""
+    return f"{shared_folder(spark)}/{uuid.uuid4().hex}"
 
-    The folder is the one named by ``spark.checkpoint.dir``; only a local master without that
-    setting gets a temporary one.
-    """
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the cluster's checkpoint folder and continue from there."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-            folder = tempfile.mkdtemp(prefix="floodmark-checkpoint-")
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..functions import text
+from ..functions import geodesy, text
+from ..operators.counts import Counts, counted
 from ..schema import GEOMETRY_COLUMNS, INVENTORY
 
 
@@ -34,14 +35,12 @@ def scan_states(df: DataFrame, states: Sequence[str], on_missing: str = "fail")
     """Rows of the named states.  The filter is on the partition column only, so other files are not read.
 
     A named state without a partition stops the scan; with ``on_missing="warn"`` it is named in a warning, and only
-    a scan that finds no state at all stops.
+    a scan that finds no state at all stops.  That check reads the partition column before the scan is used; a scan by
+    :func:`scan_states_counted` is checked by the job that uses it.
     """
     if on_missing not in ("fail", "warn"):
         raise ValueError("on_missing must be 'fail' or 'warn'")
-    wanted = state_partitions(states)
-    if not wanted:
-        raise ValueError("no states given")
-    kept = df.where(F.lower("state").isin(wanted))
+    wanted, kept = _of_states(df, states)
     have = {r[0] for r in kept.select(F.lower("state")).distinct().collect()}
     absent = [s for s in wanted if s not in have]
     if absent and (on_missing == "fail" or not have):
@@ -51,6 +50,22 @@ def scan_states(df: DataFrame, states: Sequence[str], on_missing: str = "fail")
     return kept
 
 
+def _of_states(df: DataFrame, states: Sequence[str]) -> tuple[list[str], DataFrame]:
+    wanted = state_partitions(states)
+    if not wanted:
+        raise ValueError("no states given")
+    return wanted, df.where(F.lower("state").isin(wanted))
+
+
+def scan_states_counted(df: DataFrame, states: Sequence[str]) -> tuple[DataFrame, Counts]:
+    """Rows of the named states, and their numbers per state, known once a job has read the rows.
+
+    ``counts.require_all()`` then stops when a named state had no row.
+    """
+    wanted, kept = _of_states(df, states)
+    return counted(kept, {s: F.count_if(F.lower("state") == s) for s in wanted})
+
+
 def unmatched_states(df: DataFrame, states: Sequence[str]) -> DataFrame:
     """The named states that have no partition."""
     wanted = df.sparkSession.createDataFrame([(s,) for s in state_partitions(states)], "state string")
@@ -88,14 +103,23 @@ def conform(df: DataFrame, schema: T.StructType = INVENTORY, lon: str = "longitu
     return df.select(*out)
 
 
-def write_inventory(df: DataFrame, root: str, mode: str = "errorifexists") -> None:
+def write_inventory(df: DataFrame, root: str, mode: str = "errorifexists", order: str = "curve") -> None:
     """Snappy Parquet partitioned by state; an existing target is kept unless ``mode`` says otherwise.
 
-    Rows are sorted by position inside each file so bounding boxes skip row groups.
+    Rows are range-partitioned and sorted by state and position, so a large state is spread over tasks and a bounding box
+    skips row groups.  ``order="curve"`` sorts along a Morton curve, on which a row group covers a small box in both
+    directions; ``"latitude"`` sorts by latitude, then longitude, which narrows a box in one direction only.
     """
+    if order not in ("curve", "latitude"):
+        raise ValueError("order is 'curve' or 'latitude'")
     out = df.withColumn("state", text.state_partition("state"))
-    order = [c for c in ("latitude", "longitude") if c in out.columns]
-    spread = out.repartitionByRange("state", *order)
-    spread.sortWithinPartitions("state", *order).write.partitionBy("state").mode(mode).option(
+    if not {"latitude", "longitude"} <= set(out.columns):
+        place = []
+    elif order == "curve":
+        place = [geodesy.morton("latitude", "longitude")]
+    else:
+        place = [F.col("latitude"), F.col("longitude")]
+    spread = out.repartitionByRange("state", *place)
+    spread.sortWithinPartitions("state", *place).write.partitionBy("state").mode(mode).option(
         "compression", "snappy"
     ).parquet(root)
