@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from floodmark.functions import fixed_values as fv, geodesy, hazard, text
 from floodmark.operators import damage, raster
 from floodmark.operators.damage import DEPTH_COLUMNS
+from floodmark.operators.inventory import union_states
 from floodmark.plans.assess import assess
 from floodmark.sinks import exports
 from floodmark.sources import lookups as lookup_sources
@@ -207,11 +208,14 @@ def _(t):
     return damage.inventory_value(rows, t.lookups.econ, "_OCC", "_Area", "_InvCost").select("FltyId", F.col("InventoryCostUSD").alias("usd"))
 
 
-@query("q_curve_load", f"select curve_set, curve_key, min(ddf_id) as ddf_id, {', '.join(f'min({c}) as {c}' for c in list(DEPTH_COLUMNS.values())[::7])} from curve_wide where curve_set = 'building_default' group by 1, 2", ("curve_wide",))
+@query("q_curve_load", f"""select curve_set, curve_key, ddf_id, {_COLS} from (select *, row_number() over (partition by curve_set, curve_key order by ddf_id, {_COLS}) as rn
+    from curve_wide) a where rn = 1""", ("curve_wide",))
 def _(t):
-    raw = t.curve_wide.where("curve_set = 'building_default'").withColumn("curve_key", F.concat("curve_key", F.lit(" ")))
-    loaded = lookup_sources.conform_curves(raw, "building_default", "curve_key", "ddf_id")
-    return loaded.select("curve_set", "curve_key", "ddf_id", *list(DEPTH_COLUMNS.values())[::7])
+    """All seven sets, each with its keys padded as in a file."""
+    sets = [f"{kind}_{name}" for kind in ("building", "content") for name in ("default", "coastal_a", "coastal_v")] + ["inventory_default"]
+    padded = t.curve_wide.withColumn("curve_key", F.concat(F.lit(" "), "curve_key", F.lit(" ")))
+    loaded = [lookup_sources.conform_curves(padded.where(F.col("curve_set") == s), s, "curve_key", "ddf_id") for s in sets]
+    return union_states(loaded)
 
 
 @query("q_curves_long", "select curve_set, curve_key, ddf_id, k, lo, hi from curve", ("curve_wide",), CURVE_CTE)
@@ -219,33 +223,41 @@ def _(t):
     return damage.curves_long(t.curve_wide, ["curve_set", "curve_key"], ["ddf_id"]).select("curve_set", "curve_key", "ddf_id", "k", "lo", "hi")
 
 
-_DAMP = "prediction_d AS (select fltyid, cost, occ, greatest(-4.0::double, least(24.0::double, depth_in_struc)) + cast(cast(cost as bigint) % 8 as double) / 8 - 0.5::double as d0 from prediction)"
+_DAMP = """prediction_d AS (select fltyid, cost, occ, greatest(-4.0::double, least(24.0::double, depth_in_struc)) + cast(cast(cost as bigint) % 8 as double) / 8 - 0.5::double as d0,
+    cast(1 + cast(cost as bigint) % 7 as double) + case when cast(cost as bigint) % 5 = 0 then 0.5::double else 0.0::double end as stories, cast(cost as bigint) % 4 = 2 as basement from prediction)"""
 
 
 def _interp_rows(t):
-    d0 = hazard.clamp("depth_in_struc") + (F.col("cost").cast("bigint") % 8).cast("double") / 8 - F.lit(0.5)
-    rows = t.prediction.select("fltyid", "cost", "occ", d0.alias("d0"))
-    return rows.withColumns({"d": hazard.clamp("d0"), "soid": F.concat(hazard.specific_occupancy("occ", F.lit(2.0), F.lit(7)))})
+    whole = F.col("cost").cast("bigint")
+    stories = (1 + whole % 7).cast("double") + F.when(whole % 5 == 0, 0.5).otherwise(0.0)
+    rows = t.prediction.select(
+        "fltyid", "cost", "occ", (hazard.clamp("depth_in_struc") + (whole % 8).cast("double") / 8 - F.lit(0.5)).alias("d0"),
+        stories.alias("stories"), F.when(whole % 4 == 2, 4).otherwise(7).alias("found"))
+    return rows.withColumns({"d": hazard.clamp("d0"), "soid": hazard.specific_occupancy("occ", "stories", "found")})
 
 
-@query("q_interp_damage", f"""select fltyid, cost, d, ddf_id, (lo + (d - floor(d)) * (hi - lo)) / 100 as frac from (
-      select *, greatest(-4.0::double, least(24.0::double, d0)) as d, {soid_sql('occ', '2', '1 = 0')} as soid from prediction_d) p
-    left join curve on curve_set = 'building_default' and curve_key = soid and k = floor(d)""", ("prediction", "curve_wide"), ",".join([_DAMP, CURVE_CTE]))
+@query("q_interp_damage", f"""select fltyid, cost, d, soid, ddf_id, (lo + (d - floor(d)) * (hi - lo)) / 100 as frac from (
+      select *, greatest(-4.0::double, least(24.0::double, d0)) as d, {soid_sql('occ', 'stories', 'basement')} as soid from prediction_d) p
+    left join curve on curve_set = 'building_' || case when substr(occ, 1, 3) = 'RES' then 'coastal_a' else 'default' end and curve_key = soid and k = floor(d)""", ("prediction", "curve_wide"), ",".join([_DAMP, CURVE_CTE]))
 def _(t):
-    rows = damage.match_curve(_interp_rows(t), t.lookups.curves, "building", F.lit("default"), F.col("soid"), F.floor("d").cast("int"))
-    return rows.select("fltyid", "cost", "d", F.col("_building_id").alias("ddf_id"), damage.interp_damage("_building_lo", "_building_hi", "d").alias("frac"))
+    own_set = damage.building_curve_set("occ", F.lit("CAE"))
+    rows = damage.match_curve(_interp_rows(t), t.lookups.curves, "building", own_set, F.col("soid"), F.floor("d").cast("int"))
+    return rows.select("fltyid", "cost", "d", "soid", F.col("_building_id").alias("ddf_id"), damage.interp_damage("_building_lo", "_building_hi", "d").alias("frac"))
 
 
-@query("q_user_curve_override", """select FltyId, coalesce(l.fn_id, c.ddf_id) as curve_id, coalesce(l.lo, c.lo) as lo, case when l.lo is not null then l.hi else c.hi end as hi
-    from (select *, cast(floor(c_ffn) as int) as kk from (select *, cast(c_ffh as double) as c_ffn from gated where status = 'OK') a) g
-    left join library l on l.kind = 'building' and l.fn_id = g.bid_b and l.k = kk left join curve c on c.curve_set = 'building_default' and c.curve_key = 'R11N' and c.k = kk""",
+@query("q_user_curve_override", f"""select FltyId, soid, coalesce(l.fn_id, c.ddf_id) as curve_id, coalesce(l.lo, c.lo) as lo, case when l.lo is not null then l.hi else c.hi end as hi
+    from (select *, cast(floor(c_ffn) as int) as kk, {soid_sql('Occ', 'stories', 'found = 4')} as soid
+      from (select *, cast(c_ffh as double) as c_ffn, cast(NumStories as double) as stories, cast(FoundationType as double) as found from gated where status = 'OK') a) g
+    left join library l on l.kind = 'building' and l.fn_id = g.bid_b and l.k = kk
+    left join curve c on c.curve_set = 'building_' || case when substr(Occ, 1, 3) = 'RES' then 'coastal_v' else 'default' end and c.curve_key = soid and c.k = kk""",
        ("facility", "curve_wide", "library_wide"), ",".join([FACILITY_TYPED, CURVE_CTE, LIBRARY_CTE]))
 def _(t):
     rows = damage.typed_fields(t.facility, FULL_MAP).where("status = 'OK'")
+    rows = rows.withColumn("soid", hazard.specific_occupancy("_OCC", "_NumStories", "_FoundationType"))
     k = F.floor("_FirstFloorHt").cast("int")
-    rows = damage.match_curve(rows, t.lookups.curves, "building", F.lit("default"), F.lit("R11N"), k)
+    rows = damage.match_curve(rows, t.lookups.curves, "building", damage.building_curve_set("_OCC", F.lit("V")), F.col("soid"), k)
     rows = damage.override_curve(rows, t.lookups.library, "building", "_BDDF_ID", k)
-    return rows.select("FltyId", F.col("_building_id").alias("curve_id"), F.col("_building_lo").alias("lo"), F.col("_building_hi").alias("hi"))
+    return rows.select("FltyId", "soid", F.col("_building_id").alias("curve_id"), F.col("_building_lo").alias("lo"), F.col("_building_hi").alias("hi"))
 
 
 @query("q_losses", f"""select FltyId, GridName, case when dry then 0.0::double when hit then fb * trunc(cost) end as BldgLossUSD, case when dry then 0.0::double when hit then fc * content_usd end as ContentLossUSD,

@@ -164,11 +164,22 @@ def _(t):
     return buildings(t)
 
 
-@query("q_prediction_dedup", """select fltyid, bldgdmgpct, occ, cost, depth_grid from (select *, row_number() over (partition by fltyid order by bldgdmgpct desc nulls last, cost, occ, depth_grid) as rn from prediction) a where rn = 1""",
-       ("prediction",))
+PREDICTION_COLUMNS = [
+    "fltyid", "occ", "cost", "depth_grid", "depth_in_struc", "bldgdmgpct", "bldglossusd", "event", "adv", "flc", "state", "county_fips5",
+    "cbfips", "pop2pmo65", "pop2pmu65", "pop2amo65", "pop2amu65", "o65disable", "u65disable",
+]
+
+
+def first_prediction_sql(keys: list[str], value: str) -> str:
+    """Whole rows: the highest value per key, equal ones in order of all other columns."""
+    rest = ", ".join(f"{c} nulls last" for c in PREDICTION_COLUMNS if c not in (*keys, value))
+    return (f"select * exclude (rn) from (select *, row_number() over (partition by {', '.join(keys)} order by {value} desc nulls last, {rest}) as rn "
+            "from prediction) a where rn = 1")
+
+
+@query("q_prediction_dedup", first_prediction_sql(["fltyid"], "bldgdmgpct"), ("prediction",))
 def _(t):
-    slim = t.prediction.select("fltyid", "bldgdmgpct", "occ", "cost", "depth_grid")
-    return inv.dedup_predictions(slim, tie_breakers=["cost", "occ", "depth_grid"])
+    return inv.dedup_predictions(t.prediction)
 
 
 @query("q_keep_types", "select fltyid, occ, cost from prediction where occ in ('RES1', 'RES3A', 'RES4')", ("prediction",))

@@ -9,7 +9,7 @@ from floodmark.plans.planning import planning_table, validated
 
 from .damage_queries import _ASSESS_TABLES, BUILDING_ASSESS
 from .fixtures import GRIDS
-from .inventory_queries import buildings
+from .inventory_queries import buildings, first_prediction_sql
 from .registry import query, rounded
 
 ZONE = """case when depth_grid > {h} then 'HIGH' when depth_grid >= {m} then 'MEDIUM' when depth_grid >= {l} then 'LOW'
@@ -226,9 +226,9 @@ def _(t):
     return rounded(planning.flat_rate(people, "displaced_night_u65").select("event", "shelter_flat"), 4)
 
 
-@query("q_worst_case", "select fltyid, state, flc, bldglossusd, depth_grid, occ from (select *, row_number() over (partition by fltyid, state, flc order by bldglossusd desc nulls last, depth_grid, occ) as rn from prediction) a where rn = 1", ("prediction",))
+@query("q_worst_case", first_prediction_sql(["fltyid", "state", "flc"], "bldglossusd"), ("prediction",))
 def _(t):
-    return planning.worst_case(t.prediction.select("fltyid", "state", "flc", "bldglossusd", "depth_grid", "occ"))
+    return planning.worst_case(t.prediction)
 
 
 @query("q_advisory_delta", """select event, county_fips5, adv, buildings, round(loss, 3) as loss, buildings - lag(buildings) over w as buildings_delta, round(loss - lag(loss) over w, 3) as loss_delta

@@ -43,6 +43,9 @@ def assess(buildings: DataFrame, cells: DataFrame | Lookup | PackedCells, raster
     rows = damage.inventory_value(
         rows, lookups.econ, "_OCC", "_Area", "_InvCost" if mapping["InvCost"] else None, blank_means_default
     ).withColumn("InventoryCostUSD", F.when(ok, F.col("InventoryCostUSD")))
+    # One-element explodes start a new generated method; without them the whole assessment
+    # becomes one method that the JIT does not compile.
+    rows = rows.withColumn("status", F.explode(F.array("status")))
     at = ("_Latitude", "_Longitude")
     if wet_only:
         return _evaluate(sample_depth(rows, cells, rasters, *at, True, truncate), passthrough, lookups, flood_class, mapping)
@@ -73,6 +76,7 @@ def _dry(rows: DataFrame, passthrough: Sequence[str], like: DataFrame) -> DataFr
 
 def _evaluate(rows: DataFrame, passthrough: Sequence[str], lookups: Lookups, flood_class: str, mapping: dict[str, str]) -> DataFrame:
     """Predictions of buildings on the grids they were sampled on."""
+    rows = rows.withColumn("Depth_Grid", F.explode(F.array("Depth_Grid")))
     ok = F.col("status") == "OK"
     exposed = ok & (F.col("Depth_Grid") > 0)
     rows = rows.withColumns({
@@ -83,8 +87,6 @@ def _evaluate(rows: DataFrame, passthrough: Sequence[str], lookups: Lookups, flo
     })
     exposed = F.col("flExp") == 1
 
-    # One-element explodes start a new generated method; without them the whole assessment
-    # becomes one method that the JIT does not compile.
     rows = rows.withColumn("_d", F.explode(F.array(F.when(exposed, hazard.clamp("Depth_in_Struc")))))
     d = F.col("_d")
     k = F.floor(d).cast("int")

@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from floodmark.params import run_params
 from floodmark.plans.ingest import features_to_inventory
@@ -69,3 +70,9 @@ def test_publish_and_json(spark, tmp_path):
     path = exports.publish(df, run_params({"storm_id": "x", "storm_name": "y"}), str(tmp_path))
     assert path.endswith("shelter_demand_output_Y_X_0_county.csv") and spark.read.option("header", True).csv(path).count() == 1
     assert json.loads(exports.to_json_records(df).first().record) == {"FIPS": "12057", "v": 1.234568, "n": None}
+
+
+def test_deepest_first_with_ids_in_order(spark):
+    df = spark.range(500).select(F.format_string("%03d", F.pmod(F.xxhash64("id"), F.lit(1000))).alias("FltyId"), F.when(F.col("id") % 9 > 0, (F.col("id") % 4).cast("double")).alias("Depth_in_Struc")).repartition(7)
+    rows = [(r.Depth_in_Struc, r.FltyId) for r in exports.sort_by_depth(df).collect()]
+    assert rows == sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0.0), r[1]))
