@@ -37,7 +37,7 @@ def plain(pages, rules):
         if h.count(".") >= 2:
             edges[h, h.split(".", 1)[1]] += 1
     nodes = {*hosts, *(x for e in edges for x in e)}
-    scores = {}
+    scores, totals = {}, {}
     for kind, verdict in (("trust", "allow"), ("distrust", "block")):
         way = edges if kind == "trust" else Counter({(b, a): n for (a, b), n in edges.items()})
         seed = {h: sum(v == verdict for v in vs) / len(vs) for h, vs in hosts.items()}
@@ -53,10 +53,13 @@ def plain(pages, rules):
                 new[b] += DAMPING * n / out[a] * rank.get(a, 0)
             rank = new
         scores[kind] = {h: r * len(nodes) for h, r in rank.items()}
+        totals[kind] = sum(rank.values()) or 1.0
     out = {}
     for i, host, path, found in rows:
         t, d = scores["trust"].get(host, 0), scores["distrust"].get(host, 0)
-        own = "block" if host and d >= LEAST_DISTRUST and d > OVER_TRUST * t else "allow"
+        # What decides is the rank in means of all hosts.
+        mt, md = round(t / totals["trust"], 9), round(d / totals["distrust"], 9)
+        own = "block" if host and md >= LEAST_DISTRUST and md > OVER_TRUST * mt else "allow"
         out[i] = (host, path, found and found[1], found[0] if found else own, t, d)
     return out
 
