@@ -119,7 +119,8 @@ def write_inventory(df: DataFrame, root: str, mode: str = "errorifexists", order
         place = [geodesy.morton("latitude", "longitude")]
     else:
         place = [F.col("latitude"), F.col("longitude")]
-    spread = out.repartitionByRange("state", *place)
+    # A hash of the row splits places that many rows share, such as none at all.
+    spread = out.repartitionByRange("state", *place, F.xxhash64(*out.columns))
     spread.sortWithinPartitions("state", *place).write.partitionBy("state").mode(mode).option(
         "compression", "snappy"
     ).parquet(root)

@@ -190,3 +190,13 @@ def test_levels_of_one_frequency_table(spark):
     # One exchange moves the buildings, whatever the number of levels, and it is keyed by value too.
     plan = plan_of(geo.level_counts(geo.value_counts(df, "tract"), ["tract", "county", "state", "nation"]))
     assert plan.count("Scan") + plan.count("Range (") == 1 and plan.count("Exchange hashpartitioning") == 2 and "value#" in plan.split("Exchange hashpartitioning")[1]
+
+
+def test_rows_of_one_place_are_spread(spark, tmp_path):
+    rows = spark.range(40_000).select(
+        F.lit("Ohio").alias("state"), F.col("id").cast("string").alias("bid"),
+        F.when(F.col("id") % 3 > 0, 40.0).alias("latitude"), F.when(F.col("id") % 3 > 0, -82.0).alias("longitude"))
+    root = str(tmp_path / "inv")
+    src.write_inventory(rows, root)
+    sizes = [pq.ParquetFile(f).metadata.num_rows for f in Path(root).rglob("*.parquet")]
+    assert sum(sizes) == 40_000 and len(sizes) >= 6 and max(sizes) < 12_000
