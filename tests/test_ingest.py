@@ -197,6 +197,10 @@ def test_rows_of_one_place_are_spread(spark, tmp_path):
         F.lit("Ohio").alias("state"), F.col("id").cast("string").alias("bid"),
         F.when(F.col("id") % 3 > 0, 40.0).alias("latitude"), F.when(F.col("id") % 3 > 0, -82.0).alias("longitude"))
     root = str(tmp_path / "inv")
-    src.write_inventory(rows, root)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        src.write_inventory(rows, root)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     sizes = [pq.ParquetFile(f).metadata.num_rows for f in Path(root).rglob("*.parquet")]
     assert sum(sizes) == 40_000 and len(sizes) >= 6 and max(sizes) < 12_000
