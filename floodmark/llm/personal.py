@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from floodmark.llm.scratch import Scratch
-from floodmark.llm.text import column, joined, with_matches
+from floodmark.llm.text import apart, chunked, column, cut, joined, running, with_matches
 
 KINDS = ["email", "ip", "card", "phone"]
 #: Rounds of scoring; seeds a pattern needs; confidence from which a pattern names new identifiers.
@@ -56,28 +56,30 @@ def base_spans(df: DataFrame, text: str) -> DataFrame:
     return found.select(*[column(c) for c in df.columns], *[F.filter(k, f).alias(k) for k, f in checks.items()])
 
 
-def _context(text: Column, start: Column, end: Column) -> Column:
-    """The word before and the word after, as two patterns; blank where the text ends."""
-    before = F.substring(text, F.greatest(start - REACH, F.lit(0)) + 1, F.least(start, F.lit(REACH)))
+def _context(start: Column, end: Column) -> Column:
+    """The word before and the word after in `_chunks`, as two patterns; blank where the text ends.
+
+    Of a word that reaches further than REACH characters, its near end.
+    """
+    before = cut("_chunks", F.greatest(start - REACH, F.lit(0)), start)
     left = F.lower(F.regexp_extract(before, r"([^\x20\x09-\x0D]+)[\x20\x09-\x0D]*$", 1))
-    right = F.lower(F.regexp_extract(F.substring(text, end + 1, F.lit(REACH)), r"^[\x20\x09-\x0D]*([^\x20\x09-\x0D]+)", 1))
+    right = F.lower(F.regexp_extract(cut("_chunks", end, end + REACH), r"^[\x20\x09-\x0D]*([^\x20\x09-\x0D]+)", 1))
     return F.array(F.concat(F.lit("before "), left), F.concat(F.lit("after "), right))
 
 
 def occurrences(df: DataFrame, text: str) -> DataFrame:
     """`df` with `base` (spans) and `seen`: array<struct<start, end, found, seed, contexts>> of seeds and candidates."""
     base = base_spans(df, text).withColumn("base", F.concat(*KINDS))
-    apart = lambda c: ~F.exists("base", lambda s: (s["start"] < c["end"]) & (c["start"] < s["end"]))
-    loose = base.withColumn("loose", F.filter("candidate", apart))
-    t = F.col(text)
+    loose = apart(base, "candidate", "base")
+    loose = loose.withColumn("_chunks", F.when(F.size("base") + F.size("candidate") > 0, chunked(F.col(text))))
 
     def noted(spans, seed):
         return F.transform(spans, lambda s: F.struct(
             s["start"].alias("start"), s["end"].alias("end"), s["found"].alias("found"), F.lit(seed).alias("seed"),
-            _context(t, s["start"], s["end"]).alias("contexts")))
+            _context(s["start"], s["end"]).alias("contexts")))
 
     return loose.select(
-        *[column(c) for c in df.columns], *KINDS, "base", F.concat(noted(F.col("base"), True), noted(F.col("loose"), False)).alias("seen")
+        *[column(c) for c in df.columns], *KINDS, "base", F.concat(noted("base", True), noted("candidate", False)).alias("seen")
     )
 
 
@@ -146,27 +148,20 @@ def find_personal_data(
     )
 
 
-def _masked(text: Column, spans: Column) -> Column:
-    """`text` with each span replaced by its kind in angle brackets; of overlapping spans the rest beyond the first."""
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(_EMPTY).alias("out"))
-
-    def step(acc, s):
-        piece = F.struct(F.greatest(acc["at"], s["start"]).alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))
-        grown = F.struct(s["end"].alias("at"), F.concat(acc["out"], F.array(piece)).alias("out"))
-        return F.when(s["end"] > acc["at"], grown).otherwise(acc)
+def _masked(df: DataFrame, text: str, spans: str) -> DataFrame:
+    """`df` with each span of the text replaced by its kind in angle brackets; of overlapping spans the rest beyond the first.
 
-    cut = F.aggregate(F.sort_array(spans), start, step, lambda acc: acc["out"])
-    # The state goes through the pieces, so the cuts are worked out once.
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-
-    def piece(acc, s):
-        before = F.substring(text, acc["at"] + 1, s["start"] - acc["at"])
-        return F.struct(
-            s["end"].alias("at"), F.concat(acc["out"], F.array(before, F.concat(F.lit("<"), s["kind"], F.lit(">")))).alias("out")
-        )
-
-    return F.aggregate(cut, begin, piece, lambda acc: F.concat(
-        F.array_join(acc["out"], ""), F.substring(text, acc["at"] + 1, F.char_length(text) - acc["at"])))
+    Null spans leave the text as it is.
+    """
+    placed = df.withColumn("_spans", F.sort_array(spans)).withColumn("_chunks", F.when(F.size(spans) > 0, chunked(F.col(text))))
+    placed = placed.withColumn("_reach", F.transform("_spans", lambda s: s["end"]))
+    placed = placed.withColumn("_until", running("_reach", F.greatest))
+    prior = F.slice(F.concat(F.array(F.lit(0)), F.col("_until")), 1, F.size("_spans"))
+    pieces = F.zip_with("_spans", prior, lambda s, at: F.when(s["end"] > at, F.concat(
+        cut("_chunks", at, F.greatest(at, s["start"])), F.lit("<"), s["kind"], F.lit(">"))).otherwise(""))
+    rest = cut("_chunks", F.get("_until", F.size("_until") - 1), F.char_length(text))
+    new = F.when(F.size(spans) > 0, F.concat(F.array_join(pieces, ""), rest)).otherwise(F.col(text))
+    return placed.withColumn(text, new).drop("_spans", "_chunks", "_reach", "_until")
 
 
 def mask_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -174,10 +169,9 @@ def mask_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     spans = find_personal_data(docs, id_col, text_col).filter(F.size("spans") > 0).dropDuplicates(["_id", "_hash"])
     held = docs.select(F.struct("*").alias("row"), *_named(docs, id_col, text_col)[:2])
     same = held["_id"].eqNullSafe(spans["_id"]) & (held["_hash"] == spans["_hash"])
-    both = held.join(spans.select("_id", "_hash", "spans"), same, "left").select("row", "spans")
-    text = F.col("row")[text_col]
-    new = F.when(F.col("spans").isNull(), text).otherwise(_masked(text, F.col("spans")))
-    return both.select(*[(new if c == text_col else F.col("row")[c]).alias(c) for c in docs.columns])
+    both = held.join(spans.select("_id", "_hash", "spans"), same, "left").select("row", "spans", F.col("row")[text_col].alias("_new"))
+    new = _masked(both, "_new", "spans")
+    return new.select(*[(F.col("_new") if c == text_col else F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -103,18 +103,24 @@ with base as ({_spans_sql("assign", 1, _ASSIGN_SQL, f"length(regexp_extract(m, '
   union all {_spans_sql("access", 2, "AKIA[A-Z0-9]+", "length(m) >= 20")}
   union all {_spans_sql("hex", 3, "[0-9a-f]+", "length(m) >= 24")}),
 runs as (
-  select r.* from ({_spans_sql("entropy", 4, "[A-Za-z0-9+/_=-]+", "length(m) >= 20 and regexp_matches(m, '[0-9]')")}) r
-  where not exists (select 1 from base b where b.doc_id = r.doc_id and b.s < r.e and r.s < b.e)
-    and {_ALLOWED_SQL} and len(list_distinct(string_split(m, ''))) > 1),
-parts as (select *, unnest(range(1, length(m) - 18)) as j from runs),
+  select r.* from ({_spans_sql("entropy", 4, "[A-Za-z0-9+/_=-]+", "length(m) >= 20")}) r
+  where {_ALLOWED_SQL} and len(list_distinct(string_split(m, ''))) > 1),
+ends as (
+  select r.doc_id, r.s as rs, r.m, b.s, b.e from runs r join base b on b.doc_id = r.doc_id and b.s < r.e and r.s < b.e
+  union all select doc_id, s, m, e, e from runs),
+gaps as (
+  select doc_id, rs, m, s as e,
+    coalesce(max(e) over (partition by doc_id, rs order by s, e rows between unbounded preceding and 1 preceding), rs) as s from ends),
+open as (select doc_id, 4 as rank, 'entropy' as kind, s, e, substr(m, (s - rs + 1)::bigint, (e - s)::bigint) as m from gaps where e - s >= 20),
+parts as (select *, unnest(range(1, length(m) - 18)) as j from open),
 counts as (
   select doc_id, s, j, c, count(*) as n from (select doc_id, s, j, unnest(string_split(substr(m, j, 20), '')) as c from parts) x group by all),
 bits as (
   select doc_id, s, max(h) as h from (select doc_id, s, j, -sum(n / 20 * log2(n / 20)) as h from counts group by all) x group by doc_id, s),
 spans as (
   select doc_id, rank, kind, s, e from base union all
-  select doc_id, rank, kind, s, e from runs join bits using (doc_id, s)
-  where round(h, 9) >= case when regexp_matches(m, '^[0-9a-fA-F]+$') then 2.9 else 3.8 end),
+  select doc_id, rank, kind, s, e from open join bits using (doc_id, s)
+  where round(h, 9) >= case {" ".join(f"when regexp_matches(m, '{p}') then {b}" for p, b in secrets.CLASSES.items())} end),
 listed as (
   select doc_id, count(*) filter (where rank = 1) as n_assign, count(*) filter (where rank = 2) as n_access, count(*) filter (where rank = 3) as n_hex,
     string_agg(kind || ':' || s || ':' || e, ',' order by s, rank) filter (where rank < 4) as base,

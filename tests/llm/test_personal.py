@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 from floodmark.llm.personal import MIN_CONFIDENCE, MIN_DIGITS, MIN_SEEDS, REACH, ROUNDS, digest, find_personal_data, mask_personal_data
@@ -96,3 +97,14 @@ def test_masking(spark):
         (1, "call <phone> or <email> é <ip>", 5), (1, "call <phone> or <email> é <ip>", 5), (2, None, 6), (None, "x <email>", 7), (3, "none", 8)]))
     assert mask_personal_data(docs.limit(0)).collect() == []
     assert digest(find_personal_data(docs.limit(0))).collect() == []
+
+
+def test_many_matches_in_one_text(spark):
+    """Time grows with the text, not with its square."""
+    text = "".join(f"no {i:06d} u{i % 97}@x.org, " for i in range(100_000))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    begin = time.perf_counter()
+    got = digest(find_personal_data(docs)).collect()[0]
+    assert got.n_email == 100_000 and got.base_sha256 == hashlib.sha256(",".join(f"email:{a}:{e}" for a, _, e, _ in base(text)).encode()).hexdigest()
+    masked = mask_personal_data(docs).collect()[0].text
+    assert masked == re.sub("u[0-9]+@x.org", "<email>", text) and time.perf_counter() - begin < 90
