@@ -17,6 +17,8 @@ HEADER = ("raster_id string, x0 double, y0 double, pw double, ph double, width i
 OUTSIDE_KEYS = 1 << 20
 #: Headers up to this number are held by the driver; a run has a few dozen grids.
 KNOWN_HEADERS = 10_000
+#: Headers up to this number are written into the plan as literals.
+WRITTEN_OUT = 32
 PACKED_TILE = 64
 
 
@@ -197,10 +199,14 @@ def cell_index(points: DataFrame, rasters: Sequence[Raster] | DataFrame, lat: st
 
 def _all_headers(table: DataFrame, known: list[Raster] | None) -> Column:
     """All headers as one array: written out where they are few, else a scalar subquery."""
-    if known is None or len(known) > 32:
+    if known is None or len(known) > WRITTEN_OUT:
         return table.agg(F.array_sort(F.collect_list(F.struct("*")))).scalar()
-    kinds = [f.split() for f in HEADER.split(", ")]
-    return F.array(*[F.struct(*[F.lit(getattr(r, n)).cast(k).alias(n) for n, k in kinds]) for r in known])
+    return F.array(*[F.struct(*_written(r)) for r in known])
+
+
+def _written(r: Raster) -> list[Column]:
+    """The header's fields as literals."""
+    return [F.lit(getattr(r, n)).cast(k).alias(n) for n, k in (f.split() for f in HEADER.split(", "))]
 
 
 def _frames(table: DataFrame, known: list[Raster] | None) -> list[int]:
@@ -239,17 +245,23 @@ def outside_grids(points: DataFrame, rasters: Sequence[Raster] | DataFrame, lat:
             positions.append(F.struct(F.coalesce(m["easting"], lon).alias("x"), F.coalesce(m["northing"], lat).alias("y")))
     at = F.array(*positions)
 
-    def outside(g: Column) -> Column:
+    def outside(g: Column, at: Column) -> Column:
         frame = F.when(g["is_projected_metre"], F.coalesce(g["zone"], F.lit(OWN_ZONE))).otherwise(0)
-        here = F.get(at, F.array_position(F.array(*map(F.lit, frames)), frame).cast("int") - 1) if len(frames) > 1 else positions[0]
+        here = F.get(at, F.array_position(F.array(*map(F.lit, frames)), frame).cast("int") - 1) if len(frames) > 1 else F.get(at, F.lit(0))
         row = geodesy.cell_number(here["y"], g["y0"], g["ph"], flip=True, truncate=truncate)
         col = geodesy.cell_number(here["x"], g["x0"], g["pw"], truncate=truncate)
         return ~F.coalesce(row.between(0, g["height"] - 1) & col.between(0, g["width"] - 1), F.lit(False))
 
     if not frames:
         return points.withColumn(name, F.array().cast("array<string>"))
+    if known is not None and len(known) <= WRITTEN_OUT:
+        # Written out, as a function over an array of headers would take the stage out of generated code.
+        placed = points.withColumn("_at", at)
+        ids = [F.when(outside(F.struct(*_written(r)), F.col("_at")), F.lit(r.raster_id)) for r in known]
+        no_id = F.array(F.lit(None).cast("string"))
+        return placed.withColumn(name, F.array_except(F.array(*ids), no_id)).drop("_at")
     out = points.withColumn("_all", _all_headers(table, known))
-    return out.withColumn(name, F.transform(F.filter("_all", outside), lambda g: g["raster_id"])).drop("_all")
+    return out.withColumn(name, F.transform(F.filter("_all", lambda g: outside(g, at)), lambda g: g["raster_id"])).drop("_all")
 
 
 def cell_hits(points: DataFrame, rasters: Sequence[Raster] | DataFrame, lat: str = "Latitude", lon: str = "Longitude",

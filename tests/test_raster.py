@@ -94,3 +94,20 @@ def test_headers_of_a_list_need_no_job(spark):
     first = raster.known_headers(spark, [Raster("x", 2.0, 1.0, 1, 1, 1, 1, zone=3), Raster("x", 1.0, 1.0, 1, 1, 1, 1), Raster("w", 1.0, 1.0, 1, 1, 1, 1)])
     assert [(r.raster_id, r.x0) for r in first] == [("w", 1.0), ("x", 1.0)]
     assert lookup(raster.headers(spark, GRIDS)).bounded
+
+
+def test_grids_outside_in_both_forms(spark, monkeypatch):
+    """Headers written into the plan and headers as an array name the same grids, missing and repeated positions too."""
+    grids = [raster.Raster("a", -98.0, 31.0, 0.5, 0.5, 4, 4), raster.Raster("b", -97.0, 31.0, 0.5, 0.5, 4, 4),
+             raster.Raster("m", 200_000.0, 3_450_000.0, 1000.0, 1000.0, 200, 200, is_projected_metre=True, zone=15)]
+    points = spark.createDataFrame(
+        [(1, 30.5, -97.6), (2, 30.2, -96.5), (3, None, -97.0), (4, 30.5, None), (5, 0.0, 0.0), (5, 0.0, 0.0), (6, 30.9, -94.5)],
+        "id int, Latitude double, Longitude double")
+
+    def named():
+        return sorted((r.id, r.outside) for r in raster.outside_grids(points, grids).collect())
+
+    written = named()
+    monkeypatch.setattr(raster, "WRITTEN_OUT", 0)
+    assert written == named()
+    assert dict(written)[1] == ["b", "m"] and dict(written)[5] == ["a", "b", "m"] and dict(written)[3] == ["a", "b", "m"]
