@@ -26,35 +26,52 @@ BANDS, WINDOW_BANDS = 5, 2
 SHORTEST, LONG, WINDOW, ANCHOR = 20, 50, 16, 16
 
 
-def anchors(order: np.ndarray) -> np.ndarray:
-    """Places of the least of each ANCHOR numbers in a row (of all, if fewer), the last of ties: the same in any context."""
-    width = min(ANCHOR, len(order))
-    view = np.lib.stride_tricks.sliding_window_view(order[::-1], width)
-    last = len(order) - 1 - (np.arange(len(view)) + view.argmin(axis=1))
-    return np.unique(last)
+def _windows(lines: np.ndarray, base: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """First words of the windows of some documents in a row: `lines` has the words of each line, `base` the bounds of the
+    documents, `rows` the shingles of all words in order.
 
-
-def _units(docs: list[list[int]], rows: np.ndarray) -> np.ndarray:
-    """(first word, words) of each paragraph, of documents of lines of so many words; rows: the shingles of all words in
-    order. Windows are shorter than lines."""
+    An anchor is the place of the least of each ANCHOR numbers in a row, the last of ties: the same in any context.
+    """
+    begin, end = base[:-1], base[1:]
+    long = end - begin > LONG
+    if not long.any():
+        return np.empty(0, np.int64)
     order = mix(rows ^ np.uint64(0x5851F42D4C957F2D))
-    out, first = [], 0
-    for lines in docs:
-        n, at = sum(lines), first
-        if n > LONG:
-            # Windows at the end reach back to have their full length; the first and the last stand at the document's ends.
-            places = np.minimum(anchors(order[first : first + n - SHINGLE + 1]), n - WINDOW)
-            starts = np.unique([0, *places.tolist(), n - WINDOW])
-            # A document's paragraphs are told apart by their first word: a window that starts with a line starts one word
-            # later. It shares 11 of 13 shingles with the window it stands for.
-            whole = np.cumsum([0, *lines[:-1]])[np.array(lines) >= SHORTEST]
-            out += [(first + x, WINDOW) for x in np.unique(starts + np.isin(starts, whole)).tolist()]
-        for size in lines:
-            if size >= SHORTEST:
-                out.append((at, size))
-            at += size
-        first += n
-    return np.array(out, dtype=np.int64).reshape(-1, 2)
+    view = np.lib.stride_tricks.sliding_window_view(order[::-1], ANCHOR)
+    last = (len(order) - 1 - (np.arange(len(view)) + view.argmin(axis=1)))[::-1]
+    doc = np.repeat(np.arange(len(begin)), end - begin)
+    first = doc[: len(last)]
+    inside = long[first] & (np.arange(len(last)) + ANCHOR - 1 <= end[first] - SHINGLE)
+    last = last[inside]
+    last = last[np.flatnonzero(np.diff(last, prepend=-1))]
+    # Windows at the end reach back to have their full length; the first and the last stand at the document's ends.
+    reach = (end - WINDOW)[doc[last]]
+    starts = np.unique(np.concatenate([np.minimum(last, reach), begin[long], end[long] - WINDOW]))
+    # A document's paragraphs are told apart by their first word: a window that starts with a line starts one word
+    # later. It shares 11 of 13 shingles with the window it stands for.
+    whole = (np.cumsum(lines) - lines)[lines >= SHORTEST]
+    return np.unique(starts + np.isin(starts, whole))
+
+
+def _ragged(rows: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(index, offsets): the shingles in `rows` of paragraphs of so many words, one after the other, and where each begins."""
+    count = sizes - SHINGLE + 1
+    offsets = np.cumsum(count) - count
+    return np.arange(count.sum()) - np.repeat(offsets - starts, count), offsets
+
+
+def _sets_of(items: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted, fresh): the items of each set sorted, and which are the first of their value in it."""
+    owner = np.repeat(np.arange(len(offsets)), np.diff(offsets, append=len(items)))
+    ordered = items[np.lexsort((items, owner))]
+    fresh = np.ones(len(items), dtype=bool)
+    fresh[1:] = (ordered[1:] != ordered[:-1]) | (owner[1:] != owner[:-1])
+    return ordered, fresh
+
+
+def _prints(ordered: np.ndarray, fresh: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """set_print of each set of _sets_of."""
+    return mix(np.add.reduceat(mix(ordered) * fresh, offsets))
 
 
 def paragraph_table(texts: list[str | None]) -> tuple[np.ndarray, ...]:
@@ -67,20 +84,30 @@ def paragraph_table(texts: list[str | None]) -> tuple[np.ndarray, ...]:
         none = np.empty(0, np.int64)
         return none, none, none, none, none.reshape(0, BANDS)
     rows = shingle_rows(words, SHINGLE)
-    units = _units(counts, rows)
-    order, at = permutation(42, BANDS), places(rows)
-    # The shingle stands behind its rank, so that a coordinate names it and not just its place in the universe.
-    lowest = [(order[at + k].astype(np.uint64) << np.uint64(42)) | (rows >> np.uint64(22)) for k in range(BANDS)]
-    prints = np.zeros(len(units), dtype=np.uint64)
-    keys = np.zeros((len(units), BANDS), dtype=np.uint64)
-    for n in np.unique(units[:, 1]).tolist():
-        own = np.flatnonzero(units[:, 1] == n)
-        index = units[own, 0, None] + np.arange(n - SHINGLE + 1)
-        prints[own] = set_print(rows[index])
-        for k in range(BANDS if n > WINDOW else WINDOW_BANDS):
-            keys[own, k] = mix(lowest[k][index].min(axis=1)) + np.uint64(k + 1)
-    owner = np.searchsorted(base, units[:, 0], "right") - 1
-    return owner, units[:, 0] - base[owner], units[:, 1], prints.view(np.int64), mix(keys).view(np.int64)
+    sizes = np.concatenate([np.array(c, dtype=np.int64) for c in counts])
+    windows = _windows(sizes, base, rows)
+    whole = (np.cumsum(sizes) - sizes)[sizes >= SHORTEST]
+    sizes = sizes[sizes >= SHORTEST]
+    order, at, high = permutation(42, BANDS), places(rows), rows >> np.uint64(22)
+
+    def lowest(k: int, index: np.ndarray) -> np.ndarray:
+        # The shingle stands behind its rank, so that a coordinate names it and not just its place in the universe.
+        return (order[at[index] + k].astype(np.uint64) << np.uint64(42)) | high[index]
+
+    index = windows[:, None] + np.arange(WINDOW - SHINGLE + 1)
+    keys = np.zeros((len(windows) + len(whole), BANDS), dtype=np.uint64)
+    for k in range(WINDOW_BANDS):
+        keys[: len(windows), k] = mix(lowest(k, index).min(axis=1)) + np.uint64(k + 1)
+    prints = [set_print(rows[index])]
+    if len(whole):
+        index, offsets = _ragged(rows, whole, sizes)
+        for k in range(BANDS):
+            keys[len(windows) :, k] = mix(np.minimum.reduceat(lowest(k, index), offsets)) + np.uint64(k + 1)
+        prints.append(_prints(*_sets_of(rows[index], offsets), offsets))
+    first = np.concatenate([windows, whole])
+    size = np.concatenate([np.full(len(windows), WINDOW), sizes])
+    owner = np.searchsorted(base, first, "right") - 1
+    return owner, first - base[owner], size, np.concatenate(prints).view(np.int64), mix(keys).view(np.int64)
 
 
 def set_print(items: np.ndarray) -> np.ndarray:
@@ -114,15 +141,19 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sets of the wanted paragraphs (array of first word and words) of rows (text, wanted)."""
     for batch in batches:
         for at in range(0, batch.num_rows, 128):
-            prints, sets = [], []
-            for text, wanted in zip(*(c.to_pylist() for c in batch.slice(at, 128).columns)):
-                rows = shingle_rows(word_hashes(text), SHINGLE)
-                for w in wanted:
-                    items = np.unique(rows[w["first"] : w["first"] + w["size"] - SHINGLE + 1])
-                    prints.append(int(set_print(items[None]).view(np.int64)[0]))
-                    sets.append(items.view(np.int64))
+            part = batch.slice(at, 128)
+            words = [word_hashes(t) for t in part.column(0).to_pylist()]
+            wanted = part.column(1)
+            units = wanted.flatten()
+            base = np.repeat(np.cumsum([0, *map(len, words[:-1])]), np.diff(wanted.offsets.to_numpy()))
+            rows = shingle_rows(np.concatenate(words), SHINGLE)
+            index, offsets = _ragged(rows, base + units.field("first").to_numpy(), units.field("size").to_numpy().astype(np.int64))
+            items, fresh = _sets_of(rows[index], offsets)
+            lengths = np.add.reduceat(fresh.astype(np.int32), offsets)
+            bounds = pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(prints, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["id", "items"]
+                [pa.array(_prints(items, fresh, offsets).view(np.int64)), pa.ListArray.from_arrays(bounds, pa.array(items[fresh].view(np.int64)))],
+                ["id", "items"],
             )
 
 
@@ -142,41 +173,44 @@ def repeated_paragraphs(
     one document; a null id is an id, the smallest. Other columns are not looked at; an empty table gives none.
 
     Equal paragraphs are one node, found by grouping on a 64-bit hash; only different ones that share a bucket are
-    compared, on full sets, so what a passage's thousands of copies cost is a sum.
+    compared, on full sets, so what a passage's thousands of copies cost is a sum. Buckets of one document only, most of
+    all, fall before any paragraph is moved: two paragraphs of one document are not compared, nor is one alone repeated.
     """
-    scratch = Scratch(docs.sparkSession)
+    scratch = Scratch(docs.sparkSession, free_shuffles=True)
     text = column(text_col)
     named = docs.select(F.xxhash64(column(id_col), text).alias("row"), column(id_col).alias("id"), text.alias("text"))
     kind = named.schema["id"].dataType.simpleString()
     units = scratch.keep(map_batches(named, _features, f"row long, id {kind}, first int, size int, print long, keys array<long>"))
 
-    entries = units.select("row", "print", F.explode("keys").alias("key"))
-    mixed = scratch.keep(entries.groupBy("key").agg(F.min("print").alias("lo"), F.max("print").alias("hi")).filter("lo <> hi").select("key"))
-    met = scratch.keep(entries.join(mixed, "key", "left_semi"))
-    # Most buckets hold neighbours of one document, which overlap and are not compared.
-    across = met.groupBy("key").agg(F.min("row").alias("lo"), F.max("row").alias("hi")).filter("lo <> hi").select("key")
-    pairs = scratch.keep(met.join(across, "key", "left_semi").select("key", "print").distinct())
-    sizes = pairs.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
-    members = scratch.keep(pairs.join(sizes, "key").select("key", F.col("print").alias("id"), "size"))
-    repeated = units.groupBy("print").agg(F.min("row").alias("lo"), F.max("row").alias("hi")).filter("lo <> hi").select("print")
-    candidates = scratch.keep(repeated.unionByName(members.select(F.col("id").alias("print"))).distinct())
+    entries = units.select(F.explode("keys").alias("key"), "row", "id", "first", "size", "print")
+    across = entries.groupBy("key").agg(F.min("row").alias("lo"), F.max("row").alias("hi")).filter("lo <> hi").select("key")
+    across = scratch.keep(across)
+    # A bucket of two documents holds either different paragraphs or one that is repeated, and equal ones share all buckets.
+    met = scratch.keep(entries.join(across, "key", "left_semi"))
+    scratch.drop(units, across)
     # Equal rows are one document, so a paragraph counts once per row and place.
-    own = units.select("row", "id", "first", "size", "print").join(candidates, "print").dropDuplicates(["row", "first"])
-    own = scratch.keep(own)
+    own = scratch.keep(met.select("row", "id", "first", "size", "print").dropDuplicates(["row", "first"]))
+    pairs = scratch.keep(met.select("key", F.col("print").alias("id")).distinct())
+    scratch.drop(met)
+    sizes = pairs.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    members = scratch.keep(pairs.join(sizes, "key"))
+    scratch.drop(pairs)
 
     wanted = members.select(F.col("id").alias("print")).distinct()
     place = F.min(F.struct("row", "first", "size")).alias("at")
-    where = own.join(wanted, "print").groupBy("print").agg(place, F.min("row").alias("lo"), F.max("row").alias("hi"))
+    where = own.join(wanted, "print", "left_semi").groupBy("print").agg(place, F.min("row").alias("lo"), F.max("row").alias("hi"))
     where = scratch.keep(where)
     by_row = where.groupBy(F.col("at.row").alias("row")).agg(F.collect_list(F.struct("at.first", "at.size")).alias("wanted"))
     texts = named.select("row", "text").join(by_row, "row").select("text", "wanted")
     sets = map_batches(texts, _sets, "id long, items array<long>").dropDuplicates(["id"])
     single = where.select(F.col("print").alias("id"), F.when(F.col("lo") == F.col("hi"), F.col("lo")).alias("only"))
     sets = scratch.keep(sets.join(single, "id"))
+    scratch.drop(where)
     label = linked_components(members, sets, percent, 1, scratch)
 
     classed = own.join(label.withColumnRenamed("node", "print"), "print", "left").withColumn("component_id", F.coalesce("component", "print"))
     classed = scratch.keep(classed.drop("component", "print"))
+    scratch.drop(members, sets, own)
     groups = classed.groupBy("component_id").agg(
         F.count(F.lit(1)).alias("n_copies"), F.min("row").alias("lo"), F.max("row").alias("hi"), F.min(F.struct("id", "first")).alias("keep"))
     found = classed.join(groups.filter("lo <> hi"), "component_id")
