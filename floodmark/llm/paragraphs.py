@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,11 @@ BANDS, WINDOW_BANDS = 5, 2
 SHORTEST, LONG, WINDOW, ANCHOR = 20, 50, 16, 16
 
 
+def _parts(percent: int) -> int:
+    """Two more than two linked windows can differ in shingles: of m shingles each at most, 2m(1 - t)/(1 + t)."""
+    return 2 * (WINDOW - SHINGLE + 1) * (100 - percent) // (100 + percent) + 2
+
+
 def _windows(lines: np.ndarray, base: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """First words of the windows of some documents in a row: `lines` has the words of each line, `base` the bounds of the
     documents, `rows` the shingles of all words in order.
@@ -77,12 +83,18 @@ def _prints(ordered: np.ndarray, fresh: np.ndarray, offsets: np.ndarray) -> np.n
 def paragraph_table(texts: list[str | None]) -> tuple[np.ndarray, ...]:
     """owner, first word, words, print, keys of all paragraphs of some texts: int64 arrays, keys of shape (n, BANDS), of
     which windows use the first WINDOW_BANDS."""
+    return _paragraphs(texts, PERCENT)[:5]
+
+
+def _paragraphs(texts: list[str | None], percent: int) -> tuple[np.ndarray, ...]:
+    """paragraph_table and parts, int32 of shape (n, _parts(percent)): hashes of a window's shingles, dealt out to so many
+    parts; of a line the first is 1 if it has so few different shingles that it can be linked with a window, else 0."""
     counts = [[len(line.split()) for line in (t or "").encode("utf-8", "surrogatepass").split(b"\n")] for t in texts]
     base = np.cumsum([0, *map(sum, counts)])
     words = np.concatenate([word_hashes(t) for t in texts])
     if len(words) < SHINGLE:
         none = np.empty(0, np.int64)
-        return none, none, none, none, none.reshape(0, BANDS)
+        return none, none, none, none, none.reshape(0, BANDS), np.empty((0, _parts(percent)), np.int32)
     rows = shingle_rows(words, SHINGLE)
     sizes = np.concatenate([np.array(c, dtype=np.int64) for c in counts])
     windows = _windows(sizes, base, rows)
@@ -98,16 +110,28 @@ def paragraph_table(texts: list[str | None]) -> tuple[np.ndarray, ...]:
     keys = np.zeros((len(windows) + len(whole), BANDS), dtype=np.uint64)
     for k in range(WINDOW_BANDS):
         keys[: len(windows), k] = mix(lowest(k, index).min(axis=1)) + np.uint64(k + 1)
-    prints = [set_print(rows[index])]
+    items = rows[index]
+    prints = [set_print(items)]
+    parts = np.zeros(keys.shape[:1] + (_parts(percent),), dtype=np.int32)
+    found = np.sort(items, axis=1)
+    fresh = np.ones(found.shape, dtype=bool)
+    fresh[:, 1:] = found[:, 1:] != found[:, :-1]
+    hashed, part = mix(found) * fresh, (found >> np.uint64(32)) % np.uint64(parts.shape[1])
+    for k in range(parts.shape[1]):
+        parts[: len(windows), k] = (mix((hashed * (part == k)).sum(axis=1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32).view(np.int32)
     if len(whole):
         index, offsets = _ragged(rows, whole, sizes)
         for k in range(BANDS):
             keys[len(windows) :, k] = mix(np.minimum.reduceat(lowest(k, index), offsets)) + np.uint64(k + 1)
-        prints.append(_prints(*_sets_of(rows[index], offsets), offsets))
+        items, fresh = _sets_of(rows[index], offsets)
+        prints.append(_prints(items, fresh, offsets))
+        parts[len(windows) :, 0] = percent * np.add.reduceat(fresh.astype(np.int64), offsets) <= 100 * (WINDOW - SHINGLE + 1)
     first = np.concatenate([windows, whole])
     size = np.concatenate([np.full(len(windows), WINDOW), sizes])
     owner = np.searchsorted(base, first, "right") - 1
-    return owner, first - base[owner], size, np.concatenate(prints).view(np.int64), mix(keys).view(np.int64)
+    return (
+        owner, first - base[owner], size, np.concatenate(prints).view(np.int64), mix(keys).view(np.int64), parts,
+    )
 
 
 def set_print(items: np.ndarray) -> np.ndarray:
@@ -118,12 +142,12 @@ def set_print(items: np.ndarray) -> np.ndarray:
     return mix((mix(found) * fresh).sum(axis=1, dtype=np.uint64))
 
 
-def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _features(batches: Iterator[pa.RecordBatch], percent: int = PERCENT) -> Iterator[pa.RecordBatch]:
     """Paragraphs of rows (row, id, text)."""
     for batch in batches:
         for at in range(0, batch.num_rows, 128):
             part = batch.slice(at, 128)
-            owner, first, size, prints, keys = paragraph_table(part.column(2).to_pylist())
+            owner, first, size, prints, keys, parts = _paragraphs(part.column(2).to_pylist(), percent)
             take = pa.array(owner)
             used = np.arange(BANDS) < np.where(size > WINDOW, BANDS, WINDOW_BANDS)[:, None]
             offsets = pa.array(np.concatenate([[0], np.cumsum(used.sum(axis=1))]).astype(np.int32))
@@ -132,8 +156,9 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     part.column(0).take(take), part.column(1).take(take), pa.array(first.astype(np.int32)),
                     pa.array(size.astype(np.int32)), pa.array(prints),
                     pa.ListArray.from_arrays(offsets, pa.array(keys[used])),
+                    *map(pa.array, np.ascontiguousarray(parts.T)),
                 ],
-                ["row", "id", "first", "size", "print", "keys"],
+                ["row", "id", "first", "size", "print", "keys", *(f"p{k}" for k in range(parts.shape[1]))],
             )
 
 
@@ -157,6 +182,33 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _members(met: DataFrame, percent: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """(nodes, members): of the paragraphs `met` in buckets of several documents (id, lo, hi), the ids and first and last row of
+    all different ones, and (key, id, size) of those that can be linked.
+
+    Two linked windows have two parts of their shingles in common at least, as they differ in two parts fewer than there
+    are: so each pair of parts is a narrower bucket, in which all linked ones meet. Lines stay in their buckets, and so do
+    windows beside a line that is short enough to be linked with them. No pairs are formed.
+    """
+    n = _parts(percent)
+    parts = [F.min(f"p{k}").alias(f"p{k}") for k in range(n)]
+    grouped = met.groupBy(F.col("print").alias("id")).agg(F.min("size").alias("size"), F.min("row").alias("lo"), F.max("row").alias("hi"), *parts)
+    nodes = scratch.keep(grouped)
+    both = [F.xxhash64(F.lit(i * n + j), f"p{i}", f"p{j}") for i in range(n) for j in range(i + 1, n)]
+    cells = nodes.filter(F.col("size") == WINDOW).select("id", "lo", "hi", F.explode(F.array(*both)).alias("key"))
+    count = F.count(F.lit(1)).alias("size")
+    shared = cells.groupBy("key").agg(count, F.min("lo").alias("least"), F.max("hi").alias("most"))
+    shared = shared.filter("size > 1 and least <> most").select("key", "size")
+    windows = cells.join(shared, "key").select("key", "id", "size")
+
+    line = F.col("size") > WINDOW
+    beside = met.filter(line & (F.col("p0") == 1)).select("key").distinct()
+    lines = met.filter(line).select("key", F.col("print").alias("id"))
+    lines = lines.unionByName(met.filter(~line).join(beside, "key", "left_semi").select("key", F.col("print").alias("id"))).distinct()
+    sizes = lines.groupBy("key").agg(count).filter("size > 1")
+    return nodes.select("id", "lo", "hi"), scratch.keep(windows.unionByName(lines.join(sizes, "key").select("key", "id", "size")))
+
+
 def repeated_paragraphs(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT
 ) -> DataFrame:
@@ -180,9 +232,12 @@ def repeated_paragraphs(
     text = column(text_col)
     named = docs.select(F.xxhash64(column(id_col), text).alias("row"), column(id_col).alias("id"), text.alias("text"))
     kind = named.schema["id"].dataType.simpleString()
-    units = scratch.keep(map_batches(named, _features, f"row long, id {kind}, first int, size int, print long, keys array<long>"))
+    features = partial(_features, percent=percent)
+    schema = f"row long, id {kind}, first int, size int, print long, keys array<long>"
+    parts = [f"p{k}" for k in range(_parts(percent))]
+    units = scratch.keep(map_batches(named, features, schema + "".join(f", {p} int" for p in parts)))
 
-    entries = units.select(F.explode("keys").alias("key"), "row", "id", "first", "size", "print")
+    entries = units.select(F.explode("keys").alias("key"), "row", "id", "first", "size", "print", *parts)
     across = entries.groupBy("key").agg(F.min("row").alias("lo"), F.max("row").alias("hi")).filter("lo <> hi").select("key")
     across = scratch.keep(across)
     # A bucket of two documents holds either different paragraphs or one that is repeated, and equal ones share all buckets.
@@ -190,22 +245,16 @@ def repeated_paragraphs(
     scratch.drop(units, across)
     # Equal rows are one document, so a paragraph counts once per row and place.
     own = scratch.keep(met.select("row", "id", "first", "size", "print").dropDuplicates(["row", "first"]))
-    pairs = scratch.keep(met.select("key", F.col("print").alias("id")).distinct())
+    nodes, members = _members(met, percent, scratch)
     scratch.drop(met)
-    sizes = pairs.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    members = scratch.keep(pairs.join(sizes, "key"))
-    scratch.drop(pairs)
 
     wanted = members.select(F.col("id").alias("print")).distinct()
-    place = F.min(F.struct("row", "first", "size")).alias("at")
-    where = own.join(wanted, "print", "left_semi").groupBy("print").agg(place, F.min("row").alias("lo"), F.max("row").alias("hi"))
-    where = scratch.keep(where)
+    where = own.join(wanted, "print", "left_semi").groupBy("print").agg(F.min(F.struct("row", "first", "size")).alias("at"))
     by_row = where.groupBy(F.col("at.row").alias("row")).agg(F.collect_list(F.struct("at.first", "at.size")).alias("wanted"))
     texts = named.select("row", "text").join(by_row, "row").select("text", "wanted")
     sets = map_batches(texts, _sets, "id long, items array<long>").dropDuplicates(["id"])
-    single = where.select(F.col("print").alias("id"), F.when(F.col("lo") == F.col("hi"), F.col("lo")).alias("only"))
+    single = nodes.select("id", F.when(F.col("lo") == F.col("hi"), F.col("lo")).alias("only"))
     sets = scratch.keep(sets.join(single, "id"))
-    scratch.drop(where)
     label = linked_components(members, sets, percent, 1, scratch)
 
     classed = own.join(label.withColumnRenamed("node", "print"), "print", "left").withColumn("component_id", F.coalesce("component", "print"))
