@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +26,9 @@ BANDS, WINDOW_BANDS = 5, 2
 #: words across line breaks, one at least in each ANCHOR places, so that they leave no gap (ANCHOR <= WINDOW).
 SHORTEST, LONG, WINDOW, ANCHOR = 20, 50, 16, 16
 
+#: Buckets are gone through in so many slices, so that only a part of their entries is on the disks at a time.
+SLICES = 3
+
 
 def _parts(percent: int) -> int:
     """Two more than two linked windows can differ in shingles: of m shingles each at most, 2m(1 - t)/(1 + t)."""
@@ -237,16 +240,21 @@ def repeated_paragraphs(
     parts = [f"p{k}" for k in range(_parts(percent))]
     units = scratch.keep(map_batches(named, features, schema + "".join(f", {p} int" for p in parts)))
 
-    entries = units.select(F.explode("keys").alias("key"), "row", "id", "first", "size", "print", *parts)
-    across = entries.groupBy("key").agg(F.min("row").alias("lo"), F.max("row").alias("hi")).filter("lo <> hi").select("key")
-    across = scratch.keep(across)
     # A bucket of two documents holds either different paragraphs or one that is repeated, and equal ones share all buckets.
-    met = scratch.keep(entries.join(across, "key", "left_semi"))
-    scratch.drop(units, across)
+    slices = []
+    for k in range(SLICES):
+        entries = units.select(F.explode("keys").alias("key"), "row", "id", "first", "size", "print", *parts)
+        entries = entries.filter(F.pmod("key", F.lit(SLICES)) == k)
+        across = entries.groupBy("key").agg(F.min("row").alias("lo"), F.max("row").alias("hi")).filter("lo <> hi").select("key")
+        across = scratch.keep(across)
+        slices.append(scratch.keep(entries.join(across, "key", "left_semi")))
+        scratch.drop(across)
+    scratch.drop(units)
+    met = reduce(DataFrame.unionByName, slices)
     # Equal rows are one document, so a paragraph counts once per row and place.
     own = scratch.keep(met.select("row", "id", "first", "size", "print").dropDuplicates(["row", "first"]))
     nodes, members = _members(met, percent, scratch)
-    scratch.drop(met)
+    scratch.drop(*slices)
 
     wanted = members.select(F.col("id").alias("print")).distinct()
     where = own.join(wanted, "print", "left_semi").groupBy("print").agg(F.min(F.struct("row", "first", "size")).alias("at"))
