@@ -3,7 +3,7 @@ from collections import defaultdict
 
 import numpy as np
 
-from floodmark.llm.paragraphs import paragraph_table, repeated_paragraphs
+from floodmark.llm.paragraphs import WINDOW, _paragraphs, paragraph_table, repeated_paragraphs
 from floodmark.llm.shingles import shingle_rows, word_hashes
 
 
@@ -123,3 +123,21 @@ def test_long_lines_are_compared_whole(spark):
     out = repeated_paragraphs(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     whole = {r.doc_id for r in out if r.n_words == sizes[r.doc_id]}
     assert whole == set(range(120))
+
+
+def test_linked_windows_have_two_parts_in_common():
+    rnd = random.Random(7)
+    for percent in (60, 80, 90, 100):
+        linked = 0
+        words = [f"w{k % 37 if k > 200 else k}" for k in range(400)]
+        near = [w if rnd.random() > 0.04 else "other" for w in words]
+        texts = [" ".join(words), " ".join(near), " ".join(words[3:])]
+        owner, first, size, _, _, parts = _paragraphs(texts, percent)
+        rows = [shingle_rows(word_hashes(t)) for t in texts]
+        windows = [(frozenset(rows[o][f : f + n - 4].tolist()), p) for o, f, n, p in zip(owner, first, size, parts.tolist()) if n == WINDOW]
+        for k, (x, p) in enumerate(windows):
+            for y, q in windows[k + 1 :]:
+                if 100 * len(x & y) >= percent * len(x | y):
+                    linked += 1
+                    assert sum(a == b for a, b in zip(p, q)) >= 2
+        assert linked
