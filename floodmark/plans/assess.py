@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
+from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import fixed_values as fv, hazard
 from ..operators import damage
@@ -48,8 +50,8 @@ def assess(buildings: DataFrame, cells: DataFrame | Lookup | PackedCells, raster
     rows = rows.withColumn("status", F.explode(F.array("status")))
     at = ("_Latitude", "_Longitude")
     if wet_only:
-        return _evaluate(sample_depth(rows, cells, rasters, *at, True, truncate), passthrough, lookups, flood_class, mapping)
-    inside = _evaluate(sample_inside(rows, cells, rasters, *at, truncate), passthrough, lookups, flood_class, mapping)
+        return _sorted_out(sample_depth(rows, cells, rasters, *at, True, truncate), passthrough, lookups, flood_class, mapping)
+    inside = _sorted_out(sample_inside(rows, cells, rasters, *at, truncate), passthrough, lookups, flood_class, mapping)
     return inside.unionByName(_dry(outside_grids(rows, rasters, *at, truncate, "_outside"), passthrough, inside))
 
 
@@ -74,6 +76,16 @@ def _dry(rows: DataFrame, passthrough: Sequence[str], like: DataFrame) -> DataFr
     ).toDF(*like.columns)
 
 
+def _sorted_out(rows: DataFrame, passthrough: Sequence[str], lookups: Lookups, flood_class: str, mapping: dict[str, str]) -> DataFrame:
+    """:func:`_evaluate`; of a library too large to broadcast, only the rows that name a user curve are shuffled to it."""
+    named = [F.col(f"_{f}").isNotNull() for f in damage.OPTIONAL_TEXT if mapping[f]]
+    if lookups.library is None or lookups.library.bounded or not named:
+        return _evaluate(rows, passthrough, lookups, flood_class, mapping)
+    some = reduce(Column.__or__, named)
+    return _evaluate(rows.where(some), passthrough, lookups, flood_class, mapping).unionByName(
+        _evaluate(rows.where(~some), passthrough, replace(lookups, library=None), flood_class, mapping))
+
+
 def _evaluate(rows: DataFrame, passthrough: Sequence[str], lookups: Lookups, flood_class: str, mapping: dict[str, str]) -> DataFrame:
     """Predictions of buildings on the grids they were sampled on."""
     rows = rows.withColumn("Depth_Grid", F.explode(F.array("Depth_Grid")))

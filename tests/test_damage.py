@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from floodmark import Lookup, Lookups, Raster, assess
 from floodmark.operators import damage
 from floodmark.operators.raster import cell_hits, cell_index, sample_depth, wet_tiles
+from floodmark.plans.assess import DEFAULT_MAP
 from floodmark.sources import lookups as src
 
 BUILDINGS = "FltyId string, Occ string, Cost string, Area string, NumStories string, FoundationType string, FirstFloorHt string, ContentCost string, Latitude double, Longitude double"
@@ -186,3 +187,17 @@ def test_one_hot_key_is_split(spark):
     finally:
         for k in settings:
             spark.conf.unset(k)
+
+
+def test_a_library_beyond_the_bounds_is_not_broadcast(spark, lookups):
+    b = spark.createDataFrame(
+        [(f"A{i}", "RES1", "100", "10", "1", "7", "0", "50", 28.0, -82.5, user) for i, user in enumerate([" 105 ", "", None, "9"])],
+        BUILDINGS + ", Curve string")
+    mapping = {**DEFAULT_MAP, "BDDF_ID": "Curve"}
+    large = replace(lookups, library=Lookup(lookups.library.df, False))
+    far, near = (assess(b, cells(spark), [GRID], k, mapping=mapping) for k in (large, lookups))
+    assert sorted(map(str, far.collect())) == sorted(map(str, near.collect()))
+    assert {r.FltyId: r.BDDF_ID for r in far.collect()} == {"A0": "105", "A1": "7", "A2": "7", "A3": "7"}
+    small = spark.createDataFrame([("a", [1.0])], "k string, v array<double>")
+    rows = spark.createDataFrame([("a", 1)], "k string, n int")
+    assert "Broadcast" not in plan_of(Lookup(small, False).join(rows, ["k"]))
