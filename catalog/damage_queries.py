@@ -205,7 +205,7 @@ def _(t):
     from (select FltyId, Occ, cast(Area as double) as a, coalesce(cast(c_inv as double), 0) as v from gated where status = 'OK') g left join econ on Occupancy = Occ""", ("facility", "econ"), FACILITY_TYPED)
 def _(t):
     rows = damage.typed_fields(t.facility, FULL_MAP).where("status = 'OK'")
-    return damage.inventory_value(rows, t.lookups.econ, "_OCC", "_Area", "_InvCost").select("FltyId", F.col("InventoryCostUSD").alias("usd"))
+    return damage.inventory_value(rows, t.lookup("econ"), "_OCC", "_Area", "_InvCost").select("FltyId", F.col("InventoryCostUSD").alias("usd"))
 
 
 @query("q_curve_load", f"""select curve_set, curve_key, ddf_id, {_COLS} from (select *, row_number() over (partition by curve_set, curve_key order by ddf_id, {_COLS}) as rn
@@ -241,7 +241,7 @@ def _interp_rows(t):
     left join curve on curve_set = 'building_' || case when substr(occ, 1, 3) = 'RES' then 'coastal_a' else 'default' end and curve_key = soid and k = floor(d)""", ("prediction", "curve_wide"), ",".join([_DAMP, CURVE_CTE]))
 def _(t):
     own_set = damage.building_curve_set("occ", F.lit("CAE"))
-    rows = damage.match_curve(_interp_rows(t), t.lookups.curves, "building", own_set, F.col("soid"), F.floor("d").cast("int"))
+    rows = damage.match_curve(_interp_rows(t), t.lookup("curves"), "building", own_set, F.col("soid"), F.floor("d").cast("int"))
     return rows.select("fltyid", "cost", "d", "soid", F.col("_building_id").alias("ddf_id"), damage.interp_damage("_building_lo", "_building_hi", "d").alias("frac"))
 
 
@@ -255,8 +255,8 @@ def _(t):
     rows = damage.typed_fields(t.facility, FULL_MAP).where("status = 'OK'")
     rows = rows.withColumn("soid", hazard.specific_occupancy("_OCC", "_NumStories", "_FoundationType"))
     k = F.floor("_FirstFloorHt").cast("int")
-    rows = damage.match_curve(rows, t.lookups.curves, "building", damage.building_curve_set("_OCC", F.lit("V")), F.col("soid"), k)
-    rows = damage.override_curve(rows, t.lookups.library, "building", "_BDDF_ID", k)
+    rows = damage.match_curve(rows, t.lookup("curves"), "building", damage.building_curve_set("_OCC", F.lit("V")), F.col("soid"), k)
+    rows = damage.override_curve(rows, t.lookup("library"), "building", "_BDDF_ID", k)
     return rows.select("FltyId", "soid", F.col("_building_id").alias("curve_id"), F.col("_building_lo").alias("lo"), F.col("_building_hi").alias("hi"))
 
 
@@ -282,13 +282,13 @@ def _wet_rows(t):
 @query("q_debris", """select fltyid, cost, key as DebrisID, area * Finishes / 1000 as Debris_Fin, area * Structure / 1000 as Debris_Struc, area * Foundation / 1000 as Debris_Found,
     area * Finishes / 1000 + area * Structure / 1000 + area * Foundation / 1000 as Debris_Tot from deb left join debris_rate on DebrisID = key""", ("prediction", "debris_rate"), _DEBRIS)
 def _(t):
-    rows = damage.debris(_wet_rows(t), t.lookups.debris, "occ", "found", "area", F.col("depth_in_struc"))
+    rows = damage.debris(_wet_rows(t), t.lookup("debris"), "occ", "found", "area", F.col("depth_in_struc"))
     return rows.select("fltyid", "cost", "DebrisID", "Debris_Fin", "Debris_Struc", "Debris_Found", "Debris_Tot")
 
 
 @query("q_restoration", """select fltyid, cost, cast(Min_Restor_Days as bigint) as Restor_Days_Min, cast(Max_Restor_Days as bigint) as Restor_Days_Max from deb left join restor_days on RestFnID = rkey""", ("prediction", "restor_days"), _DEBRIS)
 def _(t):
-    rows = damage.restoration(_wet_rows(t), t.lookups.restoration, "occ", F.col("depth_in_struc"))
+    rows = damage.restoration(_wet_rows(t), t.lookup("restoration"), "occ", F.col("depth_in_struc"))
     return rows.select("fltyid", "cost", "Restor_Days_Min", "Restor_Days_Max")
 
 
@@ -296,7 +296,7 @@ def _(t):
     from gated left join library_wide l on l.kind = 'building' and l.fn_id = bid_b where bid_b is not null and (l.fn_id is null or l.occupancy <> Occ)""", ("facility", "library_wide"), FACILITY_TYPED)
 def _(t):
     rotated = t.facility
-    return damage.curve_qc(rotated, t.lookups.library, "building", "BDDF_ID", "Occ", "FltyId")
+    return damage.curve_qc(rotated, t.lookup("library"), "building", "BDDF_ID", "Occ", "FltyId")
 
 
 @query("q_sample_depth", "select bid, GridName, Depth_Grid from sampled", ("inventory", "depth_cell"), ",".join([GRID_CTE, sampled_cte("inventory", "latitude", "longitude")]))

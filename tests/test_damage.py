@@ -4,6 +4,7 @@ import pytest
 from conftest import plan_of
 from pyspark.sql import functions as F
 
+from catalog import fixtures
 from floodmark import Lookup, Lookups, Raster, assess
 from floodmark.operators import damage
 from floodmark.operators.raster import cell_hits, cell_index, sample_depth, wet_tiles
@@ -201,3 +202,15 @@ def test_a_library_beyond_the_bounds_is_not_broadcast(spark, lookups):
     small = spark.createDataFrame([("a", [1.0])], "k string, v array<double>")
     rows = spark.createDataFrame([("a", 1)], "k string, n int")
     assert "Broadcast" not in plan_of(Lookup(small, False).join(rows, ["k"]))
+
+
+def test_the_status_is_worked_out_once_and_one_lookup_alone(spark, buildings, lookups, monkeypatch):
+    typed = damage.typed_fields(buildings, DEFAULT_MAP)
+    assert {r.FltyId: r.status for r in typed.collect()} == {"T1": "OK", "T2": "OK", "T3": "INCOMPLETE", "T4": "ROW_ERROR", "T5": "OK", "T6": "OK"}
+    held = [line for line in plan_of(typed.where("status = 'OK'")).splitlines() if "Filter" in line]
+    assert len(held) == 1 and "CASE WHEN" not in held[0] and "trim" not in held[0]
+    made = []
+    monkeypatch.setattr(fixtures, "kept", lambda df: made.append(df) or Lookup(df, True))
+    tables = fixtures.Tables(spark, "/no/such/folder")
+    tables.econ = lookups.econ.df
+    assert tables.lookup("econ").df.count() == 1 and len(made) == 1
