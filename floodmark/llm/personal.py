@@ -132,6 +132,11 @@ def find_personal_data(
     seen = scratch.keep(
         occurrences(docs.select(*_named(docs, id_col, text_col)), "_text").select("_id", "_hash", "base", "seen")
     )
+    return _spans(seen, scratch, min_confidence)
+
+
+def _spans(seen: DataFrame, scratch: Scratch, min_confidence: float) -> DataFrame:
+    """:func:`find_personal_data` from the occurrences in each text: _id, _hash, base and seen."""
     each = seen.filter(F.size("seen") > 0).select("_id", "_hash", F.explode("seen").alias("s")).select("_id", "_hash", "s.*")
     linked = each.select(F.explode("contexts").alias("pattern"), F.lower("found").alias("instance"), "seed")
     named = linked.filter("pattern not in ('before ', 'after ')")
@@ -165,13 +170,21 @@ def _masked(df: DataFrame, text: str, spans: str) -> DataFrame:
 
 
 def mask_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`docs` with each personal span in the text replaced by <kind>. Rows without one, null text too, stay as they are."""
-    spans = find_personal_data(docs, id_col, text_col).filter(F.size("spans") > 0).dropDuplicates(["_id", "_hash"])
-    held = docs.select(F.struct("*").alias("row"), *_named(docs, id_col, text_col)[:2])
-    same = held["_id"].eqNullSafe(spans["_id"]) & (held["_hash"] == spans["_hash"])
-    both = held.join(spans.select("_id", "_hash", "spans"), same, "left").select("row", "spans", F.col("row")[text_col].alias("_new"))
-    new = _masked(both, "_new", "spans")
-    return new.select(*[(F.col("_new") if c == text_col else F.col("row")[c]).alias(c) for c in docs.columns])
+    """`docs` with each personal span in the text replaced by <kind>. Rows without one, null text too, stay as they are.
+
+    Only texts with a seed or a candidate are shuffled to their spans; all others go from their first table to the result.
+    """
+    scratch = Scratch(docs.sparkSession)
+    held = docs.select(F.struct("*").alias("row"), *_named(docs, id_col, text_col))
+    seen = scratch.keep(occurrences(held, "_text").select("row", "_id", "_hash", "base", "seen"))
+    spans = _spans(seen.filter(F.size("seen") > 0).select("_id", "_hash", "base", "seen"), scratch, MIN_CONFIDENCE)
+    spans = spans.filter(F.size("spans") > 0).dropDuplicates(["_id", "_hash"]).select(
+        F.col("_id").alias("i"), F.col("_hash").alias("h"), "spans")
+    some = seen.filter(F.size("seen") > 0).select("row", "_id", "_hash")
+    both = some.join(spans, some["_id"].eqNullSafe(spans["i"]) & (some["_hash"] == spans["h"]), "left")
+    new = _masked(both.select("row", "spans", F.col("row")[text_col].alias("_new")), "_new", "spans").select(
+        *[(F.col("_new") if c == text_col else F.col("row")[c]).alias(c) for c in docs.columns])
+    return seen.filter(F.size("seen") == 0).select("row.*").unionByName(new)
 
 
 def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:

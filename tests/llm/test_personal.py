@@ -108,3 +108,15 @@ def test_many_matches_in_one_text(spark):
     assert got.n_email == 100_000 and got.base_sha256 == hashlib.sha256(",".join(f"email:{a}:{e}" for a, _, e, _ in base(text)).encode()).hexdigest()
     masked = mask_personal_data(docs).collect()[0].text
     assert masked == re.sub("u[0-9]+@x.org", "<email>", text) and time.perf_counter() - begin < 90
+
+
+def test_texts_without_numbers_or_addresses_are_not_shuffled(spark):
+    docs = spark.createDataFrame(
+        [(1, "mail bo@a.org now"), (2, "no such thing"), (None, "no such thing"), (3, None), (1, "mail bo@a.org now"), (None, "to c@d.org"), (4, "")],
+        "doc_id long, text string")
+    out = mask_personal_data(docs)
+    assert sorted(map(str, out.collect())) == sorted(map(str, spark.createDataFrame(
+        [(1, "mail <email> now"), (2, "no such thing"), (None, "no such thing"), (3, None), (1, "mail <email> now"), (None, "to <email>"), (4, "")],
+        "doc_id long, text string").collect()))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan and "(size(seen" in plan.split("Join")[0]
