@@ -4,17 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import partial, reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from floodmark.llm.batches import map_batches
 from floodmark.llm.near_dedup import linked_components
 from floodmark.llm.scratch import Scratch
-from floodmark.llm.shingles import mix, permutation, places, shingle_rows, word_hashes
+from floodmark.llm.shingles import hashes_of, mix, permutation, places, shingle_rows, word_hashes
 from floodmark.llm.text import column
 
 SHINGLE = 5
@@ -45,9 +45,7 @@ def _windows(lines: np.ndarray, base: np.ndarray, rows: np.ndarray) -> np.ndarra
     long = end - begin > LONG
     if not long.any():
         return np.empty(0, np.int64)
-    order = mix(rows ^ np.uint64(0x5851F42D4C957F2D))
-    view = np.lib.stride_tricks.sliding_window_view(order[::-1], ANCHOR)
-    last = (len(order) - 1 - (np.arange(len(view)) + view.argmin(axis=1)))[::-1]
+    last = _last_lowest(mix(rows ^ np.uint64(0x5851F42D4C957F2D)), ANCHOR)
     doc = np.repeat(np.arange(len(begin)), end - begin)
     first = doc[: len(last)]
     inside = long[first] & (np.arange(len(last)) + ANCHOR - 1 <= end[first] - SHINGLE)
@@ -55,11 +53,60 @@ def _windows(lines: np.ndarray, base: np.ndarray, rows: np.ndarray) -> np.ndarra
     last = last[np.flatnonzero(np.diff(last, prepend=-1))]
     # Windows at the end reach back to have their full length; the first and the last stand at the document's ends.
     reach = (end - WINDOW)[doc[last]]
-    starts = np.unique(np.concatenate([np.minimum(last, reach), begin[long], end[long] - WINDOW]))
+    starts = _different(np.concatenate([np.minimum(last, reach), begin[long], end[long] - WINDOW]))
     # A document's paragraphs are told apart by their first word: a window that starts with a line starts one word
     # later. It shares 11 of 13 shingles with the window it stands for.
     whole = (np.cumsum(lines) - lines)[lines >= SHORTEST]
-    return np.unique(starts + np.isin(starts, whole))
+    return _different(starts + _among(starts, whole))
+
+
+def _different(values: np.ndarray) -> np.ndarray:
+    """The different values in order."""
+    ordered = np.sort(values)
+    return ordered[np.concatenate([ordered[:1] == ordered[:1], ordered[1:] != ordered[:-1]])]
+
+
+def _among(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
+    """Which of the values are in the sorted array `ordered`."""
+    if not len(ordered):
+        return np.zeros(len(values), dtype=bool)
+    return ordered[np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)] == values
+
+
+def _lowest(values: np.ndarray, width: int) -> np.ndarray:
+    """The least of each `width` values in a row; each step reaches twice as far, so it takes log(width) passes."""
+    reach = 1
+    while reach < width and len(values):
+        step = min(reach, width - reach)
+        values = np.minimum(values[:-step], values[step:])
+        reach += step
+    return values
+
+
+def _last_lowest(values: np.ndarray, width: int) -> np.ndarray:
+    """The place of the least of each `width` values in a row, the last of ties."""
+    at, reach = np.arange(len(values)), 1
+    while reach < width and len(values):
+        step = min(reach, width - reach)
+        behind = values[step:] <= values[:-step]
+        at = np.where(behind, at[step:], at[:-step])
+        values = np.where(behind, values[step:], values[:-step])
+        reach += step
+    return at
+
+
+def _sums(values: np.ndarray) -> np.ndarray:
+    """Running sums of 64-bit numbers, from 0: the sum of a stretch is the difference of two."""
+    return np.concatenate([np.zeros(1, np.uint64), np.cumsum(values, dtype=np.uint64)])
+
+
+def _repeating_windows(rows: np.ndarray, starts: np.ndarray, width: int) -> np.ndarray:
+    """Which of the `starts` may have an item of `rows` twice among their `width`: all that have, few others."""
+    again = np.zeros(len(rows), dtype=np.int64)
+    for step in range(1, min(width, len(rows))):
+        again[:-step] |= rows[step:] == rows[:-step]
+    seen = np.concatenate([[0], np.cumsum(again)])
+    return np.flatnonzero(seen[starts + width] > seen[starts])
 
 
 def _ragged(rows: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -69,18 +116,19 @@ def _ragged(rows: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np
     return np.arange(count.sum()) - np.repeat(offsets - starts, count), offsets
 
 
-def _sets_of(items: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(sorted, fresh): the items of each set sorted, and which are the first of their value in it."""
+def _fresh(items: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Which items are the first of their value in their set; the sets follow one another and begin at `offsets`.
+
+    Only items whose value, hashed with the set, is there twice are put in order.
+    """
     owner = np.repeat(np.arange(len(offsets)), np.diff(offsets, append=len(items)))
-    ordered = items[np.lexsort((items, owner))]
+    named = items ^ mix(owner.astype(np.uint64) + np.uint64(1))
+    ordered = np.sort(named)
+    at = np.flatnonzero(_among(named, ordered[1:][ordered[1:] == ordered[:-1]]))
+    at = at[np.lexsort((items[at], owner[at]))]
     fresh = np.ones(len(items), dtype=bool)
-    fresh[1:] = (ordered[1:] != ordered[:-1]) | (owner[1:] != owner[:-1])
-    return ordered, fresh
-
-
-def _prints(ordered: np.ndarray, fresh: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """set_print of each set of _sets_of."""
-    return mix(np.add.reduceat(mix(ordered) * fresh, offsets))
+    fresh[at[1:][(items[at[1:]] == items[at[:-1]]) & (owner[at[1:]] == owner[at[:-1]])]] = False
+    return fresh
 
 
 def paragraph_table(texts: list[str | None]) -> tuple[np.ndarray, ...]:
@@ -92,48 +140,62 @@ def paragraph_table(texts: list[str | None]) -> tuple[np.ndarray, ...]:
 def _paragraphs(texts: list[str | None], percent: int) -> tuple[np.ndarray, ...]:
     """paragraph_table and parts, int32 of shape (n, _parts(percent)): hashes of a window's shingles, dealt out to so many
     parts; of a line the first is 1 if it has so few different shingles that it can be linked with a window, else 0."""
-    counts = [[len(line.split()) for line in (t or "").encode("utf-8", "surrogatepass").split(b"\n")] for t in texts]
+    lines = [[line.split() for line in (t or "").encode("utf-8", "surrogatepass").lower().split(b"\n")] for t in texts]
+    counts = [[len(line) for line in doc] for doc in lines]
     base = np.cumsum([0, *map(sum, counts)])
-    words = np.concatenate([word_hashes(t) for t in texts])
+    found = chain.from_iterable(chain.from_iterable(lines))
+    words = hashes_of(found, base[-1])
+    n_parts, m = _parts(percent), WINDOW - SHINGLE + 1
     if len(words) < SHINGLE:
         none = np.empty(0, np.int64)
-        return none, none, none, none, none.reshape(0, BANDS), np.empty((0, _parts(percent)), np.int32)
+        return none, none, none, none, none.reshape(0, BANDS), np.empty((0, n_parts), np.int32)
     rows = shingle_rows(words, SHINGLE)
     sizes = np.concatenate([np.array(c, dtype=np.int64) for c in counts])
     windows = _windows(sizes, base, rows)
     whole = (np.cumsum(sizes) - sizes)[sizes >= SHORTEST]
     sizes = sizes[sizes >= SHORTEST]
     order, at, high = permutation(42, BANDS), places(rows), rows >> np.uint64(22)
+    bounds = np.stack([whole, whole + sizes - SHINGLE + 1], axis=1).ravel()
 
-    def lowest(k: int, index: np.ndarray) -> np.ndarray:
-        # The shingle stands behind its rank, so that a coordinate names it and not just its place in the universe.
-        return (order[at[index] + k].astype(np.uint64) << np.uint64(42)) | high[index]
-
-    index = windows[:, None] + np.arange(WINDOW - SHINGLE + 1)
     keys = np.zeros((len(windows) + len(whole), BANDS), dtype=np.uint64)
-    for k in range(WINDOW_BANDS):
-        keys[: len(windows), k] = mix(lowest(k, index).min(axis=1)) + np.uint64(k + 1)
-    items = rows[index]
-    prints = [set_print(items)]
-    parts = np.zeros(keys.shape[:1] + (_parts(percent),), dtype=np.int32)
-    found = np.sort(items, axis=1)
-    fresh = np.ones(found.shape, dtype=bool)
-    fresh[:, 1:] = found[:, 1:] != found[:, :-1]
-    hashed, part = mix(found) * fresh, (found >> np.uint64(32)) % np.uint64(parts.shape[1])
-    for k in range(parts.shape[1]):
-        parts[: len(windows), k] = (mix((hashed * (part == k)).sum(axis=1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+    for k in range(BANDS if len(whole) else WINDOW_BANDS):
+        # The shingle stands behind its rank, so that a coordinate names it and not just its place in the universe.
+        ranked = (order[at + k].astype(np.uint64) << np.uint64(42)) | high
+        if k < WINDOW_BANDS and len(windows):
+            keys[: len(windows), k] = mix(_lowest(ranked, m)[windows]) + np.uint64(k + 1)
+        if len(whole):
+            lowest = np.minimum.reduceat(np.append(ranked, np.uint64(0)), bounds)[::2]
+            keys[len(windows) :, k] = mix(lowest) + np.uint64(k + 1)
+
+    # Sums over distinct shingles are differences of running sums; the few paragraphs with a repeated one are summed again.
+    hashed, part = mix(rows), (rows >> np.uint64(32)) % np.uint64(n_parts)
+    total = _sums(hashed)
+    prints = np.zeros(len(keys), dtype=np.uint64)
+    parts = np.zeros((len(keys), n_parts), dtype=np.int32)
+    if len(windows):
+        again = _repeating_windows(rows, windows, m)
+        items = rows[windows[again][:, None] + np.arange(m)]
+        prints[: len(windows)] = mix(total[windows + m] - total[windows])
+        prints[again] = set_print(items)
+        items = np.sort(items, axis=1)
+        fresh = np.ones(items.shape, dtype=bool)
+        fresh[:, 1:] = items[:, 1:] != items[:, :-1]
+        fresh_hashed, fresh_part = mix(items) * fresh, (items >> np.uint64(32)) % np.uint64(n_parts)
+        for k in range(n_parts):
+            dealt = _sums(hashed * (part == k))
+            of_part = dealt[windows + m] - dealt[windows]
+            of_part[again] = (fresh_hashed * (fresh_part == k)).sum(axis=1, dtype=np.uint64)
+            parts[: len(windows), k] = (mix(of_part) >> np.uint64(32)).astype(np.uint32).view(np.int32)
     if len(whole):
         index, offsets = _ragged(rows, whole, sizes)
-        for k in range(BANDS):
-            keys[len(windows) :, k] = mix(np.minimum.reduceat(lowest(k, index), offsets)) + np.uint64(k + 1)
-        items, fresh = _sets_of(rows[index], offsets)
-        prints.append(_prints(items, fresh, offsets))
-        parts[len(windows) :, 0] = percent * np.add.reduceat(fresh.astype(np.int64), offsets) <= 100 * (WINDOW - SHINGLE + 1)
+        fresh = _fresh(rows[index], offsets)
+        prints[len(windows) :] = mix(np.add.reduceat(hashed[index] * fresh, offsets))
+        parts[len(windows) :, 0] = percent * np.add.reduceat(fresh.astype(np.int64), offsets) <= 100 * m
     first = np.concatenate([windows, whole])
     size = np.concatenate([np.full(len(windows), WINDOW), sizes])
     owner = np.searchsorted(base, first, "right") - 1
     return (
-        owner, first - base[owner], size, np.concatenate(prints).view(np.int64), mix(keys).view(np.int64), parts,
+        owner, first - base[owner], size, prints.view(np.int64), mix(keys).view(np.int64), parts,
     )
 
 
@@ -146,27 +208,50 @@ def set_print(items: np.ndarray) -> np.ndarray:
 
 
 def _features(batches: Iterator[pa.RecordBatch], percent: int = PERCENT) -> Iterator[pa.RecordBatch]:
-    """Paragraphs of rows (row, id, text)."""
+    """Paragraphs of rows (row, id, text): the columns of _schema."""
     for batch in batches:
         for at in range(0, batch.num_rows, 128):
             part = batch.slice(at, 128)
             owner, first, size, prints, keys, parts = _paragraphs(part.column(2).to_pylist(), percent)
             take = pa.array(owner)
-            used = np.arange(BANDS) < np.where(size > WINDOW, BANDS, WINDOW_BANDS)[:, None]
-            offsets = pa.array(np.concatenate([[0], np.cumsum(used.sum(axis=1))]).astype(np.int32))
+            line = size > WINDOW
+            bounds = np.concatenate([[0], np.cumsum(np.where(line, BANDS, 0))]).astype(np.int32)
+            packed = np.zeros((len(owner), 2 * _packs(percent)), dtype=np.int32)
+            packed[:, : parts.shape[1]] = parts
+            packed = packed.view("<i8")
             yield pa.RecordBatch.from_arrays(
                 [
-                    part.column(0).take(take), part.column(1).take(take), pa.array(first.astype(np.int32)),
-                    pa.array(size.astype(np.int32)), pa.array(prints),
-                    pa.ListArray.from_arrays(offsets, pa.array(keys[used])),
-                    *map(pa.array, np.ascontiguousarray(parts.T)),
+                    part.column(0).take(take), part.column(1).take(take),
+                    pa.array(first.astype(np.int64) << 32 | size.astype(np.int64)), pa.array(prints),
+                    *(pa.array(np.ascontiguousarray(keys[:, k])) for k in range(WINDOW_BANDS)),
+                    pa.ListArray.from_arrays(pa.array(bounds), pa.array(keys[line].ravel()), mask=pa.array(~line)),
+                    *(pa.array(np.ascontiguousarray(packed[:, k])) for k in range(packed.shape[1])),
                 ],
-                ["row", "id", "first", "size", "print", "keys", *(f"p{k}" for k in range(parts.shape[1]))],
+                [c.split()[0] for c in _schema("any", percent)],
             )
 
 
+def _packs(percent: int) -> int:
+    return (_parts(percent) + 1) // 2
+
+
+def _schema(kind: str, percent: int) -> list[str]:
+    """`at` is the first word times 2^32 plus the words, `more` all keys of a line (null for windows), a `q` holds two parts."""
+    keys = [f"k{k} long" for k in range(WINDOW_BANDS)]
+    return ["row long", f"id {kind}", "at long", "print long", *keys, "more array<long>", *(f"q{k} long" for k in range(_packs(percent)))]
+
+
+def _low(column: str) -> Column:
+    """The lower 32 bits of a long as a signed number."""
+    return F.shiftright(F.shiftleft(column, 32), 32).cast("int")
+
+
+def _high(column: str) -> Column:
+    return F.shiftright(column, 32).cast("int")
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sets of the wanted paragraphs (array of first word and words) of rows (text, wanted)."""
+    """Sets of the wanted paragraphs (array of place and only) of rows (text, wanted)."""
     for batch in batches:
         for at in range(0, batch.num_rows, 128):
             part = batch.slice(at, 128)
@@ -175,41 +260,48 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             units = wanted.flatten()
             base = np.repeat(np.cumsum([0, *map(len, words[:-1])]), np.diff(wanted.offsets.to_numpy()))
             rows = shingle_rows(np.concatenate(words), SHINGLE)
-            index, offsets = _ragged(rows, base + units.field("first").to_numpy(), units.field("size").to_numpy().astype(np.int64))
-            items, fresh = _sets_of(rows[index], offsets)
+            place = units.field("at").to_numpy()
+            index, offsets = _ragged(rows, base + (place >> 32), place & 0xFFFFFFFF)
+            items = rows[index]
+            fresh = _fresh(items, offsets)
             lengths = np.add.reduceat(fresh.astype(np.int32), offsets)
             bounds = pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(_prints(items, fresh, offsets).view(np.int64)), pa.ListArray.from_arrays(bounds, pa.array(items[fresh].view(np.int64)))],
-                ["id", "items"],
+                [
+                    pa.array(mix(np.add.reduceat(mix(items) * fresh, offsets)).view(np.int64)), units.field("only"),
+                    pa.ListArray.from_arrays(bounds, pa.array(items[fresh].view(np.int64))),
+                ],
+                ["id", "only", "items"],
             )
 
 
 def _members(met: DataFrame, percent: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """(nodes, members): of the paragraphs `met` in buckets of several documents (id, lo, hi), the ids and first and last row of
-    all different ones, and (key, id, size) of those that can be linked.
+    """(nodes, members): of the paragraphs `met` in buckets of several documents (id, lo, hi, at), the ids, first and last row
+    and place in the first one of all different ones, and (key, id, size) of those that can be linked.
 
     Two linked windows have two parts of their shingles in common at least, as they differ in two parts fewer than there
     are: so each pair of parts is a narrower bucket, in which all linked ones meet. Lines stay in their buckets, and so do
     windows beside a line that is short enough to be linked with them. No pairs are formed.
     """
     n = _parts(percent)
-    parts = [F.min(f"p{k}").alias(f"p{k}") for k in range(n)]
-    grouped = met.groupBy(F.col("print").alias("id")).agg(F.min("size").alias("size"), F.min("row").alias("lo"), F.max("row").alias("hi"), *parts)
+    part = [(_high if k % 2 else _low)(f"q{k // 2}") for k in range(n)]
+    least = [F.min(p).alias(f"p{k}") for k, p in enumerate(part)]
+    where = F.min_by("at", "row").alias("at")
+    grouped = met.groupBy(F.col("print").alias("id")).agg(F.min(_low("at")).alias("size"), F.min("row").alias("lo"), F.max("row").alias("hi"), where, *least)
     nodes = scratch.keep(grouped)
     both = [F.xxhash64(F.lit(i * n + j), f"p{i}", f"p{j}") for i in range(n) for j in range(i + 1, n)]
     cells = nodes.filter(F.col("size") == WINDOW).select("id", "lo", "hi", F.explode(F.array(*both)).alias("key"))
     count = F.count(F.lit(1)).alias("size")
     shared = cells.groupBy("key").agg(count, F.min("lo").alias("least"), F.max("hi").alias("most"))
     shared = shared.filter("size > 1 and least <> most").select("key", "size")
-    windows = cells.join(shared, "key").select("key", "id", "size")
+    windows = cells.join(shared.hint("shuffle_hash"), "key").select("key", "id", "size")
 
-    line = F.col("size") > WINDOW
-    beside = met.filter(line & (F.col("p0") == 1)).select("key").distinct()
+    line = _low("at") > WINDOW
+    beside = met.filter(line & (part[0] == 1)).select("key").distinct()
     lines = met.filter(line).select("key", F.col("print").alias("id"))
     lines = lines.unionByName(met.filter(~line).join(beside, "key", "left_semi").select("key", F.col("print").alias("id"))).distinct()
     sizes = lines.groupBy("key").agg(count).filter("size > 1")
-    return nodes.select("id", "lo", "hi"), scratch.keep(windows.unionByName(lines.join(sizes, "key").select("key", "id", "size")))
+    return nodes.select("id", "lo", "hi", "at"), scratch.keep(windows.unionByName(lines.join(sizes, "key").select("key", "id", "size")))
 
 
 def repeated_paragraphs(
@@ -236,42 +328,39 @@ def repeated_paragraphs(
     named = docs.select(F.xxhash64(column(id_col), text).alias("row"), column(id_col).alias("id"), text.alias("text"))
     kind = named.schema["id"].dataType.simpleString()
     features = partial(_features, percent=percent)
-    schema = f"row long, id {kind}, first int, size int, print long, keys array<long>"
-    parts = [f"p{k}" for k in range(_parts(percent))]
-    units = scratch.keep(map_batches(named, features, schema + "".join(f", {p} int" for p in parts)))
+    units = scratch.keep(map_batches(named, features, ", ".join(_schema(kind, percent))))
 
     # A bucket of two documents holds either different paragraphs or one that is repeated, and equal ones share all buckets.
+    # The keys of these buckets are few beside the entries and different, so they are hashed and the entries not sorted.
+    keys = F.explode(F.coalesce("more", F.array(*[f"k{k}" for k in range(WINDOW_BANDS)]))).alias("key")
+    rows = units.select(keys, "row").groupBy("key").agg(F.min("row").alias("lo"), F.max("row").alias("hi"))
+    across = scratch.keep(rows.filter("lo <> hi").select("key"))
     slices = []
     for k in range(SLICES):
-        entries = units.select(F.explode("keys").alias("key"), "row", "id", "first", "size", "print", *parts)
-        entries = entries.filter(F.pmod("key", F.lit(SLICES)) == k)
-        across = entries.groupBy("key").agg(F.min("row").alias("lo"), F.max("row").alias("hi")).filter("lo <> hi").select("key")
-        across = scratch.keep(across)
-        slices.append(scratch.keep(entries.join(across, "key", "left_semi")))
-        scratch.drop(across)
-    scratch.drop(units)
+        mine = F.pmod("key", F.lit(SLICES)) == k
+        entries = units.select(keys, "row", "id", "at", "print", *[f"q{k}" for k in range(_packs(percent))]).filter(mine)
+        slices.append(scratch.keep(entries.join(across.filter(mine).hint("shuffle_hash"), "key", "left_semi")))
+    scratch.drop(units, across)
     met = reduce(DataFrame.unionByName, slices)
     # Equal rows are one document, so a paragraph counts once per row and place.
-    own = scratch.keep(met.select("row", "id", "first", "size", "print").dropDuplicates(["row", "first"]))
+    own = scratch.keep(met.select("row", "id", "at", "print").distinct())
     nodes, members = _members(met, percent, scratch)
     scratch.drop(*slices)
 
-    wanted = members.select(F.col("id").alias("print")).distinct()
-    where = own.join(wanted, "print", "left_semi").groupBy("print").agg(F.min(F.struct("row", "first", "size")).alias("at"))
-    by_row = where.groupBy(F.col("at.row").alias("row")).agg(F.collect_list(F.struct("at.first", "at.size")).alias("wanted"))
-    texts = named.select("row", "text").join(by_row, "row").select("text", "wanted")
-    sets = map_batches(texts, _sets, "id long, items array<long>").dropDuplicates(["id"])
-    single = nodes.select("id", F.when(F.col("lo") == F.col("hi"), F.col("lo")).alias("only"))
-    sets = scratch.keep(sets.join(single, "id"))
+    wanted = nodes.join(members.select("id").distinct(), "id", "left_semi")
+    only = F.when(F.col("lo") == F.col("hi"), F.col("lo")).alias("only")
+    by_row = wanted.groupBy(F.col("lo").alias("row")).agg(F.collect_list(F.struct("at", only)).alias("wanted"))
+    texts = named.select("row", "text").join(by_row.hint("shuffle_hash"), "row").select("text", "wanted")
+    sets = scratch.keep(map_batches(texts, _sets, "id long, only long, items array<long>").dropDuplicates(["id"]))
     label = linked_components(members, sets, percent, 1, scratch)
 
-    classed = own.join(label.withColumnRenamed("node", "print"), "print", "left").withColumn("component_id", F.coalesce("component", "print"))
+    classed = own.join(label.withColumnRenamed("node", "print").hint("shuffle_hash"), "print", "left").withColumn("component_id", F.coalesce("component", "print"))
     classed = scratch.keep(classed.drop("component", "print"))
     scratch.drop(members, sets, own)
     groups = classed.groupBy("component_id").agg(
-        F.count(F.lit(1)).alias("n_copies"), F.min("row").alias("lo"), F.max("row").alias("hi"), F.min(F.struct("id", "first")).alias("keep"))
-    found = classed.join(groups.filter("lo <> hi"), "component_id")
+        F.count(F.lit(1)).alias("n_copies"), F.min("row").alias("lo"), F.max("row").alias("hi"), F.min(F.struct("id", _high("at").alias("first"))).alias("keep"))
+    found = classed.join(groups.filter("lo <> hi").hint("shuffle_hash"), "component_id")
     return found.select(
-        F.col("id").alias(id_col), F.col("first").alias("first_word"), F.col("size").alias("n_words"), "component_id", "n_copies",
-        (~(F.col("id").eqNullSafe(F.col("keep.id")) & (F.col("first") == F.col("keep.first")))).alias("removed"),
+        F.col("id").alias(id_col), _high("at").alias("first_word"), _low("at").alias("n_words"), "component_id", "n_copies",
+        (~(F.col("id").eqNullSafe(F.col("keep.id")) & (_high("at") == F.col("keep.first")))).alias("removed"),
     )

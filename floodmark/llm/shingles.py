@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import lru_cache
 
 import numpy as np
@@ -22,10 +23,15 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+def hashes_of(words: Iterable[bytes], count: int) -> np.ndarray:
+    """64-bit hashes of so many words."""
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=count)
+
+
 def word_hashes(text: str | None) -> np.ndarray:
     """64-bit hashes of the words of a text, A-Z lower-cased; words are separated by ASCII white space."""
     found = text.encode("utf-8", "surrogatepass").lower().split() if text else []
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, found), dtype=np.uint64, count=len(found))
+    return hashes_of(found, len(found))
 
 
 def shingle_rows(words: np.ndarray, size: int = 5) -> np.ndarray:

@@ -2,8 +2,10 @@ import random
 from collections import defaultdict
 
 import numpy as np
+from conftest import plan_of
 
-from floodmark.llm.paragraphs import WINDOW, _paragraphs, paragraph_table, repeated_paragraphs
+from floodmark.llm.paragraphs import SLICES, WINDOW, _fresh, _last_lowest, _lowest, _paragraphs, paragraph_table, repeated_paragraphs
+from floodmark.llm.scratch import Scratch
 from floodmark.llm.shingles import shingle_rows, word_hashes
 
 
@@ -141,3 +143,45 @@ def test_linked_windows_have_two_parts_in_common():
                     linked += 1
                     assert sum(a == b for a, b in zip(p, q)) >= 2
         assert linked
+
+
+def test_sets_without_order():
+    rnd = np.random.default_rng(3)
+    for width in (1, 2, 3, 12, 16, 31):
+        values = rnd.integers(0, 40, 200).astype(np.uint64)
+        spans = [values[i : i + width].tolist() for i in range(len(values) - width + 1)]
+        assert _lowest(values, width).tolist() == [min(x) for x in spans]
+        assert _last_lowest(values, width).tolist() == [i + max(k for k, v in enumerate(x) if v == min(x)) for i, x in enumerate(spans)]
+    assert not len(_lowest(values[:3], 12)) and not len(_last_lowest(values[:0], 12))
+    sizes = rnd.integers(1, 60, 30)
+    offsets = np.cumsum(sizes) - sizes
+    items = rnd.integers(0, 50, sizes.sum()).astype(np.uint64)
+    fresh = _fresh(items, offsets)
+    for at, n in zip(offsets, sizes):
+        assert sorted(items[at : at + n][fresh[at : at + n]]) == sorted(set(items[at : at + n].tolist()))
+
+
+def test_paragraphs_with_repeated_shingles_are_sets():
+    rnd = random.Random(11)
+    texts = ["\n".join(" ".join(rnd.choice("abc"[: rnd.choice([1, 2, 3])]) for _ in range(rnd.randint(0, 70))) for _ in range(6)) for _ in range(40)]
+    owner, first, size, prints, _, parts = _paragraphs(texts, 80)
+    rows = [shingle_rows(word_hashes(t)) for t in texts]
+    sets = [frozenset(rows[o][f : f + n - 4].tolist()) for o, f, n in zip(owner, first, size)]
+    assert len(set(sets)) == len(set(prints.tolist())) == len(set(zip(sets, prints.tolist())))
+    windows = [(x, tuple(p)) for x, p, n in zip(sets, parts.tolist(), size) if n == WINDOW]
+    assert len(set(windows)) == len({x for x, _ in windows})
+    assert all(p[0] == (80 * len(x) <= 1200) for x, p, n in zip(sets, parts.tolist(), size) if n > WINDOW)
+
+
+def test_entries_are_not_sorted_and_shared_keys_are_found_once(spark, monkeypatch):
+    plans, keep = [], Scratch.keep
+    monkeypatch.setattr(Scratch, "keep", lambda self, df: plans.append(plan_of(df)) or keep(self, df))
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        repeated_paragraphs(spark.createDataFrame(texts(), "doc_id long, text string")).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    semi = [p for p in plans if "pmod(key" in p]
+    assert len(semi) == SLICES and all("ShuffledHashJoin" in p and "SortMergeJoin" not in p for p in semi)
+    assert sum("Generate explode" in p and "min(row" in p for p in plans) == 1
